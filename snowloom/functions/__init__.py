@@ -1,4 +1,5 @@
 from snowloom.functions.columns import (
+    as_schema,
     blank_to_null,
     decoded,
     in_list,
@@ -11,6 +12,6 @@ from snowloom.functions.columns import (
 )
 
 __all__ = [
-    "blank_to_null", "decoded", "in_list", "joined_when", "null_safe_equal", "remapped", "row_hash",
+    "as_schema", "blank_to_null", "decoded", "in_list", "joined_when", "null_safe_equal", "remapped", "row_hash",
     "split_code", "trimmed",
 ]

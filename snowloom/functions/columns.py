@@ -14,6 +14,11 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def as_schema(schema: T.StructType | str) -> T.StructType:
+    """A schema given as such or written as ``name type, ...``; the latter needs a running session."""
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 def trimmed(df: DataFrame, name: str) -> Column:
     """The column as a join key: text without surrounding blanks, any other type unchanged."""
     is_text = isinstance(df.schema[name].dataType, (T.StringType, T.VarcharType, T.CharType))

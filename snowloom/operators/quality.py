@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snowloom.functions import trimmed
+from snowloom.functions import as_schema, trimmed
 
 
 def audit_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,16 +49,16 @@ def audit_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _one_row_per_column(df, columns, {"nulls": [F.count_if(F.col(c).isNull()) for c in columns]})
 
 
-def audit_cast(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None = None) -> DataFrame:
+def audit_cast(df: DataFrame, schema: T.StructType | str, lengths: dict[str, int] | None = None) -> DataFrame:
     """Per column, texts that do not fit the declared type and texts longer than declared."""
-    lengths = lengths or {}
+    fields, lengths = as_schema(schema).fields, lengths or {}
     never = F.count_if(F.lit(False))
     bad, long = [], []
-    for f in schema.fields:
+    for f in fields:
         c = F.col(f.name)
         bad.append(F.count_if(c.isNotNull() & c.try_cast(f.dataType).isNull()))
         long.append(F.count_if(F.length(c) > lengths[f.name]) if f.name in lengths else never)
-    return _one_row_per_column(df, [f.name for f in schema.fields], {"bad_casts": bad, "too_long": long})
+    return _one_row_per_column(df, [f.name for f in fields], {"bad_casts": bad, "too_long": long})
 
 
 def unmatched(df: DataFrame, dim: DataFrame, column: str, dim_column: str) -> DataFrame:

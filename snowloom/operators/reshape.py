@@ -69,7 +69,7 @@ def _names(order: Sequence[str | Column]) -> list[str]:
     return list(order)
 
 
-def entity(df: DataFrame, cols: Sequence[str] | Mapping[str, str], where: Column | None = None) -> DataFrame:
+def entity(df: DataFrame, cols: Sequence[str] | Mapping[str, str], where: Column | str | None = None) -> DataFrame:
     """The distinct rows of one entity of a wide table."""
     rows = df if where is None else df.where(where)
     if isinstance(cols, Mapping):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snowloom.functions import as_schema
 from snowloom.operators.conform import cast_to, rename
 from snowloom.operators.versioning import latest
 
@@ -15,7 +16,7 @@ from snowloom.operators.versioning import latest
 def read_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     renames: Mapping[str, str] | None = None,
     separator: str = ",",
     quote: str = '"',
@@ -32,21 +33,21 @@ def read_csv(
 def read_csv_text(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     renames: Mapping[str, str] | None = None,
     separator: str = ",",
     quote: str = '"',
 ) -> DataFrame:
     """The same files with every column as text."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in as_schema(schema).fields])
     reader = spark.read.schema(text).option("header", True).option("enforceSchema", True)
     df = reader.option("sep", separator).option("quote", quote).option("escape", "\\").option("multiLine", False)
     return rename(df.csv(path), renames or {})
 
 
-def _renamed(schema: T.StructType, renames: Mapping[str, str] | None) -> T.StructType:
+def _renamed(schema: T.StructType | str, renames: Mapping[str, str] | None) -> T.StructType:
     renames = renames or {}
-    return T.StructType([T.StructField(renames.get(f.name, f.name), f.dataType) for f in schema.fields])
+    return T.StructType([T.StructField(renames.get(f.name, f.name), f.dataType) for f in as_schema(schema).fields])
 
 
 def read_code_list(spark: SparkSession, path: str, field: str, code: str, value: str) -> DataFrame:
