@@ -81,6 +81,8 @@ def stable_ids(
     matched = entities.join(held, null_safe_equal([(k, f"__k{i}") for i, k in enumerate(keys)]), "left").select(
         F.col("__held").alias(id_column), *entities.columns
     )
+    # Read three times below, so it is computed once.
+    matched = materialize(matched, "matched-ids")
     old = matched.where(F.col(id_column).isNotNull())
     new = matched.where(F.col(id_column).isNull()).drop(id_column)
     return old.unionByName(dense_id(new, order, id_column, next_id(known, id_column)))

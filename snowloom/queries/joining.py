@@ -65,16 +65,14 @@ def inner_chain(t: Tables):
 
 @query("""
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, e.event_id
-FROM lineitem JOIN events e
-  ON l_partkey = e.user_id AND l_quantity = floor(e.value) AND l_returnflag = upper(substr(e.event_type, 1, 1))
+FROM lineitem JOIN events e ON l_suppkey = e.user_id AND l_linenumber = e.event_id % 7 + 1
+  AND l_returnflag = CASE e.event_type WHEN 'click' THEN 'A' WHEN 'view' THEN 'N' ELSE 'R' END
 """)
 def inner_composite(t: Tables):
-    """An inner match on three keys, one of them text."""
-    events = t.events.select(
-        "event_id", "user_id", F.floor("value").cast("double").alias("amount"),
-        F.concat(F.upper(F.substring("event_type", 1, 1)), F.lit(" ")).alias("flag"),
-    )
-    on = {"l_partkey": "user_id", "l_quantity": "amount", "l_returnflag": "flag"}
+    """An inner match on three keys, one of them text with blanks."""
+    flag = F.when(F.col("event_type") == "click", "A ").when(F.col("event_type") == "view", " N").otherwise("R")
+    events = t.events.select("event_id", "user_id", (F.col("event_id") % 7 + 1).alias("line"), flag.alias("flag"))
+    on = {"l_suppkey": "user_id", "l_linenumber": "line", "l_returnflag": "flag"}
     return enrich.lookup(t.lineitem, events, on, ["event_id"], how="inner").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "event_id"
     )
