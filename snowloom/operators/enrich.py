@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from snowloom.functions import in_list, null_safe_equal, trimmed
 from snowloom.operators.skew import salted_join
+from snowloom.session import materialize
 
 
 def _pairs(on: str | Sequence[str] | Mapping[str, str]) -> list[tuple[str, str]]:
@@ -116,6 +117,7 @@ def first_match(df: DataFrame, candidates: Sequence[Candidate], target: str) ->
     refs = refs.select(
         *[F.col(c).alias(f"__r{i}") for i, c in enumerate(needed)], F.coalesce(*found).alias(target)
     )
+    refs = materialize(refs, "references")
     joined = df.join(refs, null_safe_equal([(c, f"__r{i}") for i, c in enumerate(needed)]), "left")
     return joined.select(*df.columns, target)
 
@@ -123,13 +125,13 @@ def first_match(df: DataFrame, candidates: Sequence[Candidate], target: str) ->
 def with_parent(df: DataFrame, key: str, parent: str, attributes: Mapping[str, str]) -> DataFrame:
     """Add attributes of the parent row of the same table; a row without a parent gives its own."""
     parents = df.select(
-        F.col(key).alias("__parent"), *[F.col(source).alias(f"__{name}") for source, name in attributes.items()]
-    )
-    joined = df.join(parents, F.col(parent) == F.col("__parent"), "left")
-    return joined.select(
-        *df.columns,
-        *[F.coalesce(F.col(f"__{name}"), F.col(source)).alias(name) for source, name in attributes.items()],
+        F.col(key).alias("__key"), *[F.col(source).alias(f"__a{i}") for i, source in enumerate(attributes)]
     )
+    joined = df.join(parents, F.col(parent) == F.col("__key"), "left")
+    own = [
+        F.coalesce(F.col(f"__a{i}"), F.col(source)).alias(name) for i, (source, name) in enumerate(attributes.items())
+    ]
+    return joined.select(*df.columns, *own)
 
 
 def role_lookup(

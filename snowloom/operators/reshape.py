@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from snowloom.functions import null_safe_equal
 from snowloom.operators.keys import attach_ids, dense_id
 
 
@@ -56,17 +55,22 @@ def collapse_with_slots(
     Two reductions that each shrink the data before their shuffle, joined on the key they are both
     already partitioned by.
     """
-    whole = collapse(df, keys, min_cols, max_cols)
-    slotted = slots(df.select(*dict.fromkeys([*keys, *_names(order), *slot_cols])), keys, order, slot_cols, n)
-    right = slotted.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
-    joined = whole.join(right, null_safe_equal([(k, f"__k{i}") for i, k in enumerate(keys)]), "left")
-    return joined.drop(*[f"__k{i}" for i in range(len(keys))])
+    keyed = as_one_key(df, keys)
+    whole = collapse(keyed, [KEY], min_cols, max_cols)
+    return split_key(whole.join(slots(keyed, [KEY], order, slot_cols, n), KEY, "left"), keys)
 
 
-def _names(order: Sequence[str | Column]) -> list[str]:
-    if any(not isinstance(c, str) for c in order):
-        raise ValueError("order slots by column names")
-    return list(order)
+KEY = "__key"
+
+
+def as_one_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys as one struct. Structs are equal when their fields are, nulls included, so frames
+    grouped by it join by plain equality and keep their partitioning."""
+    return df.withColumn(KEY, F.struct(*keys)).drop(*keys)
+
+
+def split_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(f"{KEY}.{k}").alias(k) for k in keys], *[c for c in df.columns if c != KEY])
 
 
 def entity(df: DataFrame, cols: Sequence[str] | Mapping[str, str], where: Column | str | None = None) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from snowloom.functions import null_safe_equal, row_hash
+from snowloom.session import materialize
 
 
 def latest(
@@ -15,16 +17,16 @@ def latest(
 ) -> DataFrame:
     """The rows of the highest version of each key. A null version is the lowest.
 
-    ``ties="one"`` keeps one row per key, the one with the highest ``tiebreak``: an aggregate that
-    shrinks the data before the shuffle. ``ties="all"`` keeps every row of the highest version; those
-    rows are found by joining to the highest version of each key rather than by a window, because a
-    window would bring all rows of a key to one task.
+    ``ties="one"`` keeps one row per key, the one with the highest ``tiebreak``. Because only the first
+    row is kept, Spark drops the others in each task before the shuffle, however heavy the key.
+    ``ties="all"`` keeps every row of the highest version, which may be a large share of all rows;
+    those are found by joining to the highest version of each key, because a window would bring all
+    of them to one task.
     """
     if ties == "one":
-        rank = F.struct(F.col(version), *[F.col(c) for c in tiebreak], row_hash(df))
-        rest = [c for c in df.columns if c not in keys]
-        best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("__row"))
-        return best.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+        order = [F.col(version).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tiebreak], row_hash(df).desc()]
+        number = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("__number", number).where("__number = 1").drop("__number")
     if ties != "all":
         raise ValueError("ties is 'one' or 'all'")
     top = df.groupBy(*keys).agg(F.max(version).alias("__top"))
@@ -56,9 +58,11 @@ def only_keys(df: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def replace_keys(prev: DataFrame | None, rebuilt: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Previous rows with those of the rebuilt keys exchanged."""
+    """Previous rows with those of the rebuilt keys exchanged. The rebuilt rows are written first, as
+    they are read for their keys and for themselves."""
     if prev is None:
         return rebuilt
+    rebuilt = materialize(rebuilt, "rebuilt")
     return append_guarded(rebuilt, prev, keys).unionByName(rebuilt)
 
 

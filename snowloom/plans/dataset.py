@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from snowloom.functions import null_safe_equal
 from snowloom.operators import conform, enrich, reshape, versioning
 from snowloom.operators.enrich import Step
+from snowloom.operators.reshape import KEY
 from snowloom.plans.laureates import ORGANIZATION_KEY
+from snowloom.session import materialize
 
 DATASET_KEY = ["laureate_id", "prize"]
 SLOTS = 3
@@ -128,15 +130,18 @@ def dataset(
         "laureate_person_name", "laureate_gender", "society_name", "birth_date", "birth_city_name",
         "birth_country_name", "death_date", "death_city_name", "death_country_name",
     ]
-    whole = reshape.collapse(rows, keys_, [c for c in own if c not in keys_], ["upd_date"])
+    rows = reshape.as_one_key(rows, keys_)
+    whole = reshape.collapse(rows, [KEY], [c for c in own if c not in keys_], ["upd_date"])
 
     worked = rows.where(F.col("organization_name").isNotNull())
-    worked = worked.select(*keys_, *[F.trim(c).alias(c) for c in ORGANIZATION_KEY]).distinct()
+    worked = worked.select(KEY, *[F.trim(c).alias(c) for c in ORGANIZATION_KEY]).distinct()
     first = reshape.first_rows(
-        worked, keys_, ["organization_name", "organization_city", "organization_country"], SLOTS, "__slot"
+        worked, [KEY], ["organization_name", "organization_city", "organization_country"], SLOTS, "__slot"
     )
-    geography = country_places(countries, regions, continents)
-    roles = organization_roles(places, organizations, geography, cities).select(
+    # Written once: they are used several times, and Spark then knows their size when it picks the joins.
+    geography = materialize(country_places(countries, regions, continents), "country-places")
+    roles = materialize(organization_roles(places, organizations, geography, cities), "organization-roles")
+    roles = roles.select(
         "organization_id", *[F.col(c).alias(f"__{c}") for c in ORGANIZATION_KEY], *[c for c in _SLOT if c not in (
             "organization_name", "organization_city_name", "organization_country_name")],
     )
@@ -147,11 +152,12 @@ def dataset(
     first = first.withColumn(
         "organization_country_parent_name", F.coalesce("organization_country_parent_name", "organization_country_name")
     )
-    slotted = reshape.pivot_slots(first, keys_, "__slot", _SLOT, SLOTS)
+    slotted = reshape.pivot_slots(first, [KEY], "__slot", _SLOT, SLOTS)
 
     newest = versioning.latest(persons, ["laureate_id"], "upd_date", "one", ["full_name", "birth_date"])
     ids = ["birth_city_id", "birth_country_id", "death_city_id", "death_country_id"]
-    wide = enrich.lookup(whole, newest, "laureate_id", ids)
+    wide = whole.join(slotted, KEY, "left").withColumn("__laureate", F.col(f"{KEY}.laureate_id"))
+    wide = enrich.lookup(wide, newest, {"__laureate": "laureate_id"}, ids)
     for role, attributes in (("birth", _BIRTH), ("death", _DEATH)):
         wide = enrich.role_lookup(wide, cities, f"{role}_city_id", "city_id", f"{role}_", _CITY)
         wide = enrich.role_lookup(
@@ -160,6 +166,4 @@ def dataset(
         )
         parent = f"{role}_country_parent_name"
         wide = wide.withColumn(parent, F.coalesce(parent, f"{role}_country_name"))
-    right = slotted.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys_)})
-    wide = wide.join(right, null_safe_equal([(k, f"__k{i}") for i, k in enumerate(keys_)]), "left")
-    return wide.select(*COLUMNS)
+    return reshape.split_key(wide, keys_).select(*COLUMNS)

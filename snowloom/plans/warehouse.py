@@ -16,6 +16,7 @@ from snowloom.operators import quality, versioning
 from snowloom.plans import conforming, geography, laureates, reference, schemas
 from snowloom.plans import dataset as wide
 from snowloom.plans import fixed_values as fixed
+from snowloom.session import scratch_scope, tune
 from snowloom.sinks import Layout, stamp
 
 
@@ -63,18 +64,14 @@ class Run:
 
 
 def run(spark: SparkSession, staging: str, target: str, batch_date: date | str) -> Run:
-    sinks.ensure_database(spark, target)
+    sinks.ensure_database(tune(spark), target)
     w = Run(spark, staging, target, batch_date)
-    has_countries, has_cities, has_laureates = (not w.pending(t).isEmpty() for t in ("countries", "cities", "laureates"))
-    if has_countries:
-        load_countries(w)
-    if has_cities:
-        load_cities(w)
-    if has_laureates:
-        load_laureates(w)
-    for table, present in (("countries", has_countries), ("cities", has_cities), ("laureates", has_laureates)):
-        if present:
-            w.consumed(table)
+    loaders = {"countries": load_countries, "cities": load_cities, "laureates": load_laureates}
+    for source, load in loaders.items():
+        if not w.pending(source).isEmpty():
+            with scratch_scope(spark):
+                load(w)
+            w.consumed(source)
     return w
 
 

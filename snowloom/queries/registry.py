@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from snowloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 
 class Tables:
@@ -23,7 +25,11 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        # The schema of a file is read once per process; every further read of it needs no job.
+        path = self.path(name)
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def query(sql: str):

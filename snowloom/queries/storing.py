@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from snowloom import sinks
+from snowloom import sinks, sources
 from snowloom.operators import keys, versioning
 from snowloom.queries.registry import Tables, query
 from snowloom.session import scratch_folder
@@ -96,7 +96,7 @@ SELECT c_custkey, c_name, c_acctbal + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 2
 """)
 def current_view(t: Tables):
     """The newest version of each customer."""
-    return versioning.latest(t.spark.table(_history(t)), ["c_custkey"], "upd_date")
+    return sources.current(t.spark.table(_history(t)), ["c_custkey"], "upd_date")
 
 
 @query("""

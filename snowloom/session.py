@@ -17,9 +17,14 @@ RUNTIME_CONF = {
     # Split a skewed join even when the operator above it then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Keep only the first rows of a key in each task before a window's shuffle, for limits up to this.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
 
 
+_SCOPES: list[list[str]] = []
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
@@ -52,7 +57,27 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="snowloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove what was written to the shared folder inside the block. Nothing read from there may be
+    used afterwards, so end the block only when all results have been stored."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            target = hadoop(path)
+            target.getFileSystem(conf).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
