@@ -1,6 +1,6 @@
 """Time the headline queries and print one JSON line.
 
-Every query is run once to warm up and then ``BENCH_REPEAT`` times (default 3) in full, its rows going to
+Every query is run once to warm up and then ``BENCH_REPEAT`` times (default 2) in full, its rows going to
 Spark's ``noop`` sink; the median counts. ``plain`` holds the same work written the direct way, one window
 or one step after the other, for comparison.
 """
@@ -114,7 +114,7 @@ def seconds(build, spark: SparkSession, folder: str, repeat: int) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snowloom.functions import as_schema, blank_to_null, decoded, remapped, split_code
+from snowloom.functions import as_schema, blank_to_null, decoded, remapped, split_code, typed
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -18,7 +18,12 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def cast_to(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """The schema's columns in its order; a value that does not fit its type becomes null."""
-    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in as_schema(schema).fields])
+    columns = []
+    for f in as_schema(schema).fields:
+        c = F.col(f"`{f.name}`")
+        is_text = isinstance(df.schema[f.name].dataType, T.StringType)
+        columns.append((typed(c, f.dataType) if is_text else c.try_cast(f.dataType)).alias(f.name))
+    return df.select(*columns)
 
 
 def remap(df: DataFrame, columns: str | Sequence[str], mapping: Mapping[str, str], trim: bool = True) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snowloom.functions import as_schema, trimmed
+from snowloom.functions import as_schema, trimmed, typed
 
 
 def audit_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -56,7 +56,7 @@ def audit_cast(df: DataFrame, schema: T.StructType | str, lengths: dict[str, int
     bad, long = [], []
     for f in fields:
         c = F.col(f.name)
-        bad.append(F.count_if(c.isNotNull() & c.try_cast(f.dataType).isNull()))
+        bad.append(F.count_if(c.isNotNull() & typed(c, f.dataType).isNull()))
         long.append(F.count_if(F.length(c) > lengths[f.name]) if f.name in lengths else never)
     return _one_row_per_column(df, [f.name for f in fields], {"bad_casts": bad, "too_long": long})
 

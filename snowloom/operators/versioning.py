@@ -36,11 +36,16 @@ def latest(
 
 
 def upsert_latest(
-    prev: DataFrame | None, new: DataFrame, keys: Sequence[str], version: str, tiebreak: Sequence[str] = ()
+    prev: DataFrame | None,
+    new: DataFrame,
+    keys: Sequence[str],
+    version: str,
+    tiebreak: Sequence[str] = (),
+    ties: str = "one",
 ) -> DataFrame:
-    """Previous and new rows together, one row per key: that of the highest version."""
+    """Previous and new rows together, of each key the row (or rows, see ``latest``) of the highest version."""
     rows = new if prev is None else prev.unionByName(new, allowMissingColumns=True)
-    return latest(rows, keys, version, "one", tiebreak)
+    return latest(rows, keys, version, ties, tiebreak)
 
 
 def append_guarded(prev: DataFrame | None, new: DataFrame, keys: Sequence[str]) -> DataFrame:

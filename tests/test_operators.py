@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snowloom import sinks, sources
-from snowloom.functions import in_list
+from snowloom.functions import in_list, typed
 from snowloom.operators import conform, enrich, keys, quality, reshape, versioning
 from snowloom.operators.enrich import Candidate, ParentRule, Step
 from snowloom.sinks import Layout
@@ -33,6 +33,20 @@ def test_cast_turns_bad_text_into_null(spark):
     assert typed == [(12, "1.24", None), (None, None, datetime.date(2020, 2, 29))]
 
 
+def test_typed_refuses_only_what_the_cast_refuses(spark):
+    texts = [
+        "", " ", "1", " 1 ", "\t-7\n", "+5", "1.5", ".5", "-.5", "5.", "1e3", "1E-2", "--1", "+", ".", "e5", "abc", "12abc", "99999999999",
+        "0x1F", "NaN", "\x7f3", "2020-01-01", "2020", "2020-1-2", " 2020-01-01 ", "2020-01-01T10:00", "2020-13-01", "epoch", "-2020-01-01",
+        "+2020-01-01", "1,5", "١", "1-URGENT", "2020-01-01 x", "2020-01-01Z", "12020-01-01", "020-01-01", "2020-01-", "\n1\n2",
+        "2020-01-01T\n", "1 2", "-", "1e", "1e+", "1.2.3", "12345678", "99999", "9" * 40, None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    for kind in ("int", "bigint", "smallint", "decimal(6,2)", "date", "double"):
+        data_type = spark.createDataFrame([], f"c {kind}").schema["c"].dataType
+        differing = df.where(~typed("c", data_type).eqNullSafe(F.col("c").try_cast(data_type)))
+        assert differing.collect() == [], kind
+
+
 def test_patch_first_arm_wins_and_later_columns_see_earlier_ones(spark):
     df = spark.createDataFrame([("x", None, None), ("y", "old", "keep")], "n string, a string, b string")
     rules = [
