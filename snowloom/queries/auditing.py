@@ -27,12 +27,12 @@ def audit_fk(t: Tables):
 
 @query("""
 SELECT user_id, count(*) AS n FROM events
-WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) AND user_id NOT IN (SELECT s_suppkey FROM supplier)
+WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 2000) AND user_id NOT IN (SELECT s_suppkey FROM supplier)
 GROUP BY 1
 """)
 def audit_fk_poly(t: Tables):
     """A key that may refer to either of two tables."""
-    parents = [(t.customer.where("c_custkey % 2 = 0"), ["c_custkey"]), (t.supplier, ["s_suppkey"])]
+    parents = [(t.customer.where("c_acctbal > 2000"), ["c_custkey"]), (t.supplier, ["s_suppkey"])]
     return quality.audit_fk(t.events, ["user_id"], parents)
 
 

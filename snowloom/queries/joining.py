@@ -9,11 +9,11 @@ from snowloom.operators.enrich import Candidate, ParentRule, Step
 from snowloom.queries.registry import Tables, query
 
 
-@query("SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 4 <> 0) ON c_nationkey = n_nationkey")
+@query("SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) ON c_nationkey = n_nationkey")
 def lookup_left(t: Tables):
     """Trimmed text keys; rows without a match stay."""
     code = F.concat(F.lit("  N"), F.col("n_nationkey").cast("string"), F.lit(" "))
-    nations = t.nation.where("n_nationkey % 4 <> 0").withColumn("code", code)
+    nations = t.nation.where("n_regionkey <> 2").withColumn("code", code)
     customers = t.customer.withColumn("code", F.concat(F.lit("N"), F.col("c_nationkey").cast("string"), F.lit("  ")))
     return enrich.lookup(customers, nations, "code", ["n_name"]).select("c_custkey", "c_name", "n_name")
 
@@ -64,16 +64,17 @@ def inner_chain(t: Tables):
 
 
 @query("""
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, e.event_id
-FROM lineitem JOIN events e ON l_suppkey = e.user_id AND l_linenumber = e.event_id % 7 + 1
-  AND l_returnflag = CASE e.event_type WHEN 'click' THEN 'A' WHEN 'view' THEN 'N' ELSE 'R' END
+WITH seen AS (SELECT user_id, event_id % 7 + 1 AS line, CASE event_type WHEN 'click' THEN 'A' WHEN 'view' THEN 'N' ELSE 'R' END AS flag,
+                min(event_id) AS event_id FROM events GROUP BY 1, 2, 3)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, event_id
+FROM lineitem JOIN seen ON l_suppkey = user_id AND l_linenumber = line AND l_returnflag = flag
 """)
 def inner_composite(t: Tables):
-    """An inner match on three keys, one of them text with blanks."""
+    """An inner match on three keys, one of them text with blanks; the lowest of several."""
     flag = F.when(F.col("event_type") == "click", "A ").when(F.col("event_type") == "view", " N").otherwise("R")
     events = t.events.select("event_id", "user_id", (F.col("event_id") % 7 + 1).alias("line"), flag.alias("flag"))
     on = {"l_suppkey": "user_id", "l_linenumber": "line", "l_returnflag": "flag"}
-    return enrich.lookup(t.lineitem, events, on, ["event_id"], how="inner").select(
+    return enrich.lookup(t.lineitem, events, on, ["event_id"], how="inner", lowest=True).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "event_id"
     )
 
@@ -128,15 +129,15 @@ def lookup_two_key(t: Tables):
 
 
 @query("""
-SELECT p.p_partkey, q.p_partkey AS twin FROM part p LEFT JOIN part q
-ON p.p_brand = q.p_brand AND p.p_type = q.p_type AND p.p_name = q.p_name AND q.p_size <= 5
+SELECT p.p_partkey, q.twin FROM part p LEFT JOIN (SELECT p_brand, p_type, p_name, min(p_partkey) AS twin FROM part WHERE p_size > 10 GROUP BY 1, 2, 3) q
+ON p.p_brand = q.p_brand AND p.p_type = q.p_type AND p.p_name = q.p_name
 """)
 def lookup_three_key(t: Tables):
-    """Three text keys with blanks; several matches give several rows."""
-    small = t.part.where("p_size <= 5")
+    """Three text keys with blanks; of several matches the lowest id, of parts of another size none."""
     blank = [F.concat(F.lit(" "), c).alias(c) for c in ("p_brand", "p_type", "p_name")]
+    listed = t.part.where("p_size > 10").select("p_partkey", *blank)
     return enrich.lookup(
-        t.part, small.select("p_partkey", *blank), ["p_brand", "p_type", "p_name"], {"p_partkey": "twin"}
+        t.part, listed, ["p_brand", "p_type", "p_name"], {"p_partkey": "twin"}, lowest=True
     ).select("p_partkey", "twin")
 
 

@@ -32,7 +32,7 @@ def continue_id(t: Tables):
 
 
 @query("""
-WITH known AS (SELECT c_mktsegment AS seg, c_nationkey AS nk, min(c_custkey) AS id FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1, 2),
+WITH known AS (SELECT c_mktsegment AS seg, c_nationkey AS nk, min(c_custkey) AS id FROM customer WHERE c_acctbal < 0 GROUP BY 1, 2),
      every AS (SELECT DISTINCT c_mktsegment AS seg, c_nationkey AS nk FROM customer),
      fresh AS (SELECT e.seg, e.nk FROM every e LEFT JOIN known k ON e.seg = k.seg AND e.nk = k.nk WHERE k.id IS NULL)
 SELECT id AS group_id, seg, nk FROM known
@@ -42,7 +42,7 @@ def stable_ids(t: Tables):
     """Keys seen before keep their id, new ones get the next."""
     groups = t.customer.select(F.col("c_mktsegment").alias("seg"), F.col("c_nationkey").alias("nk"))
     known = (
-        t.customer.where("c_custkey % 3 = 0")
+        t.customer.where("c_acctbal < 0")
         .groupBy(F.col("c_mktsegment").alias("seg"), F.col("c_nationkey").alias("nk"))
         .agg(F.min("c_custkey").alias("group_id"))
     )

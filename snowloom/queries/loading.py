@@ -105,9 +105,7 @@ def load_code_list(t: Tables):
 # --- conforming ------------------------------------------------------------------------------------
 
 
-@query(common("code_names") + """
-SELECT trim(country_name) AS country_name, country_code FROM code_names WHERE CAST(substr(country_code, 2) AS INTEGER) % 13 = 0
-""")
+@query("SELECT c_name AS country_name, 'C' || c_custkey AS country_code FROM customer WHERE c_acctbal <= 300")
 def load_missing_countries(t: Tables):
     listed = conforming.conform_countries(frame(t, "listed"))
     return conforming.missing_countries(frame(t, "code_names"), listed)
@@ -217,9 +215,9 @@ _COUNTRY_RULES = [
 ]
 
 
-@query(common("code_names", "listed", "regions", "continents") + """,
+@query(common("listed") + """,
   today AS (SELECT trim(country_name) AS country_name, trim(region) AS region, population, climate FROM listed UNION ALL
-    SELECT trim(country_name), NULL, NULL, NULL FROM code_names WHERE CAST(substr(country_code, 2) AS INTEGER) % 13 = 0),
+    SELECT c_name, NULL, NULL, NULL FROM customer WHERE c_acctbal <= 300),
   ids AS (SELECT row_number() OVER (ORDER BY country_name) - 1 AS country_id, * FROM today),
   past AS (SELECT row_number() OVER (ORDER BY n) - 1 + (SELECT count(*) FROM ids) AS country_id, n,
       CASE WHEN n LIKE '%-OLD' OR n = 'Supplier#000000003' THEN (SELECT country_id FROM ids WHERE country_name = 'Customer#000000001')
@@ -259,22 +257,22 @@ def load_countries(t: Tables):
 
 @query("""
 SELECT row_number() OVER (ORDER BY c_name, c_custkey) - 1 AS country_code_id, c_name AS code_name, 'C' || c_custkey AS iso2_code,
-       CASE WHEN c_custkey % 2 = 0 THEN 'I' || c_custkey END AS iso3_code,
-       CASE WHEN c_custkey % 3 <> 0 AND c_mktsegment <> 'MACHINERY' THEN s.id END AS currency_code_id,
-       CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_nationkey AS VARCHAR) END AS phone_code
+       CASE WHEN c_nationkey < 12 THEN 'I' || c_custkey END AS iso3_code,
+       CASE WHEN c_acctbal > 1000 THEN s.id END AS currency_code_id,
+       CASE WHEN c_mktsegment <> 'BUILDING' THEN CAST(c_nationkey AS VARCHAR) END AS phone_code
 FROM customer LEFT JOIN (SELECT seg, row_number() OVER (ORDER BY seg) - 1 AS id FROM
-  (SELECT DISTINCT c_mktsegment AS seg FROM customer WHERE c_mktsegment <> 'MACHINERY' AND c_custkey % 3 <> 0)) s ON s.seg = c_mktsegment
+  (SELECT DISTINCT c_mktsegment AS seg FROM customer WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal > 1000)) s ON s.seg = c_mktsegment
 """)
 def load_country_codes(t: Tables):
     """Each list joined on the code of the name: a missing currency or phone loses nothing else."""
     code = F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("country_code")
     currency = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).otherwise("").alias("currency_code")
-    currency_list = t.customer.where("c_custkey % 3 <> 0").select(code, currency)
+    currency_list = t.customer.where("c_acctbal > 1000").select(code, currency)
     return geography.country_codes(
         t.customer.select(code, F.col("c_name").alias("country_name")),
-        t.customer.where("c_custkey % 2 = 0").select(code, F.concat(F.lit("I"), F.col("c_custkey").cast("string")).alias("iso3_code")),
+        t.customer.where("c_nationkey < 12").select(code, F.concat(F.lit("I"), F.col("c_custkey").cast("string")).alias("iso3_code")),
         currency_list,
-        t.customer.where("c_custkey % 5 <> 0").select(code, F.col("c_nationkey").cast("string").alias("phone_code")),
+        t.customer.where("c_mktsegment <> 'BUILDING'").select(code, F.col("c_nationkey").cast("string").alias("phone_code")),
         reference.currencies(currency_list, None),
     )
 
@@ -284,24 +282,24 @@ _NAMES = "CASE WHEN c_custkey = 5 THEN 'Netherlands Antilles' WHEN c_custkey = 6
 
 
 @query(f"""
-WITH codes AS (SELECT c_custkey AS country_code_id, {_CODES} AS iso2, c_name AS code_name FROM customer WHERE c_custkey % 11 <> 4),
-  named AS (SELECT c_custkey + 5000000 AS country_id, {_NAMES} AS country_name FROM customer WHERE c_custkey % 17 <> 4),
+WITH codes AS (SELECT c_custkey AS country_code_id, {_CODES} AS iso2, c_name AS code_name FROM customer WHERE c_acctbal > 500 OR c_custkey < 10),
+  named AS (SELECT c_custkey + 5000000 AS country_id, {_NAMES} AS country_name, c_mktsegment = 'HOUSEHOLD' AND c_custkey >= 10 AS old FROM customer WHERE c_acctbal < 9000 OR c_custkey < 10),
   pairs AS (SELECT CASE WHEN country_name IN ('Gaza Strip', 'West Bank') THEN 'PS' ELSE iso2 END AS iso2,
                    CASE WHEN iso2 IN ('BQ', 'CW') THEN 'Netherlands Antilles' ELSE country_name END AS country_name
-            FROM codes FULL OUTER JOIN (SELECT * FROM named WHERE country_id % 10 <> 9) n ON code_name = n.country_name)
+            FROM codes FULL OUTER JOIN (SELECT * FROM named WHERE NOT old) n ON code_name = n.country_name)
 SELECT row_number() OVER (ORDER BY country_code_id, country_id) - 1 AS code_in_country_id, p.iso2 AS iso2_code,
        p.country_name, country_code_id, country_id
 FROM (SELECT DISTINCT * FROM pairs WHERE iso2 IS NOT NULL AND country_name IS NOT NULL) p JOIN codes USING (iso2) JOIN named USING (country_name)
 """)
 def load_codes_in_countries(t: Tables):
     """Codes matched to countries by name, on either side alone, and by the stated pairs."""
-    codes = t.customer.where("c_custkey % 11 <> 4").select(
+    codes = t.customer.where("c_acctbal > 500 OR c_custkey < 10").select(
         F.col("c_custkey").alias("country_code_id"), F.expr(_CODES).alias("iso2_code"), F.col("c_name").alias("code_name")
     )
     number = F.col("c_custkey") + 5000000
-    countries = t.customer.where("c_custkey % 17 <> 4").select(
+    countries = t.customer.where("c_acctbal < 9000 OR c_custkey < 10").select(
         number.alias("country_id"), F.expr(_NAMES).alias("country_name"),
-        F.when(number % 10 == 9, F.lit(0)).alias("parent_country_id"),
+        F.expr("CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_custkey >= 10 THEN 0 END").alias("parent_country_id"),
     )
     return geography.codes_in_countries(codes, countries).select(
         "code_in_country_id", "iso2_code", "country_name", "country_code_id", "country_id"
@@ -315,8 +313,8 @@ _CITY_CODE = "CASE c_nationkey WHEN 0 THEN 'ps' WHEN 1 THEN 'an' WHEN 2 THEN 'zr
 WITH placed AS (SELECT *, {_CITY_CODE} AS code, CASE WHEN c_custkey % 8 <> 0 THEN 30 + c_custkey % 10 END AS lon FROM customer),
   known AS (SELECT *, CASE WHEN code = 'ps' AND lon <= 34.8 THEN 501 WHEN code = 'ps' AND lon > 34.8 THEN 502 WHEN code = 'an' THEN 503
                           WHEN code = 'ps' THEN NULL WHEN code = 'us' THEN 1003 ELSE 1000 + c_nationkey END AS country_id FROM placed WHERE code <> 'zr'),
-  before AS (SELECT *, row_number() OVER (ORDER BY country_id NULLS FIRST, c_name) - 1 AS id FROM known WHERE c_custkey % 3 = 0),
-  later AS (SELECT *, (SELECT max(id) FROM before) + row_number() OVER (ORDER BY country_id NULLS FIRST, c_name) AS id FROM known WHERE c_custkey % 3 <> 0)
+  before AS (SELECT *, row_number() OVER (ORDER BY country_id NULLS FIRST, c_name) - 1 AS id FROM known WHERE c_mktsegment = 'MACHINERY'),
+  later AS (SELECT *, (SELECT max(id) FROM before) + row_number() OVER (ORDER BY country_id NULLS FIRST, c_name) AS id FROM known WHERE c_mktsegment <> 'MACHINERY')
 SELECT id AS city_id, c_name AS accent_city_name, CAST(country_id AS BIGINT) AS country_id, c_mktsegment AS city_region, code AS country_code,
        CASE WHEN code = 'us' THEN c_name || ', ' || c_mktsegment ELSE c_name END AS city_label, DATE '2024-01-14' AS upd_date
 FROM (SELECT * FROM before UNION ALL SELECT * FROM later)
@@ -337,7 +335,7 @@ def load_cities(t: Tables):
     )
     pairs = pairs.union(t.nation.where("n_nationkey = 0").select(F.lit("PS"), F.lit("West Bank"), F.lit(502).cast("long")))
     pairs = pairs.union(t.nation.where("n_nationkey = 1").select(F.lit("CW"), F.lit("Netherlands Antilles"), F.lit(503).cast("long")))
-    before = materialize(geography.cities(sinks.stamp(conformed.where("c_custkey % 3 = 0"), date(2024, 1, 7)), pairs, None), "cities")
+    before = materialize(geography.cities(sinks.stamp(conformed.where("city_region = 'MACHINERY'"), date(2024, 1, 7)), pairs, None), "cities")
     rows = geography.cities(sinks.stamp(conformed, date(2024, 1, 14)), pairs, before)
     return rows.select("city_id", "accent_city_name", "country_id", "city_region", "country_code", "city_label", "upd_date")
 
@@ -474,7 +472,7 @@ def load_prizes(t: Tables):
     return new.drop("nobel_prize_id").withColumns({name: numbers.agg(a).scalar() for name, a in totals.items()})
 
 
-_PEOPLE = "SELECT c_custkey AS laureate_id, c_name AS full_name, DATE '1900-01-01' AS birth_date, {city} AS birth_city_id, {country} AS birth_country_id, {city2} AS death_city_id, {country2} AS death_country_id, DATE '2024-01-07' AS upd_date FROM {{customer}} WHERE c_custkey % 9 <> 0".format(
+_PEOPLE = "SELECT c_custkey AS laureate_id, c_name AS full_name, DATE '1900-01-01' AS birth_date, {city} AS birth_city_id, {country} AS birth_country_id, {city2} AS death_city_id, {country2} AS death_country_id, DATE '2024-01-07' AS upd_date FROM {{customer}} WHERE c_mktsegment <> 'BUILDING'".format(
     city="CASE WHEN c_custkey % 6 <> 0 THEN c_custkey END", country="CAST(CASE WHEN c_nationkey % 5 <> 4 AND c_custkey % 4 = 0 THEN 1000 + c_nationkey ELSE c_nationkey END AS BIGINT)",
     city2="CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1 END", country2="CASE WHEN c_custkey % 3 = 0 THEN CAST(3 AS BIGINT) END",
 )

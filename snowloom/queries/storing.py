@@ -21,42 +21,45 @@ def _database(t: Tables) -> str:
     return name
 
 
-def _orders(t: Tables):
-    return t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+_EARLY = "CAST(o_orderdate AS DATE) < DATE '1998-04-01'"
 
 
-@query("""
+def _orders(t: Tables, where: str = "true"):
+    return t.orders.where(where).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query(f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-       CASE WHEN o_orderkey % 2 = 0 THEN DATE '2024-01-07' ELSE DATE '2024-01-14' END AS upd_date FROM orders
+       CASE WHEN {_EARLY} THEN DATE '2024-01-07' ELSE DATE '2024-01-14' END AS upd_date FROM orders
 """)
 def land_two_batches(t: Tables):
     table = f"{_database(t)}.orders"
-    sinks.land(_orders(t).where("o_orderkey % 2 = 0"), table, date(2024, 1, 7))
-    sinks.land(_orders(t).where("o_orderkey % 2 = 1"), table, date(2024, 1, 14))
+    sinks.land(_orders(t, _EARLY), table, date(2024, 1, 7))
+    sinks.land(_orders(t, f"NOT {_EARLY}"), table, date(2024, 1, 14))
     return t.spark.table(table)
 
 
-@query("""
+@query(f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-       CASE WHEN o_orderkey % 2 = 0 THEN DATE '2024-01-07' ELSE DATE '2024-01-14' END AS upd_date FROM orders
+       CASE WHEN {_EARLY} THEN DATE '2024-01-07' ELSE DATE '2024-01-14' END AS upd_date FROM orders
 """)
 def land_rerun(t: Tables):
     """A batch landed again replaces itself and nothing else."""
     table = f"{_database(t)}.orders"
-    sinks.land(_orders(t).where("o_orderkey % 2 = 0"), table, date(2024, 1, 7))
-    sinks.land(_orders(t).where("o_orderkey % 2 = 1"), table, date(2024, 1, 14))
-    sinks.land(_orders(t).where("o_orderkey % 2 = 0"), table, date(2024, 1, 7))
+    sinks.land(_orders(t, _EARLY), table, date(2024, 1, 7))
+    sinks.land(_orders(t, f"NOT {_EARLY}"), table, date(2024, 1, 14))
+    sinks.land(_orders(t, _EARLY), table, date(2024, 1, 7))
     return t.spark.table(table)
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, DATE '2024-01-14' AS upd_date FROM orders WHERE o_orderkey % 2 = 1")
+@query(f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, DATE '2024-01-14' AS upd_date FROM orders WHERE NOT {_EARLY}")
 def pending_batches(t: Tables):
     """Only the batch after the consumed one is still to be read."""
     database = _database(t)
     table, marks = f"{database}.orders", f"{database}.marks"
-    sinks.land(_orders(t).where("o_orderkey % 2 = 0"), table, date(2024, 1, 7))
+    sinks.land(_orders(t, _EARLY), table, date(2024, 1, 7))
     sinks.mark_consumed(t.spark, table, marks)
-    sinks.land(_orders(t).where("o_orderkey % 2 = 1"), table, date(2024, 1, 14))
+    sinks.land(_orders(t, f"NOT {_EARLY}"), table, date(2024, 1, 14))
     return sinks.pending(t.spark, table, marks)
 
 
@@ -74,7 +77,7 @@ def land_files_once(t: Tables):
 
 @query("""
 SELECT c_custkey, c_name, c_acctbal + v AS balance, CAST(DATE '2024-01-01' + CAST(v AS INTEGER) AS DATE) AS upd_date
-FROM customer, (SELECT unnest([0, 1, 2]) AS v) WHERE v < 2 OR c_custkey % 5 <> 0
+FROM customer, (SELECT unnest([0, 1, 2]) AS v) WHERE v < 2 OR c_mktsegment <> 'MACHINERY'
 """)
 def snapshot_history(t: Tables):
     """Three full lists appended as partitions; the third lacks some rows."""
@@ -84,26 +87,29 @@ def snapshot_history(t: Tables):
 def _history(t: Tables) -> str:
     table = f"{_database(t)}.customers"
     for v in range(3):
-        rows = t.customer.where("c_custkey % 5 <> 0") if v == 2 else t.customer
+        rows = t.customer.where("c_mktsegment <> 'MACHINERY'") if v == 2 else t.customer
         rows = rows.select("c_custkey", "c_name", (F.col("c_acctbal") + v).alias("balance"))
         sinks.append(sinks.stamp(rows, date(2024, 1, 1 + v)), table, Layout(("upd_date",)))
     return table
 
 
 @query("""
-SELECT c_custkey, c_name, c_acctbal + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 2 END AS balance,
-       CASE WHEN c_custkey % 5 = 0 THEN DATE '2024-01-02' ELSE DATE '2024-01-03' END AS upd_date FROM customer
+SELECT c_custkey, c_name, c_acctbal + CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 2 END AS balance,
+       CASE WHEN c_mktsegment = 'MACHINERY' THEN DATE '2024-01-02' ELSE DATE '2024-01-03' END AS upd_date FROM customer
 """)
 def current_view(t: Tables):
     """The newest version of each customer."""
     return sources.current(t.spark.table(_history(t)), ["c_custkey"], "upd_date")
 
 
-@query("""
+_FIRST_HALF = "CAST(ts AS DATE) < DATE '2024-01-16'"
+
+
+@query(f"""
 SELECT kind AS user_key, CASE WHEN n2 > 0 THEN DATE '2024-02-01' ELSE DATE '2024-01-01' END AS upd_date,
        CASE WHEN n2 > 0 THEN v2 ELSE v1 END AS top_value
-FROM (SELECT user_id AS kind, count(*) FILTER (WHERE event_id % 3 <> 0) AS n2,
-             max(value) FILTER (WHERE event_id % 3 = 0) AS v1, max(value) FILTER (WHERE event_id % 3 <> 0) AS v2
+FROM (SELECT user_id AS kind, count(*) FILTER (WHERE NOT {_FIRST_HALF}) AS n2,
+             max(value) FILTER (WHERE {_FIRST_HALF}) AS v1, max(value) FILTER (WHERE NOT {_FIRST_HALF}) AS v2
       FROM events GROUP BY 1)
 """)
 def upsert_latest(t: Tables):
@@ -114,34 +120,33 @@ def upsert_latest(t: Tables):
     def tops(events, day):
         return sinks.stamp(events.groupBy(F.col("user_id").alias("user_key")).agg(F.max("value").alias("top_value")), day)
 
-    sinks.publish(tops(t.events.where("event_id % 3 = 0"), date(2024, 1, 1)), table, layout)
-    delta = tops(t.events.where("event_id % 3 <> 0"), date(2024, 2, 1))
+    sinks.publish(tops(t.events.where(_FIRST_HALF), date(2024, 1, 1)), table, layout)
+    delta = tops(t.events.where(f"NOT {_FIRST_HALF}"), date(2024, 2, 1))
     sinks.publish(versioning.upsert_latest(t.spark.table(table), delta, ["user_key"], "upd_date"), table, layout)
     return t.spark.table(table).select("user_key", "upd_date", "top_value")
 
 
 @query("""
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0
-UNION ALL SELECT o_orderkey, o_custkey, 'X', o_totalprice FROM orders WHERE o_orderkey % 3 = 0
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'O'
+UNION ALL SELECT o_orderkey, o_custkey, 'X', o_totalprice FROM orders WHERE o_orderstatus = 'O'
 """)
 def append_guarded(t: Tables):
     """Keys already there are not added again."""
     table = f"{_database(t)}.facts"
-    first = _orders(t).where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("X"))
+    first = _orders(t, "o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("X"))
     sinks.append(first, table)
     sinks.append(versioning.append_guarded(t.spark.table(table), _orders(t), ["o_orderkey"]), table)
     return t.spark.table(table)
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'new' ELSE o_orderpriority END AS o_orderpriority, o_totalprice FROM orders
-WHERE NOT (o_orderkey % 4 = 1 AND o_orderstatus = 'F')
+SELECT o_orderkey, CASE WHEN o_orderstatus IN ('O', 'F') THEN 'new' ELSE o_orderpriority END AS o_orderpriority, o_totalprice FROM orders
 """)
 def replace_keys(t: Tables):
-    """Rows of the touched keys exchanged; all others stay."""
-    prev = t.orders.where("NOT (o_orderkey % 4 = 1 AND o_orderstatus = 'F')")
-    prev = prev.select("o_orderkey", "o_orderpriority", "o_totalprice")
-    rebuilt = prev.where("o_orderkey % 4 = 0").withColumn("o_orderpriority", F.lit("new"))
+    """Rows of the touched keys exchanged, rows of new keys added, all others stay."""
+    orders = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    prev = orders.where("o_orderstatus <> 'F'").drop("o_orderstatus")
+    rebuilt = orders.where("o_orderstatus IN ('O', 'F')").drop("o_orderstatus").withColumn("o_orderpriority", F.lit("new"))
     return versioning.replace_keys(prev, rebuilt, ["o_orderkey"])
 
 

@@ -14,18 +14,18 @@ WORLD = {
     "laureates": """
         SELECT CAST(year(o_orderdate) AS INT) AS year, o_orderpriority AS category, concat('Prize ', CAST(o_orderkey AS STRING)) AS prize,
           concat('For ', o_orderstatus) AS motivation, '1/1' AS prize_share, o_custkey AS laureate_id,
-          CASE WHEN o_custkey % 9 = 0 THEN 'Organization' ELSE 'Individual' END AS laureate_type, c_name AS full_name,
+          CASE WHEN c_mktsegment = 'BUILDING' THEN 'Organization' ELSE 'Individual' END AS laureate_type, c_name AS full_name,
           DATE '1900-01-01' + CAST(c_custkey % 20000 AS INT) AS birth_date,
           concat('City ', CAST(c_custkey % 50 AS STRING), ' ') AS birth_city,
           concat(CASE WHEN c_custkey % 4 = 0 THEN 'Old Country ' ELSE 'Country ' END, CAST(c_nationkey AS STRING)) AS birth_country,
-          CASE WHEN o_custkey % 9 = 0 THEN NULL WHEN o_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
+          CASE WHEN c_mktsegment = 'BUILDING' THEN NULL WHEN o_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
           CASE WHEN o_custkey % 7 = 3 THEN NULL ELSE concat(' ', s_name) END AS organization_name,
           CASE WHEN o_custkey % 7 = 3 THEN NULL ELSE concat('City ', CAST(s_suppkey % 50 AS STRING)) END AS organization_city,
           CASE WHEN o_custkey % 7 = 3 THEN NULL ELSE concat('Country ', CAST(s_nationkey AS STRING)) END AS organization_country,
           CASE WHEN o_custkey % 3 = 0 THEN DATE '1990-01-01' END AS death_date,
           CASE WHEN o_custkey % 3 = 0 THEN concat('City ', CAST(c_custkey % 70 AS STRING)) END AS death_city,
           CASE WHEN o_custkey % 3 = 0 THEN 'Country 3' END AS death_country,
-          CASE WHEN o_orderkey % 2 = 0 THEN DATE '2024-01-07' ELSE DATE '2024-01-14' END AS upd_date
+          CASE WHEN CAST(o_orderdate AS DATE) < DATE '1998-04-01' THEN DATE '2024-01-07' ELSE DATE '2024-01-14' END AS upd_date
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {lineitem} ON l_orderkey = o_orderkey
         JOIN {supplier} ON s_suppkey = l_suppkey""",
     # Nations, and for each an older one whose parent it is.
@@ -35,7 +35,7 @@ WORLD = {
           CAST(NULL AS BIGINT) AS parent_country_id, n_nationkey * 1000 AS population, n_nationkey * 7 AS gdb_dollar_per_capita
         FROM {nation} UNION ALL
         SELECT 1000 + n_nationkey, concat('Old Country ', CAST(n_nationkey AS STRING)), NULL, NULL, CAST(n_nationkey AS BIGINT), NULL, NULL
-        FROM {nation} WHERE n_nationkey % 5 <> 4""",
+        FROM {nation} WHERE n_regionkey <> 4""",
     # Several cities share a label and a country.
     "cities": """
         SELECT c_custkey AS city_id, concat('City ', CAST(c_custkey % 60 AS STRING)) AS city_label,
@@ -48,11 +48,11 @@ WORLD = {
     "continents": """
         SELECT DISTINCT CAST(r_regionkey % 3 AS BIGINT) AS continent_id, concat('Continent ', CAST(r_regionkey % 3 AS STRING)) AS continent_name,
           concat('K', CAST(r_regionkey % 3 AS STRING)) AS continent_code FROM {region}""",
-    # A code list: customers as countries, every thirteenth without a row in the country list.
+    # A code list: customers as countries, some without a row in the country list.
     "code_names": "SELECT concat('C', CAST(c_custkey AS STRING)) AS country_code, concat(c_name, ' ') AS country_name FROM {customer}",
     "listed": """
         SELECT concat(c_name, '  ') AS country_name, c_mktsegment AS region, CAST(floor(c_acctbal) AS INT) AS population,
-          CAST(c_nationkey AS DECIMAL(4,2)) AS climate, DATE '2024-01-07' AS upd_date FROM {customer} WHERE c_custkey % 13 <> 0""",
+          CAST(c_nationkey AS DECIMAL(4,2)) AS climate, DATE '2024-01-07' AS upd_date FROM {customer} WHERE c_acctbal > 300""",
 }
 
 
