@@ -57,8 +57,10 @@ def append_guarded(prev: DataFrame | None, new: DataFrame, keys: Sequence[str])
 
 
 def only_keys(df: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key is among the touched ones."""
+    """The rows whose key is among the touched ones. The touched keys are written, so that Spark knows
+    their size and need not shuffle the rows when they are few."""
     wanted = touched.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
+    wanted = materialize(wanted, "touched-keys")
     return df.join(wanted, null_safe_equal([(k, f"__k{i}") for i, k in enumerate(keys)]), "left_semi")
 
 

@@ -26,6 +26,7 @@ class Run:
     def __init__(self, spark: SparkSession, staging: str, target: str, batch_date: date | str):
         self.spark, self.staging, self.target, self.batch_date = spark, staging, target, batch_date
         self.marks = f"{target}.consumed_batches"
+        self.published: set[str] = set()
 
     def name(self, table: str) -> str:
         return f"{self.target}.{table}"
@@ -39,6 +40,7 @@ class Run:
     def publish(self, table: str, df: DataFrame) -> DataFrame:
         """Replace a table that the new content may have been computed from."""
         sinks.publish(df, self.name(table), schemas.LAYOUTS.get(table, Layout()))
+        self.published.add(table)
         return self[table]
 
     def append(self, table: str, df: DataFrame) -> DataFrame:
@@ -50,12 +52,16 @@ class Run:
             sinks.insert(df, self.name(table), layout, overwrite=bool(layout.partitions))
         return self[table]
 
-    def list(self, table: str) -> DataFrame:
+    def listed(self, table: str) -> DataFrame:
         return self.spark.table(f"{self.staging}.{table}")
 
     def pending(self, table: str) -> DataFrame:
         return sinks.pending(self.spark, f"{self.staging}.{table}", self.marks)
 
+    def pending_dates(self, table: str) -> list[date]:
+        """The load dates of the pending batches, a handful, for filters on partitions."""
+        return [row[0] for row in self.pending(table).select("upd_date").distinct().collect()]
+
     def seed(self, rows, schema: str) -> DataFrame:
         return sources.seed(self.spark, rows, schema)
 
@@ -72,13 +78,16 @@ def run(spark: SparkSession, staging: str, target: str, batch_date: date | str)
             with scratch_scope(spark):
                 load(w)
             w.consumed(source)
+    # The versions before this run stay for readers that began with them; older ones go.
+    for table in w.published:
+        sinks.retire(spark, w.name(table))
     return w
 
 
 def load_countries(w: Run) -> None:
     conformed = conforming.conform_countries(w.pending("countries"))
     names, continent_list, currency_list = (
-        w.list(t) for t in ("country_names", "country_continents", "country_currencies")
+        w.listed(t) for t in ("country_names", "country_continents", "country_currencies")
     )
     regions = w.publish("regions", reference.regions(conformed, w.stored("regions")))
     continents = w.publish("continents", reference.continents(continent_list, w.stored("continents")))
@@ -87,11 +96,11 @@ def load_countries(w: Run) -> None:
         conformed,
         conforming.missing_countries(names, conformed),
         w.seed([(name,) for name in fixed.HISTORICAL_COUNTRIES], "country_name string"),
-        regions, continents, names, continent_list, w.list("country_capital"), w.batch_date, w.stored("countries"),
+        regions, continents, names, continent_list, w.listed("country_capital"), w.batch_date, w.stored("countries"),
     )
     history = w.append("countries", snapshot)
     newest = w.publish("countries_uptodate", versioning.latest(history, ["country_name"], "upd_date"))
-    codes = geography.country_codes(names, w.list("country_iso3"), currency_list, w.list("country_phones"), currencies)
+    codes = geography.country_codes(names, w.listed("country_iso3"), currency_list, w.listed("country_phones"), currencies)
     codes = w.publish("country_codes", codes)
     pairs = w.publish("code_country_names", geography.codes_in_countries(codes, newest))
     w.publish("codes_in_countries", pairs.select("code_in_country_id", "country_code_id", "country_id"))
@@ -101,7 +110,7 @@ def load_cities(w: Run) -> None:
     conformed = conforming.conform_cities(w.pending("cities"))
     rows = geography.cities(conformed, w["code_country_names"], w.stored("cities_labelled"))
     labelled = w.append("cities_labelled", rows)
-    today = versioning.only_keys(labelled, w.pending("cities").select("upd_date"), ["upd_date"])
+    today = labelled.where(F.col("upd_date").isin(w.pending_dates("cities")))
     w.append("cities", today.drop("city_label", "country_code"))
     newest = versioning.latest(labelled, geography.CITY_KEY, "upd_date", ties="all")
     newest = w.publish("cities_labelled_uptodate", newest)
@@ -136,7 +145,7 @@ def load_laureates(w: Run) -> None:
     add_facts(w, "nobel_prizes", prizes)
 
     # Rows of a laureate may arrive in several batches, so the touched keys are built from all batches.
-    landed = conforming.conform_laureates(w.list("laureates"))
+    landed = conforming.conform_laureates(w.listed("laureates"))
     touched = versioning.only_keys(landed, rows, wide.DATASET_KEY)
     built = wide.dataset(
         touched, persons, places, organizations, countries, cities, w["regions"], w["continents"]

@@ -12,9 +12,10 @@ from snowloom.sinks.tables import (
     publish,
     retire,
     stamp,
+    versions,
 )
 
 __all__ = [
     "Layout", "append", "copy_tables", "create_table", "ensure_database", "insert", "land", "mark_consumed",
-    "partitions_last", "pending", "publish", "retire", "stamp",
+    "partitions_last", "pending", "publish", "retire", "stamp", "versions",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -33,15 +34,17 @@ def partitions_last(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in partitions], *partitions)
 
 
-def gathered(df: DataFrame, layout: Layout) -> DataFrame:
+def gathered(df: DataFrame, layout: Layout, constant: Sequence[str] = ()) -> DataFrame:
     """Bring rows of one partition and bucket together before a write, so files are few and full.
 
     A rebalance, not a repartition: Spark measures the result, splits what is too large, so a
     partition holding a third of the rows is written by many tasks, and merges what is too small.
+    Partition columns that are ``constant`` in these rows bring nothing together; without others and
+    without buckets the rows are written where they are.
     """
-    if not layout.partitions and not layout.buckets:
+    by = [c for c in layout.partitions if c not in constant]
+    if not by and not layout.buckets:
         return df
-    by = list(layout.partitions)
     if layout.buckets:
         # The number Spark's own bucketing gives the row.
         df = df.withColumn("__bucket", F.pmod(F.hash(*layout.bucket_by), F.lit(layout.buckets)))
@@ -49,10 +52,12 @@ def gathered(df: DataFrame, layout: Layout) -> DataFrame:
     return df.hint("rebalance", *by).drop("__bucket")
 
 
-def create_table(df: DataFrame, table: str, layout: Layout = Layout(), mode: str = "overwrite") -> None:
+def create_table(
+    df: DataFrame, table: str, layout: Layout = Layout(), mode: str = "overwrite", constant: Sequence[str] = ()
+) -> None:
     """Write a table that has the layout; ``overwrite`` replaces the whole table."""
     df = partitions_last(df, layout.partitions)
-    writer = gathered(df, layout).write.format(layout.format).mode(mode)
+    writer = gathered(df, layout, constant).write.format(layout.format).mode(mode)
     if layout.partitions:
         writer = writer.partitionBy(*layout.partitions)
     if layout.buckets:
@@ -68,10 +73,12 @@ def append(df: DataFrame, table: str, layout: Layout = Layout()) -> None:
         create_table(df, table, layout)
 
 
-def insert(df: DataFrame, table: str, layout: Layout = Layout(), overwrite: bool = False) -> None:
+def insert(
+    df: DataFrame, table: str, layout: Layout = Layout(), overwrite: bool = False, constant: Sequence[str] = ()
+) -> None:
     """Insert by column name; with ``overwrite`` the partitions the rows fall in are replaced."""
     spark = df.sparkSession
-    rows = gathered(df.select(*spark.table(table).columns), layout)
+    rows = gathered(df.select(*spark.table(table).columns), layout, constant)
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         rows.write.insertInto(table, overwrite=overwrite)
 
@@ -87,9 +94,9 @@ def land(
         raise ValueError("a landing table is partitioned by its load date alone")
     rows = stamp(df, batch_date)
     if df.sparkSession.catalog.tableExists(table):
-        insert(rows, table, layout, overwrite=True)
+        insert(rows, table, layout, overwrite=True, constant=["upd_date"])
     else:
-        create_table(rows, table, layout)
+        create_table(rows, table, layout, constant=["upd_date"])
 
 
 def pending(spark: SparkSession, table: str, marks: str, column: str = "upd_date") -> DataFrame:
@@ -114,19 +121,29 @@ def mark_consumed(spark: SparkSession, table: str, marks: str, column: str = "up
 def publish(df: DataFrame, name: str, layout: Layout = Layout()) -> str:
     """Replace a table that ``df`` may itself read: write a new version, then point the view at it.
 
-    Readers see the old version or the new one, never a part. The old version stays until ``retire``.
+    Readers see the old version or the new one, never a part. Old versions stay until ``retire``.
     """
     spark = df.sparkSession
-    version = f"{name}__v{uuid.uuid4().hex}"
+    # Version names sort in the order they were made.
+    version = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     create_table(df, version, layout)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
     return version
 
 
-def retire(spark: SparkSession, versions: Sequence[str]) -> None:
-    """Drop versions no reader needs any more."""
-    for version in versions:
-        spark.sql(f"DROP TABLE IF EXISTS {version}")
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """The stored versions of a published table, oldest first."""
+    database, _, table = name.rpartition(".")
+    found = spark.catalog.listTables(database or None, f"{table}__v*")
+    return sorted(f"{database}.{t.name}" if database else t.name for t in found)
+
+
+def retire(spark: SparkSession, name: str, keep: int = 2) -> None:
+    """Drop all but the newest versions; the newest is the one the view shows."""
+    if keep < 1:
+        raise ValueError("the newest version is in use")
+    for version in versions(spark, name)[:-keep]:
+        spark.sql(f"DROP TABLE {version}")
 
 
 def copy_tables(spark: SparkSession, names: Mapping[str, str], layouts: Mapping[str, Layout] | None = None) -> None:

@@ -236,10 +236,13 @@ def test_sinks(spark):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     with pytest.raises(ValueError):
         sinks.land(df, "sink_test.u", "2024-01-01", layout)
-    first = sinks.publish(df, "sink_test.v", Layout(("part",)))
+    sinks.publish(df, "sink_test.v", Layout(("part",)))
     sinks.publish(spark.table("sink_test.v").where("i = 2"), "sink_test.v", Layout(("part",)))
     assert rows(spark.table("sink_test.v"), "i") == [(2,)]
-    sinks.retire(spark, [first])
+    newest = sinks.publish(spark.table("sink_test.v"), "sink_test.v", Layout(("part",)))
+    assert len(sinks.versions(spark, "sink_test.v")) == 3
+    sinks.retire(spark, "sink_test.v", keep=1)
+    assert sinks.versions(spark, "sink_test.v") == [newest]
     assert rows(spark.table("sink_test.v"), "i") == [(2,)]
     sinks.ensure_database(spark, "sink_test", reset=True)
     assert not spark.catalog.tableExists("sink_test.v")

@@ -6,7 +6,8 @@ import domain
 import pytest
 
 from snowloom import sinks
-from snowloom.plans import staging, warehouse
+from snowloom.plans import conforming, staging, warehouse
+from snowloom.plans import dataset as wide
 
 DAY1, DAY2, DAY3 = datetime.date(2022, 12, 19), datetime.date(2022, 12, 26), datetime.date(2023, 1, 2)
 
@@ -237,6 +238,23 @@ def test_dataset(loaded):
     assert (8, 1903) in first and (8, 1911) in first
 
 
+def test_wide_table_by_laureate_alone(spark, loaded):
+    """The other grain: one row per laureate, the prizes of one laureate collapsed."""
+    w = loaded["w"]
+    rows_ = conforming.conform_laureates(w.listed("laureates"))
+    frames = [w[t] for t in ("laureate_persons", "organization_places", "organizations", "countries_uptodate",
+                             "cities_labelled_uptodate", "regions", "continents")]
+    got = {r["laureate_id"]: r for r in wide.dataset(rows_, *frames, keys_=["laureate_id"]).collect()}
+    assert len(got) == w["laureate_persons"].count() + 1
+    assert (got[8]["year"], got[8]["category"], got[8]["prize"]) == (1903, "Chemistry", "Prize in Chemistry 1911")
+    assert got[3]["year"] == 1917 and got[3]["upd_date"] == DAY2
+
+
+def test_old_versions_are_dropped(spark, loaded):
+    assert len(sinks.versions(spark, "dwh.dataset")) == 2
+    assert len(sinks.versions(spark, "dwh.countries_uptodate")) == 2
+
+
 def test_runs_without_news_change_nothing(loaded):
     assert {t: sorted(map(repr, r)) for t, r in loaded["nothing new"].items()} == {
         t: sorted(map(repr, r)) for t, r in loaded["first"].items()
