@@ -36,9 +36,13 @@ def slots(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], col
 
 
 def pivot_slots(df: DataFrame, keys: Sequence[str], number: str, cols: Sequence[str], n: int) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        *[F.min(F.when(F.col(number) == i, F.col(c))).alias(f"{c}{i}") for i in range(1, n + 1) for c in cols]
-    )
+    """Turn rows numbered 1 to ``n`` within their key into numbered columns.
+
+    A number occurs once per key, so a slot is taken as one struct and not column by column.
+    """
+    slot = F.struct(*cols)
+    taken = df.groupBy(*keys).agg(*[F.min(F.when(F.col(number) == i, slot)).alias(f"__{i}") for i in range(1, n + 1)])
+    return taken.select(*keys, *[F.col(f"__{i}.{c}").alias(f"{c}{i}") for i in range(1, n + 1) for c in cols])
 
 
 def collapse_with_slots(

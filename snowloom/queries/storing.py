@@ -186,7 +186,7 @@ def table_copy(t: Tables):
     sinks.create_table(t.customer.select("c_nationkey", "c_name", "c_mktsegment", "c_custkey"), f"{database}.a")
     layouts = {f"{database}.b": Layout(("c_nationkey",))}
     sinks.copy_tables(t.spark, {f"{database}.a": f"{database}.b"}, layouts)
-    return t.spark.table(f"{database}.b")
+    return sources.read_table(t.spark, f"{database}.b")
 
 
 @query("""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import decimal
+import io
 import math
 from collections import Counter
 
@@ -17,6 +19,13 @@ def connect(folder: str, tables: list[str]) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def plan(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("simple")
+    return out.getvalue()
+
+
 def plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)

@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from compare import connect, differences
+from compare import connect, differences, plan
 from conftest import DATA, TABLES
 
 import __spark_entry__ as entry_points
@@ -27,4 +27,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_query(spark, con, name):
     df = entry_points.queries()[name](spark, FOLDER)
+    # No join of all pairs and no Python between Spark's own operators.
+    text = plan(df)
+    for word in ("CartesianProduct", "NestedLoop", "EvalPython", "MapInPandas", "FlatMapGroups"):
+        assert word not in text
     assert differences(df, con, entry_points.oracle_sql()[name]) == []

@@ -1,14 +1,15 @@
 """Plans and partition sizes that must hold when one key has a third of the rows."""
 
 import contextlib
-import io
 import os
 
 import pytest
+from compare import plan
 from conftest import DATA
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from snowloom import sinks
 from snowloom.operators import enrich, keys, reshape, skew, versioning
 from snowloom.session import RUNTIME_CONF, materialize, scratch_folder, scratch_scope, setting, tune
 from snowloom.sinks.tables import Layout, gathered
@@ -16,13 +17,6 @@ from snowloom.sinks.tables import Layout, gathered
 ROWS = 30_000
 
 
-def plan(df) -> str:
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("simple")
-    return out.getvalue()
-
-
 @pytest.fixture(scope="module")
 def hot(spark):
     """A third of the rows have key 0."""
@@ -143,11 +137,24 @@ def test_scratch_follows_the_session_and_is_removed(spark, monkeypatch):
         scratch_folder(Remote, "x")
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
-def test_no_pair_joins_and_no_python_in_plans(spark, name):
-    text = plan(entry_points.queries()[name](spark, f"{DATA}/sf0.001"))
-    for word in ("CartesianProduct", "NestedLoop", "EvalPython", "MapInPandas", "FlatMapGroups"):
-        assert word not in text
+def test_bucketed_tables_join_where_they_are(spark):
+    sinks.ensure_database(spark, "bucket_test", reset=True)
+    orders = spark.read.parquet(f"{DATA}/sf0.001/orders.parquet")
+    lines = spark.read.parquet(f"{DATA}/sf0.001/lineitem.parquet")
+    layout = Layout((), 8, ("o_orderkey",))
+    sinks.create_table(orders.select("o_orderkey", "o_custkey"), "bucket_test.orders", layout)
+    sinks.insert(orders.select("o_orderkey", "o_custkey"), "bucket_test.orders", layout)
+    sinks.create_table(lines.select("l_orderkey", "l_partkey"), "bucket_test.lines", Layout((), 8, ("l_orderkey",)))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        joined = spark.table("bucket_test.lines").join(spark.table("bucket_test.orders"), F.expr("l_orderkey = o_orderkey"))
+        text = plan(joined)
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert joined.count() == 2 * lines.count()
+
+
+def test_landing_one_date_moves_no_rows(spark, hot):
+    text = plan(gathered(hot.withColumn("upd_date", F.lit("2024-01-01")), Layout(("upd_date",)), ["upd_date"]))
+    assert "Exchange" not in text
 
 
 def test_scans_read_only_what_is_used(spark):
