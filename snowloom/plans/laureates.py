@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from snowloom.operators import enrich, keys, reshape, versioning
 from snowloom.operators.enrich import Candidate, ParentRule
 from snowloom.plans import fixed_values as fixed
+from snowloom.session import materialize
 
 PERSON = "laureate_type = 'Individual'"
 SOCIETY = "laureate_type = 'Organization'"
@@ -79,7 +80,8 @@ def persons(
     ]
     # Reduced to one row per person before the places are looked up, so each person is looked up once.
     new = versioning.latest(reshape.entity(laureates, cols, PERSON), PERSON_KEY, "upd_date", "one", ["laureate_id"])
-    new = enrich.lookup(new, genders, "gender", ["gender_id"])
+    # Written once: the places of each role are resolved from it before it is itself read.
+    new = materialize(enrich.lookup(new, genders, "gender", ["gender_id"]), "persons")
     for role in ("birth", "death"):
         new = _with_city(_with_country(new, role, countries), role, cities, overrides)
     new = new.select(

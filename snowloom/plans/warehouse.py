@@ -16,7 +16,7 @@ from snowloom.operators import quality, versioning
 from snowloom.plans import conforming, geography, laureates, reference, schemas
 from snowloom.plans import dataset as wide
 from snowloom.plans import fixed_values as fixed
-from snowloom.session import scratch_scope, tune
+from snowloom.session import materialize, scratch_scope, tune
 from snowloom.sinks import Layout, stamp
 
 
@@ -146,11 +146,16 @@ def load_laureates(w: Run) -> None:
 
     # Rows of a laureate may arrive in several batches, so the touched keys are built from all batches.
     landed = conforming.conform_laureates(w.listed("laureates"))
-    touched = versioning.only_keys(landed, rows, wide.DATASET_KEY)
+    touched = materialize(versioning.only_keys(landed, rows, wide.DATASET_KEY), "touched-rows")
     built = wide.dataset(
         touched, persons, places, organizations, countries, cities, w["regions"], w["continents"]
     )
-    w.publish("dataset", versioning.replace_keys(w.stored("dataset"), built, wide.DATASET_KEY))
+    before = w.stored("dataset")
+    if before is not None and versioning.only_keys(before, touched, wide.DATASET_KEY).isEmpty():
+        # The usual batch has new prizes alone, which are added to what is stored.
+        sinks.extend(built, w.name("dataset"), schemas.LAYOUTS["dataset"])
+    else:
+        w.publish("dataset", versioning.replace_keys(before, built, wide.DATASET_KEY))
 
 
 def add_facts(w: Run, table: str, rows: DataFrame) -> None:

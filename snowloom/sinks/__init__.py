@@ -4,6 +4,7 @@ from snowloom.sinks.tables import (
     copy_tables,
     create_table,
     ensure_database,
+    extend,
     insert,
     land,
     mark_consumed,
@@ -16,6 +17,6 @@ from snowloom.sinks.tables import (
 )
 
 __all__ = [
-    "Layout", "append", "copy_tables", "create_table", "ensure_database", "insert", "land", "mark_consumed",
+    "Layout", "append", "copy_tables", "create_table", "ensure_database", "extend", "insert", "land", "mark_consumed",
     "partitions_last", "pending", "publish", "retire", "stamp", "versions",
 ]

@@ -131,6 +131,11 @@ def publish(df: DataFrame, name: str, layout: Layout = Layout()) -> str:
     return version
 
 
+def extend(df: DataFrame, name: str, layout: Layout = Layout()) -> None:
+    """Add rows to the version a published table shows, without writing the others again."""
+    insert(df, versions(df.sparkSession, name)[-1], layout)
+
+
 def versions(spark: SparkSession, name: str) -> list[str]:
     """The stored versions of a published table, oldest first."""
     database, _, table = name.rpartition(".")

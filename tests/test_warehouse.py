@@ -274,3 +274,20 @@ def test_copy_in_declared_layouts(spark, loaded):
     assert [r["partition"].split("/")[0] for r in spark.sql("show partitions mart.countries").collect()] == [
         "upd_date=2022-12-19", "upd_date=2022-12-26",
     ]
+
+
+def test_batch_of_new_prizes_is_only_added(spark, loaded, tmp_path):
+    """Runs last: it loads a fourth batch."""
+    w = loaded["w"]
+    versions = sinks.versions(spark, "dwh.dataset")
+    new = domain.person(30, 2005, "Physics", "Late Person", "1970-01-01", "Rome", "Italy", ("D Institute", "Munich", "Germany"))
+    again = domain.person(8, 2006, "Peace", "Two Prizes", "1867-11-07", "Paris", "France", sex="Female")
+    path = domain.write_csv(f"{tmp_path}/late", domain.LAUREATE_HEADER, [new, again])
+    staging.land_laureates(spark, path, "stg.laureates", datetime.date(2023, 1, 9))
+    w = warehouse.run(spark, "stg", "dwh", datetime.date(2023, 1, 9))
+    assert sinks.versions(spark, "dwh.dataset") == versions
+    assert w["dataset"].count() == 24
+    assert one(w["dataset"], "organization_name1", "birth_city_region", where="laureate_id = 30") == ("D Institute", "07")
+    assert rows(w["dataset"], "year", where="laureate_id = 8") == [(1903,), (1911,), (2006,)]
+    findings = {name: rows(df, *df.columns) for name, df in warehouse.audit(w).items()}
+    assert {name: found for name, found in findings.items() if found} == {}
