@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +46,11 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="snowloom-")
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -55,8 +61,7 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="snowloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     for scope in _SCOPES:
         scope.append(path)

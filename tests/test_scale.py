@@ -119,7 +119,7 @@ def test_partitions_of_a_write_are_split_when_large(spark, hot):
     assert written.count() == ROWS
 
 
-def test_scratch_follows_the_session_and_is_removed(spark, monkeypatch):
+def test_scratch_follows_the_session_and_is_removed(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     with scratch_scope(spark):
         df = materialize(spark.range(3), "kept")
@@ -127,14 +127,16 @@ def test_scratch_follows_the_session_and_is_removed(spark, monkeypatch):
         assert folder.startswith(base) and os.path.isdir(folder)
     assert not os.path.exists(folder)
 
-    class Remote:
-        class conf:
-            @staticmethod
-            def get(key, default=None):
-                return {"spark.master": "yarn"}.get(key, default)
+    class Session:
+        def __init__(self, **settings):
+            self.conf = settings
 
     with pytest.raises(ValueError):
-        scratch_folder(Remote, "x")
+        scratch_folder(Session(**{"spark.master": "yarn"}), "x")
+    own = [scratch_folder(Session(**{"spark.master": "local[8]"}), "x") for _ in range(2)]
+    assert own[0] != own[1] and os.path.dirname(own[0]) == os.path.dirname(own[1])
+    shared = Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://shared/dir/"})
+    assert scratch_folder(shared, "x").startswith("hdfs://shared/dir/x-")
 
 
 def test_bucketed_tables_join_where_they_are(spark):
