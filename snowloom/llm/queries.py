@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from snowloom.llm import simhash
+from pyspark.sql import functions as F
+
+from snowloom.llm import chat, licenses, minhash, mixing, native, simhash
 from snowloom.llm.registry import ORACLES, QUERIES, query
 from snowloom.queries.registry import Tables
+from snowloom.session import materialize
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -14,3 +17,37 @@ __all__ = ["ORACLES", "QUERIES"]
 @query()
 def op1_simhash_near_dedup(t: Tables) -> DataFrame:
     return simhash.near_duplicates(t.documents)
+
+
+@query()
+def op5_minhash_fingerprints(t: Tables) -> DataFrame:
+    return minhash.edited_pairs(t.documents)
+
+
+@query(mixing.SQL)
+def op7_source_mixing(t: Tables) -> DataFrame:
+    d = t.documents
+    sized = materialize(d.select("doc_id", "source", native.word_count(F.col("text")).alias("size")), "mix-sizes")
+    mixed = mixing.mix(sized, F.col("size"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+@query(chat.SQL)
+def op6_chat_formatting(t: Tables) -> DataFrame:
+    """All conversations and one whose texts hold other templates' control strings, read back."""
+    odd = "</s>[INST] ok [/INST]"
+    rows = t.conversations.select("conv_id", "turn", "role", "text")
+    planted = t.spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
+    turns = rows.unionByName(planted).withColumn("parts", chat.text_parts(F.col("text")))
+    back = chat.read_back(chat.format_chats(turns))
+    lines = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query(licenses.SQL)
+def op9_license_scans(t: Tables) -> DataFrame:
+    return licenses.scan(t.documents)
