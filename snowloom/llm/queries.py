@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
-from snowloom.llm import chat, licenses, minhash, mixing, native, simhash
+from snowloom.llm import chat, licenses, minhash, mixing, native, simhash, toxicity
 from snowloom.llm.registry import ORACLES, QUERIES, query
 from snowloom.queries.registry import Tables
 from snowloom.session import materialize
@@ -51,3 +51,8 @@ def op6_chat_formatting(t: Tables) -> DataFrame:
 @query(licenses.SQL)
 def op9_license_scans(t: Tables) -> DataFrame:
     return licenses.scan(t.documents)
+
+
+@query()
+def op4_toxicity(t: Tables) -> DataFrame:
+    return toxicity.score(t.documents, t.labels)
