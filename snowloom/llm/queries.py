@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
-from snowloom.llm import chat, licenses, minhash, mixing, native, simhash, toxicity
+from snowloom.llm import chat, licenses, minhash, mixing, native, quality, simhash, toxicity
 from snowloom.llm.registry import ORACLES, QUERIES, query
 from snowloom.queries.registry import Tables
 from snowloom.session import materialize
@@ -56,3 +56,9 @@ def op9_license_scans(t: Tables) -> DataFrame:
 @query()
 def op4_toxicity(t: Tables) -> DataFrame:
     return toxicity.score(t.documents, t.labels)
+
+
+@query()
+def op8_quality_classifier(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text")
+    return quality.score(docs, t.labels).select("row.doc_id", "held_out", "score", "predicted")
