@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
-from snowloom.llm import chat, licenses, minhash, mixing, native, quality, simhash, toxicity
+from snowloom.llm import chat, licenses, minhash, mixing, native, quality, simhash, token_files, toxicity
 from snowloom.llm.registry import ORACLES, QUERIES, query
 from snowloom.queries.registry import Tables
 from snowloom.session import materialize
@@ -62,3 +63,8 @@ def op4_toxicity(t: Tables) -> DataFrame:
 def op8_quality_classifier(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text")
     return quality.score(docs, t.labels).select("row.doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op10_token_files(t: Tables) -> DataFrame:
+    return token_files.encode(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
