@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
-from snowloom.llm import chat, licenses, minhash, mixing, native, quality, simhash, token_files, toxicity
+from snowloom.llm import chat, licenses, minhash, mixing, native, quality, simhash, substrings, token_files, toxicity
 from snowloom.llm.registry import ORACLES, QUERIES, query
 from snowloom.queries.registry import Tables
 from snowloom.session import materialize
@@ -68,3 +68,9 @@ def op8_quality_classifier(t: Tables) -> DataFrame:
 @query()
 def op10_token_files(t: Tables) -> DataFrame:
     return token_files.encode(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op3_substring_dedup(t: Tables) -> DataFrame:
+    done = substrings.remove_repeats(t.documents)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
