@@ -238,7 +238,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             F.count(F.lit(1)).alias("n"), F.min("row_id").alias("row_id"), F.min("place").alias("place")
         )
         seen = Observation()
-        met = met.observe(seen, F.count_if("n > 1").alias("repeated"))
+        met = met.observe(seen, F.count_if(F.col("n") > 1).alias("repeated"))
         alone = met.where("n = 1").groupBy("row_id").agg(F.collect_list("place").alias(f"lone{depth}"))
         known.append(materialize(alone, "substring-lone"))
         if not seen.get["repeated"]:
