@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
-from snowloom.llm import chat, licenses, minhash, mixing, native, quality, simhash, substrings, token_files, toxicity
+from snowloom.llm import chat, decontaminate, licenses, minhash, mixing, native, quality, simhash, substrings, token_files, toxicity
 from snowloom.llm.registry import ORACLES, QUERIES, query
 from snowloom.queries.registry import Tables
 from snowloom.session import materialize
@@ -74,3 +74,13 @@ def op10_token_files(t: Tables) -> DataFrame:
 def op3_substring_dedup(t: Tables) -> DataFrame:
     done = substrings.remove_repeats(t.documents)
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op2_benchmark_decontamination(t: Tables) -> DataFrame:
+    found = decontaminate.find(t.documents.select("doc_id", "text"), t.benchmark)
+    best = F.array_max(F.transform("found", lambda x: F.struct(x["share"].alias("share"), (-x["item_id"]).alias("at"))))
+    return found.select(
+        "row.doc_id", (F.size("found") > 0).alias("contaminated"), F.transform("found", lambda x: x["item_id"]).alias("item_ids"),
+        (-best["at"]).alias("item_id"), best["share"].alias("share"),
+    )

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import snowloom
 from snowloom.queries.registry import Tables
 from snowloom.session import tune
 
@@ -16,8 +19,13 @@ BATCH_ROWS = "512"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The settings the operators are written for."""
+    """The settings the operators are written for, and this package on the path of Python workers that run
+    where it lies; elsewhere it comes with the job, as any package does (``--py-files``)."""
     tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    root, env = str(Path(snowloom.__file__).resolve().parent.parent), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
     return spark
 
 
