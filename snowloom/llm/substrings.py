@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snowloom.session import materialize, scratch_folder
@@ -237,11 +237,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         met = units.groupBy("h", "check").agg(
             F.count(F.lit(1)).alias("n"), F.min("row_id").alias("row_id"), F.min("place").alias("place")
         )
-        seen = Observation()
-        met = met.observe(seen, F.count_if(F.col("n") > 1).alias("repeated"))
-        alone = met.where("n = 1").groupBy("row_id").agg(F.collect_list("place").alias(f"lone{depth}"))
-        known.append(materialize(alone, "substring-lone"))
-        if not seen.get["repeated"]:
+        # Windows that repeat meet under a null row without places, which tells whether there are any.
+        once = F.col("n") == 1
+        alone = met.select(F.when(once, F.col("row_id")).alias("row_id"), F.when(once, F.col("place")).alias("place"))
+        side = materialize(alone.groupBy("row_id").agg(F.collect_list("place").alias(f"lone{depth}")), "substring-lone")
+        known.append(side.where("row_id is not null"))
+        if side.where("row_id is null").isEmpty():
             break
     depth = len(known) - 1
     return frame(["doc_id", "blob", "size", "first"]).mapInArrow(
