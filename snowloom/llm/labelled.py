@@ -12,15 +12,17 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, usable: Column) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, label: str, usable: Column, hint: str | None = None) -> DataFrame:
     """``(doc_id, text, y)`` of the usable documents that have a label of 0 or 1.
 
     ``usable`` is a condition on ``doc_id``; it is applied to both sides, so no other label is read. Of
-    repeated labels for one id the larger counts.
+    repeated labels for one id the larger counts. ``hint`` names the join where its plan shall not depend on
+    how many labels there happen to be.
     """
     marks = labels.where(usable & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     marks = marks.select(F.col("doc_id").alias("__id"), "y")
     texts = docs.where(usable).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    marks = marks.hint(hint) if hint else marks
     return texts.join(marks, texts.doc_id == marks["__id"]).select("doc_id", "text", "y")
 
 
@@ -33,7 +35,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
     n = x.shape[1] if x.ndim == 2 else 0
     if not len(y) or y.min() == y.max():
         return np.append(np.zeros(n), 8.0 if len(y) and y.min() == 1 else -8.0)
-    mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    mean, spread = x.mean(axis=0), x.std(axis=0)
+    # A column that does not vary tells nothing.
+    spread[spread < 1e-9] = np.inf
     z, w = np.column_stack([(x - mean) / spread, np.ones(len(x))]), np.zeros(n + 1)
     for _ in range(steps):
         p = logistic(z @ w)

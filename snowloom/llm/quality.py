@@ -95,8 +95,8 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [counted(t, numbers) for t in batch.column("text").to_pylist()]
         yield pa.record_batch(
-            [batch.column("y"), pa.array([r[0] for r in rows], pa.list_(pa.int64())), pa.array([r[1] for r in rows], pa.list_(pa.float64()))],
-            ["y", "ids", "weights"],
+            [batch.column("doc_id"), batch.column("y"), pa.array([r[0] for r in rows], pa.list_(pa.int64())), pa.array([r[1] for r in rows], pa.list_(pa.float64()))],
+            ["doc_id", "y", "ids", "weights"],
         )
 
 
@@ -150,8 +150,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Space:
     # Chosen by hash before any text is read; the frames of ids hold VOTERS / 2 rows each.
     chosen = [ids.where(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(VOTERS // 2) for y in (0, 1)]
     sample = materialize(chosen[0].unionByName(chosen[1]), "quality-sample")
-    few = labelled(docs, sample, "quality", usable).select("y", "text").orderBy(F.xxhash64("text")).limit(VOTERS)
-    got = few.mapInArrow(_sampled, "y int, ids array<long>, weights array<double>").toArrow()
+    few = labelled(docs, sample, "quality", usable).select("doc_id", "y", "text")
+    kinds = f"doc_id {few.schema['doc_id'].dataType.simpleString()}, y int, ids array<long>, weights array<double>"
+    got = few.mapInArrow(_sampled, kinds).limit(VOTERS).toArrow().sort_by("doc_id")
     y = got["y"].to_numpy().astype(float)
     rows = [(np.array(i), np.array(w) * idf[i]) for i, w in zip(got["ids"].to_pylist(), got["weights"].to_pylist())]
     rows = [(i, w / max(np.linalg.norm(w), 1e-12)) for i, w in rows]
