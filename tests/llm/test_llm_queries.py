@@ -6,13 +6,14 @@ import public_tokenizers
 import pytest
 from brute import edited, groups, jaccard, sha, simhash, token_rows, without_repeats
 from compare import connect, differences
-from conftest import DATA, TABLES
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_points
 from snowloom.llm import minhash
 from snowloom.llm.queries import ORACLES, QUERIES
 
+DATA = "/root/testdata"
+TABLES = "documents labels benchmark conversations pages embeddings".split()
 FOLDER = f"{DATA}/{os.environ.get('TEST_SF', 'sf0.001')}"
 
 
