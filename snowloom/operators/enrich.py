@@ -176,6 +176,12 @@ class ParentRule:
     parent: Mapping[str, str]
     unless: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        if not (self.when or self.unless):
+            raise ValueError("a rule needs a condition")
+        if not self.parent:
+            raise ValueError("a rule names its parent by at least one column")
+
     def condition(self) -> Column:
         tests = [in_list(F.col(c), patterns) for c, patterns in self.when.items()]
         tests += [~in_list(F.col(c), patterns) for c, patterns in self.unless.items()]
@@ -187,25 +193,26 @@ def resolve_parent(
 ) -> DataFrame:
     """Add the id of the parent that the first fitting rule names.
 
-    One ``CASE`` gives the number of the rule. The parents the rules name are looked up in ``dim`` in
-    one pass, which leaves at most one row per rule; both small sides are bounded by the list of rules
-    and not by the data. If several rows fit a parent, the lowest id is taken.
+    One ``CASE`` gives the number of the rule. The parents the rules name are looked up in ``dim`` by the
+    columns each rule uses, which leaves at most one row per rule; both small sides are bounded by the list of
+    rules and not by the data. If several rows fit a parent, the lowest id is taken.
     """
-    columns = list(dict.fromkeys(c for rule in rules for c in rule.parent))
-    wanted = df.sparkSession.createDataFrame(
-        [(i, *[rule.parent.get(c) for c in columns]) for i, rule in enumerate(rules)],
-        "__rule int, " + ", ".join(f"__p{j} string" for j in range(len(columns))),
-    )
-    condition = F.trim(F.col(columns[0])) == F.col("__p0")
-    for j, c in enumerate(columns[1:], start=1):
-        condition = condition & (F.col(f"__p{j}").isNull() | (F.trim(F.col(c)) == F.col(f"__p{j}")))
-    parents = (
-        dim.select(F.col(id_column).alias("__id"), *columns)
-        .join(F.broadcast(wanted), condition)
-        .groupBy("__rule")
-        .agg(F.min("__id").alias(target))
-        .withColumnRenamed("__rule", "__of")
-    )
+    # Rules that name their parent by the same columns are looked up together, by equality of these.
+    by_columns: dict[tuple[str, ...], list[int]] = {}
+    for i, rule in enumerate(rules):
+        by_columns.setdefault(tuple(sorted(rule.parent)), []).append(i)
+    found = []
+    for columns, numbers in by_columns.items():
+        wanted = df.sparkSession.createDataFrame(
+            [(i, *[rules[i].parent[c] for c in columns]) for i in numbers],
+            "__rule int, " + ", ".join(f"__p{j} string" for j in range(len(columns))),
+        )
+        same = reduce(lambda a, b: a & b, [F.trim(F.col(c)) == F.col(f"__p{j}") for j, c in enumerate(columns)])
+        places = dim.select(F.col(id_column).alias("__id"), *columns)
+        found.append(places.join(F.broadcast(wanted), same).select("__rule", "__id"))
+    if not found:
+        return df.withColumn(target, F.lit(None).cast(dim.schema[id_column].dataType))
+    parents = reduce(DataFrame.unionByName, found).groupBy(F.col("__rule").alias("__of")).agg(F.min("__id").alias(target))
     chosen = F
     for i, rule in enumerate(rules):
         chosen = chosen.when(rule.condition(), F.lit(i))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from snowloom.session import GROUP_LIMIT
+
 from snowloom.operators.keys import attach_ids, dense_id
 
 
@@ -24,8 +26,10 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     """The first ``n`` rows of each key in the given order, numbered from 1.
 
     Because of the limit Spark keeps at most ``n`` rows per key in each task before the shuffle, so a
-    heavy key never reaches one task whole.
+    heavy key never reaches one task whole. More than ``GROUP_LIMIT`` rows would be beyond that, and are refused.
     """
+    if n > GROUP_LIMIT:
+        raise ValueError(f"at most {GROUP_LIMIT} rows per key")
     window = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn(number, F.row_number().over(window)).where(F.col(number) <= n)
 

@@ -150,39 +150,39 @@ COUNTRY_PARENTS = [
 ]
 
 # Organizations that are part of another one: patterns of name, city and country; then name, city and
-# country of the parent. None means any. A city with ! in front must not be that one.
+# country of the parent. None means any. The mark behind the city means: any city but this one.
 ORGANIZATION_PARENTS = [
-    (["Australian National University"], "Weston Creek", None, "Australian National University", "Canberra", None),
-    (["Bell Laboratories"], "Holmdel, NJ", None, "Bell Laboratories", "Murray Hill, NJ", None),
-    (["Bell Telephone Laboratories"], None, None, "Bell Laboratories", "Murray Hill, NJ", None),
-    (["Columbia University Division%"], None, None, "Columbia University", None, None),
-    (["Duke University %"], None, None, "Duke University", None, None),
-    (["%Fritz-Haber-Institut%", "%Max-Planck%", "%Max Planck Institute%"], None, None, "Max Planck Society", None, None),
-    (["Harvard University,%"], None, None, "Harvard University", None, None),
-    (["I.G. Farbenindustrie A.G."], "Heidelberg", None, "I.G. Farbenindustrie A.G.", "Mannheim-Rheinau", None),
-    (["Imperial Cancer Research Fund Laboratory"], None, None, "Imperial Cancer Research Fund", None, None),
-    (["Johns Hopkins University School of Medicine"], None, None, "Johns Hopkins University", None, None),
-    (["Karolinska Institutet, Nobel Medical Institute"], None, None, "Karolinska Institutet", None, None),
-    (["Kiel University"], None, "Federal Republic of Germany", "Kiel University", None, "Germany"),
-    (["London University,%"], None, None, "London University", None, None),
-    (["Massachusetts Institute of Technology (MIT),%"], None, None, "Massachusetts Institute of Technology (MIT)", None, None),
-    (["New York University, College of Medicine"], None, None, "New York University", None, None),
-    (["P.N. Lebedev Physical Institute"], None, "Union of Soviet Socialist Republics", "P.N. Lebedev Physical Institute", None, "Russia"),
-    (["Rockefeller Institute for Medical Research"], None, None, "Rockefeller University", None, None),
-    (["Sorbonne University, Institut Henri Poincaré"], None, None, "Sorbonne University", None, None),
-    (["Stanford University School of Medicine"], None, None, "Stanford University", None, None),
-    (["University of California%"], "!Berkeley, CA", None, "University of California", "Berkeley, CA", None),
-    (["University of Chicago, Ben May Laboratory for Cancer Research"], None, None, "University of Chicago", None, None),
-    (["University of Colorado, JILA"], None, None, "University of Colorado", None, None),
-    (["University of Freiburg"], None, None, "University of Freiburg im Breisgau", None, None),
-    (["University of Heidelberg"], None, "Federal Republic of Germany", "University of Heidelberg", None, "Germany"),
-    (["University of Oxford, Royal Society"], None, None, "University of Oxford", None, None),
-    (["University of Texas %"], None, None, "University of Texas", None, None),
-    (["University of Tokyo"], "Kashiwa", None, "University of Tokyo", "Tokyo", None),
-    (["University of Zurich, Institute of Experimental Immunology"], None, None, "University of Zurich", None, None),
-    (["Vanderbilt University School of Medicine"], None, None, "Vanderbilt University", None, None),
-    (["Veterans Administration Hospital"], "New Orleans, LA", None, "Veterans Administration Hospital", "Bronx, NY", None),
-    (["Yale University, School of Medicine"], None, None, "Yale University", None, None),
+    (["Australian National University"], "Weston Creek", False, None, "Australian National University", "Canberra", None),
+    (["Bell Laboratories"], "Holmdel, NJ", False, None, "Bell Laboratories", "Murray Hill, NJ", None),
+    (["Bell Telephone Laboratories"], None, False, None, "Bell Laboratories", "Murray Hill, NJ", None),
+    (["Columbia University Division%"], None, False, None, "Columbia University", None, None),
+    (["Duke University %"], None, False, None, "Duke University", None, None),
+    (["%Fritz-Haber-Institut%", "%Max-Planck%", "%Max Planck Institute%"], None, False, None, "Max Planck Society", None, None),
+    (["Harvard University,%"], None, False, None, "Harvard University", None, None),
+    (["I.G. Farbenindustrie A.G."], "Heidelberg", False, None, "I.G. Farbenindustrie A.G.", "Mannheim-Rheinau", None),
+    (["Imperial Cancer Research Fund Laboratory"], None, False, None, "Imperial Cancer Research Fund", None, None),
+    (["Johns Hopkins University School of Medicine"], None, False, None, "Johns Hopkins University", None, None),
+    (["Karolinska Institutet, Nobel Medical Institute"], None, False, None, "Karolinska Institutet", None, None),
+    (["Kiel University"], None, False, "Federal Republic of Germany", "Kiel University", None, "Germany"),
+    (["London University,%"], None, False, None, "London University", None, None),
+    (["Massachusetts Institute of Technology (MIT),%"], None, False, None, "Massachusetts Institute of Technology (MIT)", None, None),
+    (["New York University, College of Medicine"], None, False, None, "New York University", None, None),
+    (["P.N. Lebedev Physical Institute"], None, False, "Union of Soviet Socialist Republics", "P.N. Lebedev Physical Institute", None, "Russia"),
+    (["Rockefeller Institute for Medical Research"], None, False, None, "Rockefeller University", None, None),
+    (["Sorbonne University, Institut Henri Poincaré"], None, False, None, "Sorbonne University", None, None),
+    (["Stanford University School of Medicine"], None, False, None, "Stanford University", None, None),
+    (["University of California%"], "Berkeley, CA", True, None, "University of California", "Berkeley, CA", None),
+    (["University of Chicago, Ben May Laboratory for Cancer Research"], None, False, None, "University of Chicago", None, None),
+    (["University of Colorado, JILA"], None, False, None, "University of Colorado", None, None),
+    (["University of Freiburg"], None, False, None, "University of Freiburg im Breisgau", None, None),
+    (["University of Heidelberg"], None, False, "Federal Republic of Germany", "University of Heidelberg", None, "Germany"),
+    (["University of Oxford, Royal Society"], None, False, None, "University of Oxford", None, None),
+    (["University of Texas %"], None, False, None, "University of Texas", None, None),
+    (["University of Tokyo"], "Kashiwa", False, None, "University of Tokyo", "Tokyo", None),
+    (["University of Zurich, Institute of Experimental Immunology"], None, False, None, "University of Zurich", None, None),
+    (["Vanderbilt University School of Medicine"], None, False, None, "Vanderbilt University", None, None),
+    (["Veterans Administration Hospital"], "New Orleans, LA", False, None, "Veterans Administration Hospital", "Bronx, NY", None),
+    (["Yale University, School of Medicine"], None, False, None, "Yale University", None, None),
 ]
 
 # Parents that the laureate list itself does not name: name, country, city.

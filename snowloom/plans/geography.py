@@ -6,13 +6,16 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from snowloom.operators import conform, enrich, keys
+from snowloom.functions import null_safe_equal, row_hash
+from snowloom.operators import conform, enrich, keys, versioning
 from snowloom.operators.enrich import ParentRule, Step
 from snowloom.operators.versioning import union_all
 from snowloom.plans import fixed_values as fixed
 from snowloom.plans import schemas
+from snowloom.session import materialize
 from snowloom.sinks import stamp
 
 # What makes a city one city over all snapshots, and what tells two of one snapshot apart.
@@ -76,9 +79,17 @@ def countries(
 
 
 def country_codes(
-    names: DataFrame, iso3: DataFrame, currency_list: DataFrame, phones: DataFrame, currencies: DataFrame
+    names: DataFrame,
+    iso3: DataFrame,
+    currency_list: DataFrame,
+    phones: DataFrame,
+    currencies: DataFrame,
+    prev: DataFrame | None = None,
 ) -> DataFrame:
-    """All code systems of each code-list name. Every list is joined on the code of the name itself."""
+    """All code systems of each code-list name. Every list is joined on the code of the name itself.
+
+    A name and code known in ``prev`` keep their id, however the list has grown since.
+    """
     steps = [
         Step(iso3, "country_code", ["iso3_code"]),
         Step(currency_list, "country_code", ["currency_code"]),
@@ -87,7 +98,7 @@ def country_codes(
     ]
     rows = enrich.lookup_chain(names.select("country_code", F.col("country_name").alias("code_name")), steps)
     rows = rows.withColumnRenamed("country_code", "iso2_code")
-    return keys.dense_id(rows, ["code_name", "iso2_code"], "country_code_id").select(
+    return keys.stable_ids(rows, prev, ["code_name", "iso2_code"], "country_code_id").select(
         "country_code_id", "code_name", "iso2_code", "iso3_code", "currency_code_id", "phone_code"
     )
 
@@ -128,14 +139,46 @@ def cities(conformed: DataFrame, pairs: DataFrame, prev: DataFrame | None) -> Da
         fixed.SPLIT_EAST, out="place_code",
     )
     rows = enrich.lookup(rows, city_codes(pairs), {"place_code": "iso2_code"}, ["country_id"]).drop("place_code")
-    order = ["country_id", "accent_city_name", "city_region", "latitude", "longitude"]
-    ids = keys.stable_ids(rows.select(*CITY_ROW).distinct(), prev, CITY_ROW, "city_id", order)
-    return keys.attach_ids(rows, ids, CITY_ROW, "city_id").select(
+    ids = city_ids(rows, prev)
+    return ids.select(
         "city_id", "city_name", "accent_city_name", "country_id", "city_region", "population", "latitude",
         "longitude", "city_label", "country_code", "upd_date",
     )
 
 
+def city_ids(rows: DataFrame, prev: DataFrame | None) -> DataFrame:
+    """Give every city of one list the id it had, else the next free one.
+
+    A city is known by country, region and name. Where a list has several of one key, those at coordinates
+    known before keep the ids they had there; the rest take the key's other ids in order of their coordinates.
+    So a corrected coordinate changes no id. Rows that agree in all of this are told apart by population.
+    """
+    order = ["country_id", "accent_city_name", "city_region", "latitude", "longitude", "__same"]
+    same = W.partitionBy(*CITY_ROW).orderBy(F.col("population").desc_nulls_last(), row_hash(rows))
+    rows = materialize(rows.withColumn("__same", F.row_number().over(same)), "city-rows")
+    if prev is None:
+        return keys.dense_id(rows, order, "city_id")
+    # The places at which each id was last seen, told apart as in a list.
+    last = versioning.latest(prev.select(*CITY_ROW, "city_id", "upd_date"), ["city_id"], "upd_date")
+    last = last.withColumn("__same", F.row_number().over(W.partitionBy(*CITY_ROW).orderBy("city_id")))
+    last = materialize(last, "city-ids")
+    there = last.select("city_id", *[F.col(c).alias(f"__k{i}") for i, c in enumerate([*CITY_ROW, "__same"])])
+    exact = rows.join(there, null_safe_equal([(c, f"__k{i}") for i, c in enumerate([*CITY_ROW, "__same"])]), "left")
+    exact = materialize(exact.select("city_id", *rows.columns), "city-matches")
+
+    def ranked(frame: DataFrame, *by) -> DataFrame:
+        return frame.withColumn("__rank", F.row_number().over(W.partitionBy(*CITY_KEY).orderBy(*by)))
+
+    moved = ranked(exact.where("city_id is null").drop("city_id"), "latitude", "longitude", "__same")
+    taken = exact.where("city_id is not null").select(F.col("city_id").alias("__taken"))
+    free = ranked(last.join(taken, F.col("city_id") == F.col("__taken"), "left_anti"), F.col("upd_date").desc(), "city_id")
+    free = free.select("city_id", *[F.col(c).alias(f"__k{i}") for i, c in enumerate([*CITY_KEY, "__rank"])])
+    found = moved.join(free, null_safe_equal([(c, f"__k{i}") for i, c in enumerate([*CITY_KEY, "__rank"])]), "left")
+    found = materialize(found.select("city_id", *rows.columns), "city-moves")
+    new = keys.dense_id(found.where("city_id is null").drop("city_id"), order, "city_id", keys.next_id(prev, "city_id"))
+    return versioning.union_all([f.where("city_id is not null") for f in (exact, found)] + [new])
+
+
 def city_overrides(seeds: DataFrame, cities: DataFrame) -> DataFrame:
     """The city that stands for each name the city list does not have."""
     on = {"orig_city_name": "accent_city_name", "orig_region": "city_region", "orig_country": "country_code"}

@@ -23,12 +23,10 @@ PRIZE_KEY = ["laureate_id", "prize_type_id"]
 
 def _organization_rules() -> list[ParentRule]:
     rules = []
-    for names, city, country, parent_name, parent_city, parent_country in fixed.ORGANIZATION_PARENTS:
+    for names, city, elsewhere, country, parent_name, parent_city, parent_country in fixed.ORGANIZATION_PARENTS:
         when, unless = {"organization_name": names}, {}
-        if city is not None and city.startswith("!"):
-            unless["organization_city"] = [city[1:]]
-        elif city is not None:
-            when["organization_city"] = [city]
+        if city is not None:
+            (unless if elsewhere else when)["organization_city"] = [city]
         if country is not None:
             when["organization_country"] = [country]
         parent = {
@@ -153,6 +151,8 @@ def nobel_prizes(
     rows = enrich.lookup(rows, categories, "category", ["category_id"])
     rows = enrich.lookup(rows, prize_types, {"prize": "prize_type"}, ["prize_type_id"])
     rows = enrich.lookup(rows, laureate_types, "laureate_type", ["laureate_type_id"])
+    # A prize that several pending batches bring is one fact, as it would be over several runs: the newest.
+    rows = versioning.latest(rows, PRIZE_KEY, "upd_date", "one")
     rows = versioning.append_guarded(prev, rows, PRIZE_KEY)
     start = 0 if prev is None else keys.next_id(prev, "nobel_prize_id")
     return keys.dense_id(rows, ["year", "laureate_id"], "nobel_prize_id", start).select(

@@ -27,6 +27,8 @@ class Run:
         self.spark, self.staging, self.target, self.batch_date = spark, staging, target, batch_date
         self.marks = f"{target}.consumed_batches"
         self.published: set[str] = set()
+        # The batches of each source that this run reads, fixed before it reads any.
+        self.pinned: dict[str, DataFrame] = {}
 
     def name(self, table: str) -> str:
         return f"{self.target}.{table}"
@@ -56,28 +58,33 @@ class Run:
         return self.spark.table(f"{self.staging}.{table}")
 
     def pending(self, table: str) -> DataFrame:
-        return sinks.pending(self.spark, f"{self.staging}.{table}", self.marks)
+        """The rows of the batches this run was begun for."""
+        return sinks.batches(self.spark, f"{self.staging}.{table}", self.pinned[table])
 
     def pending_dates(self, table: str) -> list[date]:
-        """The load dates of the pending batches, a handful, for filters on partitions."""
-        return [row[0] for row in self.pending(table).select("upd_date").distinct().collect()]
+        """The load dates of those batches: one per landing since the last run."""
+        return sorted(row[0] for row in self.pinned[table].select("upd_date").collect())
+
+    def history(self, table: str) -> DataFrame:
+        """The rows of all batches consumed so far and of those of this run, but of none that landed meanwhile."""
+        name = f"{self.staging}.{table}"
+        dates = sinks.consumed(self.spark, name, self.marks).union(self.pinned[table].select("upd_date")).distinct()
+        return sinks.batches(self.spark, name, dates)
 
     def seed(self, rows, schema: str) -> DataFrame:
         return sources.seed(self.spark, rows, schema)
 
-    def consumed(self, table: str) -> None:
-        sinks.mark_consumed(self.spark, f"{self.staging}.{table}", self.marks)
-
 
 def run(spark: SparkSession, staging: str, target: str, batch_date: date | str) -> Run:
     sinks.ensure_database(tune(spark), target)
     w = Run(spark, staging, target, batch_date)
     loaders = {"countries": load_countries, "cities": load_cities, "laureates": load_laureates}
     for source, load in loaders.items():
-        if not w.pending(source).isEmpty():
-            with scratch_scope(spark):
+        with scratch_scope(spark):
+            w.pinned[source] = sinks.pin(spark, f"{staging}.{source}", w.marks)
+            if not w.pinned[source].isEmpty():
                 load(w)
-            w.consumed(source)
+                sinks.mark_consumed(w.pinned[source], f"{staging}.{source}", w.marks)
     # The versions before this run stay for readers that began with them; older ones go.
     for table in w.published:
         sinks.retire(spark, w.name(table))
@@ -92,15 +99,19 @@ def load_countries(w: Run) -> None:
     regions = w.publish("regions", reference.regions(conformed, w.stored("regions")))
     continents = w.publish("continents", reference.continents(continent_list, w.stored("continents")))
     currencies = w.publish("currencies", reference.currencies(currency_list, w.stored("currencies")))
-    snapshot = geography.countries(
-        conformed,
-        conforming.missing_countries(names, conformed),
-        w.seed([(name,) for name in fixed.HISTORICAL_COUNTRIES], "country_name string"),
-        regions, continents, names, continent_list, w.listed("country_capital"), w.batch_date, w.stored("countries"),
-    )
-    history = w.append("countries", snapshot)
+    historical = w.seed([(name,) for name in fixed.HISTORICAL_COUNTRIES], "country_name string")
+    # Each list is a snapshot of its own; all its rows, also those of no list, bear its date.
+    for day in w.pending_dates("countries"):
+        today = conformed.where(F.col("upd_date") == day)
+        snapshot = geography.countries(
+            today, conforming.missing_countries(names, today), historical, regions, continents, names, continent_list,
+            w.listed("country_capital"), day, w.stored("countries"),
+        )
+        history = w.append("countries", snapshot)
     newest = w.publish("countries_uptodate", versioning.latest(history, ["country_name"], "upd_date"))
-    codes = geography.country_codes(names, w.listed("country_iso3"), currency_list, w.listed("country_phones"), currencies)
+    codes = geography.country_codes(
+        names, w.listed("country_iso3"), currency_list, w.listed("country_phones"), currencies, w.stored("country_codes")
+    )
     codes = w.publish("country_codes", codes)
     pairs = w.publish("code_country_names", geography.codes_in_countries(codes, newest))
     w.publish("codes_in_countries", pairs.select("code_in_country_id", "country_code_id", "country_id"))
@@ -108,10 +119,10 @@ def load_countries(w: Run) -> None:
 
 def load_cities(w: Run) -> None:
     conformed = conforming.conform_cities(w.pending("cities"))
-    rows = geography.cities(conformed, w["code_country_names"], w.stored("cities_labelled"))
-    labelled = w.append("cities_labelled", rows)
-    today = labelled.where(F.col("upd_date").isin(w.pending_dates("cities")))
-    w.append("cities", today.drop("city_label", "country_code"))
+    for day in w.pending_dates("cities"):
+        today = conformed.where(F.col("upd_date") == day)
+        labelled = w.append("cities_labelled", geography.cities(today, w["code_country_names"], w.stored("cities_labelled")))
+        w.append("cities", labelled.where(F.col("upd_date") == day).drop("city_label", "country_code"))
     newest = versioning.latest(labelled, geography.CITY_KEY, "upd_date", ties="all")
     newest = w.publish("cities_labelled_uptodate", newest)
     w.publish("cities_uptodate", newest.drop("city_label", "country_code"))
@@ -142,11 +153,14 @@ def load_laureates(w: Run) -> None:
     w.publish("persons_in_orgs", laureates.persons_in_orgs(rows, places, w.stored("persons_in_orgs")))
 
     prizes = laureates.nobel_prizes(rows, categories, prize_types, laureate_types, w.stored("nobel_prizes"))
-    add_facts(w, "nobel_prizes", prizes)
-
-    # Rows of a laureate may arrive in several batches, so the touched keys are built from all batches.
-    landed = conforming.conform_laureates(w.listed("laureates"))
-    touched = materialize(versioning.only_keys(landed, rows, wide.DATASET_KEY), "touched-rows")
+    # Only rows that are new by their key; what is stored already is not written again.
+    sinks.append(prizes, w.name("nobel_prizes"), schemas.LAYOUTS["nobel_prizes"])
+
+    # Rows of a laureate may arrive in several batches, so the touched keys are built from all batches. Other
+    # laureates are left out by their id alone, before anything else is done with the rows.
+    theirs = versioning.only_keys(w.history("laureates"), rows, ["laureate_id"])
+    touched = versioning.only_keys(conforming.conform_laureates(theirs), rows, wide.DATASET_KEY)
+    touched = materialize(touched, "touched-rows")
     built = wide.dataset(
         touched, persons, places, organizations, countries, cities, w["regions"], w["continents"]
     )
@@ -158,11 +172,6 @@ def load_laureates(w: Run) -> None:
         w.publish("dataset", versioning.replace_keys(before, built, wide.DATASET_KEY))
 
 
-def add_facts(w: Run, table: str, rows: DataFrame) -> None:
-    """Append rows that are new by their key; what is stored already is not written again."""
-    sinks.append(rows, w.name(table), schemas.LAYOUTS[table])
-
-
 def copy_out(w: Run, database: str) -> None:
     """Copy the warehouse into another database, each table in its own partitions and buckets."""
     sinks.ensure_database(w.spark, database)
@@ -194,6 +203,9 @@ PRIMARY_KEYS = {
     "dataset": ["laureate_id", "prize"],
 }
 
+# What makes a row of a table one, beside its number.
+LOGICAL_KEYS = {"nobel_prizes": laureates.PRIZE_KEY, "persons_in_orgs": ["laureate_id", "organization_id"]}
+
 # Child table, its column, and the tables and columns one of which must have it.
 FOREIGN_KEYS = [
     ("nobel_prizes", "laureate_type_id", [("laureate_types", "laureate_type_id")]),
@@ -227,6 +239,15 @@ REQUIRED = {
     "persons_in_orgs": ["per_org_id", "laureate_id", "organization_id"],
     "countries_uptodate": ["country_id", "country_name"],
     "cities_uptodate": ["city_id", "city_name"],
+    "regions": ["region_id", "region_name"],
+    "continents": ["continent_id", "continent_name"],
+    "currencies": ["currency_code_id", "currency_code"],
+    "country_codes": ["country_code_id", "code_name"],
+    "codes_in_countries": ["code_in_country_id", "country_code_id", "country_id"],
+    "categories": ["category_id", "category"],
+    "laureate_types": ["laureate_type_id", "laureate_type"],
+    "prize_types": ["prize_type_id", "prize_type"],
+    "genders": ["gender_id", "gender"],
 }
 
 
@@ -235,6 +256,8 @@ def audit(w: Run) -> dict[str, DataFrame]:
     findings: dict[str, DataFrame] = {}
     for table, key in PRIMARY_KEYS.items():
         findings[f"unique {table}"] = quality.audit_unique(w[table], key)
+    for table, key in LOGICAL_KEYS.items():
+        findings[f"logical key {table}"] = quality.audit_unique(w[table], key)
     for table, column, parents in FOREIGN_KEYS:
         findings[f"reference {table}.{column}"] = quality.audit_fk(
             w[table], [column], [(w[parent], [key]) for parent, key in parents]

@@ -5,12 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here is written for. All of them can be changed at run time, so they also apply
 # to a session somebody else built.
+GROUP_LIMIT = 1000
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,12 +20,14 @@ RUNTIME_CONF = {
     # Split a skewed join even when the operator above it then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Keep only the first rows of a key in each task before a window's shuffle, for limits up to this.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Keep only the first rows of a key in each task before a window's shuffle, for limits up to this;
+    # ``reshape.first_rows`` refuses more.
+    "spark.sql.optimizer.windowGroupLimitThreshold": str(GROUP_LIMIT),
 }
 
 
-_SCOPES: list[list[str]] = []
+# The innermost open scope of this thread or task of the program.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -63,7 +67,8 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_folder()
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    for scope in _SCOPES:
+    scope = _SCOPE.get()
+    if scope is not None:
         scope.append(path)
     return path
 
@@ -71,13 +76,17 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Remove what was written to the shared folder inside the block. Nothing read from there may be
-    used afterwards, so end the block only when all results have been stored."""
+    used afterwards, so end the block only when all results have been stored.
+
+    Scopes may be nested and may be open side by side in several threads: a path belongs to the innermost
+    scope of the thread that made it, and to no other.
+    """
     made: list[str] = []
-    _SCOPES.append(made)
+    token = _SCOPE.set(made)
     try:
         yield
     finally:
-        _SCOPES.remove(made)
+        _SCOPE.reset(token)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in made:

@@ -1,6 +1,8 @@
 from snowloom.sinks.tables import (
     Layout,
     append,
+    batches,
+    consumed,
     copy_tables,
     create_table,
     ensure_database,
@@ -10,13 +12,15 @@ from snowloom.sinks.tables import (
     mark_consumed,
     partitions_last,
     pending,
+    pin,
     publish,
     retire,
+    shown,
     stamp,
     versions,
 )
 
 __all__ = [
-    "Layout", "append", "copy_tables", "create_table", "ensure_database", "extend", "insert", "land", "mark_consumed",
-    "partitions_last", "pending", "publish", "retire", "stamp", "versions",
+    "Layout", "append", "batches", "consumed", "copy_tables", "create_table", "ensure_database", "extend", "insert", "land",
+    "mark_consumed", "partitions_last", "pending", "pin", "publish", "retire", "shown", "stamp", "versions",
 ]

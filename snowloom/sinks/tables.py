@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snowloom.session import setting
+from snowloom.session import materialize, setting
 
 
 @dataclass(frozen=True)
@@ -88,66 +88,106 @@ def land(
 ) -> None:
     """Store a batch as the partition of its date. Landing the same batch again replaces it.
 
-    The date must be the only partition column: only then does the insert replace all of the batch.
+    The date must be the only partition column: only then does the insert replace all of the batch. Every
+    landing is noted with a number of its own, so a date that is landed again is a new batch to its readers.
     """
     if list(layout.partitions) != ["upd_date"]:
         raise ValueError("a landing table is partitioned by its load date alone")
-    rows = stamp(df, batch_date)
-    if df.sparkSession.catalog.tableExists(table):
+    spark, rows = df.sparkSession, stamp(df, batch_date)
+    if spark.catalog.tableExists(table):
         insert(rows, table, layout, overwrite=True, constant=["upd_date"])
     else:
         create_table(rows, table, layout, constant=["upd_date"])
+    # Noted after the rows are there: a reader of the note finds them.
+    noted = spark.range(1).select(F.lit(time.time_ns()).alias("landing"))
+    append(stamp(noted, batch_date), _landings(table))
+
 
+def _landings(table: str) -> str:
+    return f"{table}__landings"
 
-def pending(spark: SparkSession, table: str, marks: str, column: str = "upd_date") -> DataFrame:
-    """The batches of a landing table that no run has consumed yet.
 
-    The mark is a scalar subquery over a table with one row per run, compared with the partition
-    column, so consumed partitions are not read.
+def pin(spark: SparkSession, table: str, marks: str) -> DataFrame:
+    """``(upd_date, landing)``: the batches of a landing table that no run has consumed, as they are now.
+
+    Whatever its date, a batch is pending until it is marked itself: one that is older than the newest
+    consumed, and one whose date was consumed and has been landed again since. The answer is written, so
+    all reads of a run see the same batches; one that lands meanwhile waits for the next run.
     """
-    rows = spark.table(table)
+    log = spark.table(_landings(table)).groupBy("upd_date").agg(F.max("landing").alias("landing"))
+    if spark.catalog.tableExists(marks):
+        seen = spark.table(marks).where(F.col("source") == table).select("upd_date", "landing")
+        log = log.join(seen, ["upd_date", "landing"], "left_anti")
+    return materialize(log, "pinned-batches")
+
+
+def batches(spark: SparkSession, table: str, pinned: DataFrame) -> DataFrame:
+    """The rows of the pinned batches; other partitions are not read."""
+    return spark.table(table).join(pinned.select("upd_date"), "upd_date", "left_semi").select(*spark.table(table).columns)
+
+
+def pending(spark: SparkSession, table: str, marks: str) -> DataFrame:
+    """The rows of the batches that no run has consumed yet."""
+    return batches(spark, table, pin(spark, table, marks))
+
+
+def consumed(spark: SparkSession, table: str, marks: str) -> DataFrame:
+    """The dates of a landing table of which some landing has been consumed."""
+    none = spark.createDataFrame([], "upd_date date")
     if not spark.catalog.tableExists(marks):
-        return rows
-    mark = spark.table(marks).where(F.col("source") == table).agg(F.max("consumed_to")).scalar()
-    return rows.where(F.col(column) > F.coalesce(mark, F.lit("0001-01-01").cast("date")))
+        return none
+    return spark.table(marks).where(F.col("source") == table).select("upd_date").distinct()
 
 
-def mark_consumed(spark: SparkSession, table: str, marks: str, column: str = "upd_date") -> None:
-    """Note the newest batch of a landing table as consumed, once the run has succeeded."""
-    newest = spark.table(table).agg(F.lit(table).alias("source"), F.max(column).alias("consumed_to"))
-    append(newest.where("consumed_to is not null"), marks)
+def mark_consumed(pinned: DataFrame, table: str, marks: str) -> None:
+    """Note exactly the pinned batches as consumed, once the run that read them has succeeded."""
+    append(pinned.select(F.lit(table).alias("source"), "upd_date", "landing"), marks)
 
 
 def publish(df: DataFrame, name: str, layout: Layout = Layout()) -> str:
     """Replace a table that ``df`` may itself read: write a new version, then point the view at it.
 
-    Readers see the old version or the new one, never a part. Old versions stay until ``retire``.
+    Readers see the old version or the new one, never a part. The view carries the name of the version it
+    shows. Old versions stay until ``retire``, as does one whose run ended before the view was switched.
     """
     spark = df.sparkSession
     # Version names sort in the order they were made.
     version = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     create_table(df, version, layout)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_SHOWN}' = '{version}') AS SELECT * FROM {version}")
     return version
 
 
+_SHOWN = "shown_version"
+
+
+def shown(spark: SparkSession, name: str) -> str:
+    """The version that a published table shows."""
+    return spark.sql(f"SHOW TBLPROPERTIES {name} ('{_SHOWN}')").first()["value"]
+
+
 def extend(df: DataFrame, name: str, layout: Layout = Layout()) -> None:
     """Add rows to the version a published table shows, without writing the others again."""
-    insert(df, versions(df.sparkSession, name)[-1], layout)
+    insert(df, shown(df.sparkSession, name), layout)
 
 
 def versions(spark: SparkSession, name: str) -> list[str]:
-    """The stored versions of a published table, oldest first."""
+    """The stored versions of a published table, oldest first, unfinished ones included."""
     database, _, table = name.rpartition(".")
     found = spark.catalog.listTables(database or None, f"{table}__v*")
     return sorted(f"{database}.{t.name}" if database else t.name for t in found)
 
 
 def retire(spark: SparkSession, name: str, keep: int = 2) -> None:
-    """Drop all but the newest versions; the newest is the one the view shows."""
+    """Keep the version the view shows and the ``keep - 1`` before it; drop older and unfinished ones.
+
+    For the one writer of a table: a version that another writer has not yet shown would be dropped too.
+    """
     if keep < 1:
-        raise ValueError("the newest version is in use")
-    for version in versions(spark, name)[:-keep]:
+        raise ValueError("the shown version is in use")
+    stored = versions(spark, name)
+    at = stored.index(shown(spark, name))
+    for version in [*stored[: max(0, at - keep + 1)], *stored[at + 1 :]]:
         spark.sql(f"DROP TABLE {version}")
 
 
