@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snowloom.llm.native import let
+from snowloom.llm.native import inline_rows, let
 from snowloom.session import materialize
 
 # A word is a run of ASCII letters, digits and anything beyond ASCII.
@@ -82,7 +82,7 @@ def _template_prefixes(spark: SparkSession, sets: list[tuple[str, list[str], int
         for n, (label, held, least) in enumerate(sets)
         for i in range(len(held) - least + 1)
     ]
-    return spark.createDataFrame(rows, "template int, label string, held array<string>, n_held int, least int, i int, token string")
+    return inline_rows(spark, rows, "template int, label string, held array<string>, n_held int, least int, i int, token string")
 
 
 def block_matches(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:

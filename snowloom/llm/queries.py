@@ -38,7 +38,8 @@ def op6_chat_formatting(t: Tables) -> DataFrame:
     """All conversations and one whose texts hold other templates' control strings, read back."""
     odd = "</s>[INST] ok [/INST]"
     rows = t.conversations.select("conv_id", "turn", "role", "text")
-    planted = t.spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
+    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    planted = native.inline_rows(t.spark, [(-7, 0, "user", odd), (-7, 1, "assistant", odd)], kinds)
     turns = rows.unionByName(planted).withColumn("parts", chat.text_parts(F.col("text")))
     back = chat.read_back(chat.format_chats(turns))
     lines = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
