@@ -80,16 +80,14 @@ def inner_composite(t: Tables):
 
 
 @query("""
-SELECT a.k AS part_ordered, b.k AS user_seen FROM (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01') a
-FULL OUTER JOIN (SELECT DISTINCT user_id AS k FROM events WHERE event_type = 'click') b ON a.k = b.k
+SELECT a.k AS part_ordered, b.k AS user_seen FROM (SELECT DISTINCT l_partkey * 2 AS k FROM lineitem) a
+FULL OUTER JOIN (SELECT DISTINCT user_id * 3 AS k FROM events) b ON a.k = b.k
 """)
 def full_outer_codes(t: Tables):
-    """Match two lists and keep what either has alone."""
-    parts = t.lineitem.where(F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
-    users = t.events.where("event_type = 'click'")
+    """Match two lists and keep what either has alone. Every sixth number may be in both."""
     return enrich.outer_match(
-        parts.select(F.col("l_partkey").alias("part_ordered")),
-        users.select(F.col("user_id").alias("user_seen")),
+        t.lineitem.select((F.col("l_partkey") * 2).alias("part_ordered")),
+        t.events.select((F.col("user_id") * 3).alias("user_seen")),
         {"part_ordered": "user_seen"}, ["part_ordered"], ["user_seen"],
     )
 
@@ -226,6 +224,8 @@ _PLACE_RULES = [
     ParentRule({"p_brand": ["Brand#1"], "p_type": ["SMALL"]}, {"p_brand": "Brand#1", "p_type": "ECONOMY"}),
     ParentRule({"p_brand": ["Brand#1%"]}, {"p_brand": "Brand#2"}, unless={"p_type": ["ECONOMY", "LARGE%"]}),
     ParentRule({"p_name": ["%widget"]}, {"p_brand": "Brand#3", "p_name": "red widget"}),
+    ParentRule({"p_brand": ["Brand#4"]}, {"p_type": "PROMO"}),
+    ParentRule({"p_brand": ["Brand#5"]}, {"p_name": "old bolt"}),
 ]
 
 
@@ -233,9 +233,11 @@ _PLACE_RULES = [
 SELECT p_partkey, CASE
   WHEN p_brand = 'Brand#1' AND p_type = 'SMALL' THEN (SELECT min(p_partkey) FROM part WHERE p_brand = 'Brand#1' AND p_type = 'ECONOMY')
   WHEN p_brand LIKE 'Brand#1%' AND NOT (p_type = 'ECONOMY' OR p_type LIKE 'LARGE%') THEN (SELECT min(p_partkey) FROM part WHERE p_brand = 'Brand#2')
-  WHEN p_name LIKE '%widget' THEN (SELECT min(p_partkey) FROM part WHERE p_brand = 'Brand#3' AND p_name = 'red widget') END AS parent_id
+  WHEN p_name LIKE '%widget' THEN (SELECT min(p_partkey) FROM part WHERE p_brand = 'Brand#3' AND p_name = 'red widget')
+  WHEN p_brand = 'Brand#4' THEN (SELECT min(p_partkey) FROM part WHERE p_type = 'PROMO')
+  WHEN p_brand = 'Brand#5' THEN (SELECT min(p_partkey) FROM part WHERE p_name = 'old bolt') END AS parent_id
 FROM part
 """)
 def rule_parent_multi(t: Tables):
-    """Conditions and parents on several columns, one of them negated."""
+    """Conditions and parents on several columns, one of them negated, each rule by columns of its own."""
     return enrich.resolve_parent(t.part, _PLACE_RULES, t.part, "p_partkey", "parent_id").select("p_partkey", "parent_id")

@@ -16,6 +16,14 @@ def dense_id(t: Tables):
     return keys.dense_id(t.orders.select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"], "order_id")
 
 
+@query("""
+SELECT row_number() OVER (ORDER BY l_returnflag, l_linestatus) - 1 AS line_id, l_returnflag, l_linestatus FROM lineitem
+""")
+def dense_id_duplicates(t: Tables):
+    """Rows of which nothing tells the copies apart, each with a number of its own."""
+    return keys.dense_id(t.lineitem.select("l_returnflag", "l_linestatus"), ["l_returnflag", "l_linestatus"], "line_id")
+
+
 @query("SELECT row_number() OVER (ORDER BY kind) - 1 AS kind_id, kind FROM (SELECT DISTINCT event_type || '/' || user_id AS kind FROM events)")
 def distinct_value_ids(t: Tables):
     """Distinct values numbered in their own order."""

@@ -7,10 +7,12 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from snowloom import sinks
+from snowloom import sinks, sources
+from snowloom.operators import enrich, keys
 from snowloom.operators.enrich import ParentRule
 from snowloom.plans import conforming, geography, laureates, reference, schemas, staging
 from snowloom.plans import dataset as wide
+from snowloom.plans import fixed_values as fixed
 from snowloom.queries.registry import Tables, query
 from snowloom.queries.world import common, frame
 from snowloom.session import materialize, scratch_folder
@@ -277,6 +279,24 @@ def load_country_codes(t: Tables):
     )
 
 
+@query("""
+WITH first AS (SELECT c_custkey, row_number() OVER (ORDER BY c_name, c_custkey) - 1 AS id FROM customer WHERE c_custkey % 2 = 1),
+  later AS (SELECT c_custkey, (SELECT max(id) FROM first) + row_number() OVER (ORDER BY c_name, c_custkey) AS id FROM customer WHERE c_custkey % 2 = 0)
+SELECT id AS country_code_id, c_name AS code_name, 'C' || c_custkey AS iso2_code, 'I' || c_custkey AS iso3_code
+FROM customer JOIN (SELECT * FROM first UNION ALL SELECT * FROM later) USING (c_custkey)
+""")
+def load_country_codes_two_loads(t: Tables):
+    """A longer list of names, the new ones between the old: no id changes."""
+    code = F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("country_code")
+    names = t.customer.select(code, F.col("c_name").alias("country_name"), "c_custkey")
+    iso3 = t.customer.select(code, F.concat(F.lit("I"), F.col("c_custkey").cast("string")).alias("iso3_code"))
+    currency = t.customer.select(code, F.col("c_mktsegment").alias("currency_code"))
+    phones = t.customer.select(code, F.lit("1").alias("phone_code"))
+    lists = (iso3, currency, phones, reference.currencies(currency, None))
+    before = materialize(geography.country_codes(names.where("c_custkey % 2 = 1"), *lists), "country-codes")
+    return geography.country_codes(names, *lists, before).select("country_code_id", "code_name", "iso2_code", "iso3_code")
+
+
 _CODES = "CASE WHEN c_custkey = 1 THEN 'BQ' WHEN c_custkey = 2 THEN 'CW' WHEN c_custkey = 3 THEN 'PS' ELSE concat('C', CAST(c_custkey AS STRING)) END"
 _NAMES = "CASE WHEN c_custkey = 5 THEN 'Netherlands Antilles' WHEN c_custkey = 6 THEN 'Gaza Strip' WHEN c_custkey = 7 THEN 'West Bank' ELSE c_name END"
 
@@ -340,6 +360,66 @@ def load_cities(t: Tables):
     return rows.select("city_id", "accent_city_name", "country_id", "city_region", "country_code", "city_label", "upd_date")
 
 
+@query("""
+WITH seen AS (SELECT *, row_number() OVER (ORDER BY c_nationkey, c_mktsegment, c_acctbal, c_custkey) - 1 AS id FROM customer WHERE c_custkey % 5 <> 0),
+  fresh AS (SELECT *, (SELECT max(id) FROM seen) + row_number() OVER (ORDER BY c_nationkey, c_mktsegment, c_acctbal, c_custkey) AS id
+            FROM customer WHERE c_custkey % 5 = 0)
+SELECT id AS city_id, 'n' || c_nationkey AS country_code, c_mktsegment AS city_region, c_name AS accent_city_name, c_acctbal AS population
+FROM (SELECT * FROM seen UNION ALL SELECT * FROM fresh)
+""".replace("c_nationkey, c_mktsegment, c_acctbal, c_custkey", "c_nationkey, c_name"))
+def load_cities_moved(t: Tables):
+    """A second list in which every city has other coordinates: known cities keep their ids, new ones follow."""
+
+    def listed(where: str, north: float, day: date):
+        rows = t.customer.where(where).select(
+            F.lower("c_name").alias("city_name"), F.col("c_name").alias("accent_city_name"), F.col("c_mktsegment").alias("city_region"),
+            F.col("c_acctbal").alias("population"), (F.col("c_custkey") % 80 + north).cast("decimal(20,17)").alias("latitude"),
+            F.lit(1).cast("decimal(20,17)").alias("longitude"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("country_code"),
+        )
+        return sinks.stamp(conforming.conform_cities(rows), day)
+
+    pairs = t.nation.select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("iso2_code"), F.col("n_name").alias("country_name"),
+        F.col("n_nationkey").cast("long").alias("country_id"),
+    )
+    before = materialize(geography.cities(listed("c_custkey % 5 <> 0", 0.0, date(2024, 1, 7)), pairs, None), "cities")
+    rows = geography.cities(listed("true", 0.5, date(2024, 1, 14)), pairs, before)
+    return rows.select("city_id", "country_code", "city_region", "accent_city_name", "population")
+
+
+_OVERRIDDEN = [row[0] for row in fixed.CITY_OVERRIDES]
+_PAST = list(fixed.HISTORICAL_COUNTRIES)
+
+
+def _text(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+@query(f"""
+WITH c AS (SELECT c_custkey, {_text(_OVERRIDDEN)}[c_custkey % {len(_OVERRIDDEN)} + 1] AS city, {_text(_PAST)}[c_custkey % {len(_PAST)} + 1] AS country,
+    {_text([row[0] for row in fixed.PARENT_ORGANIZATIONS])}[c_custkey % 4 + 1] AS organization FROM customer)
+SELECT c_custkey, {_text([row[1] for row in fixed.CITY_OVERRIDES])}[c_custkey % {len(_OVERRIDDEN)} + 1] AS original_city,
+  c.country AS historical_country, {_text([row[2] for row in fixed.PARENT_ORGANIZATIONS])}[c_custkey % 4 + 1] AS organization_city FROM c
+""")
+def load_seeds(t: Tables):
+    """Names of customers looked up in the three seed lists; one in four has an organization of none."""
+
+    def nth(values, n):
+        return F.get(F.array(*map(F.lit, values)), (F.col("c_custkey") % n).cast("int"))
+
+    rows = t.customer.select(
+        "c_custkey", F.concat(nth(_OVERRIDDEN, len(_OVERRIDDEN)), F.lit("  ")).alias("city"), nth(_PAST, len(_PAST)).alias("country"),
+        nth([row[0] for row in fixed.PARENT_ORGANIZATIONS], 4).alias("organization"),
+    )
+    cities = sources.seed(t.spark, fixed.CITY_OVERRIDES, "mis_city_name string, orig_city_name string, orig_region string, orig_country string")
+    past = sources.seed(t.spark, [(name,) for name in _PAST], "country_name string")
+    parents = sources.seed(t.spark, fixed.PARENT_ORGANIZATIONS, "organization_name string, organization_country string, organization_city string")
+    rows = enrich.lookup(rows, cities, {"city": "mis_city_name"}, {"orig_city_name": "original_city"}, lowest=True)
+    rows = enrich.lookup(rows, past.distinct(), {"country": "country_name"}, {"country_name": "historical_country"})
+    rows = enrich.lookup(rows, parents, {"organization": "organization_name"}, ["organization_city"])
+    return rows.select("c_custkey", "original_city", "historical_country", "organization_city")
+
+
 @query("""
 SELECT s_suppkey, (SELECT min(c_custkey) FROM customer WHERE c_custkey % 100 = s_suppkey AND c_nationkey = s_nationkey) AS city_id FROM supplier
 """)
@@ -472,6 +552,20 @@ def load_prizes(t: Tables):
     return new.drop("nobel_prize_id").withColumns({name: numbers.agg(a).scalar() for name, a in totals.items()})
 
 
+@query(common("laureates") + """,
+  prizes AS (SELECT laureate_id, prize, min(year) AS year FROM laureates GROUP BY 1, 2)
+SELECT row_number() OVER (ORDER BY year, laureate_id, prize) - 1 AS place, year, laureate_id, DATE '2024-01-14' AS upd_date FROM prizes
+""")
+def load_prizes_both_batches(t: Tables):
+    """Two pending batches that repeat each other, in one run: one fact per prize, the newest."""
+    rows = _landed(t)
+    dims = [reference.categories(rows, None), reference.prize_types(rows, None).drop("upd_date"), reference.laureate_types(rows, None)]
+    both = sinks.stamp(rows.drop("upd_date"), date(2024, 1, 7)).unionByName(sinks.stamp(rows.drop("upd_date"), date(2024, 1, 14)))
+    new = laureates.nobel_prizes(both, *dims, None)
+    named = new.join(dims[1], "prize_type_id")
+    return keys.dense_id(named.select("year", "laureate_id", "prize_type", "upd_date"), ["year", "laureate_id", "prize_type"], "place").drop("prize_type")
+
+
 _PEOPLE = "SELECT c_custkey AS laureate_id, c_name AS full_name, DATE '1900-01-01' AS birth_date, {city} AS birth_city_id, {country} AS birth_country_id, {city2} AS death_city_id, {country2} AS death_country_id, DATE '2024-01-07' AS upd_date FROM {{customer}} WHERE c_mktsegment <> 'BUILDING'".format(
     city="CASE WHEN c_custkey % 6 <> 0 THEN c_custkey END", country="CAST(CASE WHEN c_nationkey % 5 <> 4 AND c_custkey % 4 = 0 THEN 1000 + c_nationkey ELSE c_nationkey END AS BIGINT)",
     city2="CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1 END", country2="CASE WHEN c_custkey % 3 = 0 THEN CAST(3 AS BIGINT) END",
@@ -542,5 +636,5 @@ def load_dataset(t: Tables):
     persons = t.spark.sql(_PEOPLE, customer=t.customer)
     places, workplaces = (t.spark.sql(text, supplier=t.supplier) for text in (_PLACES, _WORKPLACES))
     return wide.dataset(
-        frame(t, "laureates"), persons, places, workplaces, countries, frame(t, "cities"), frame(t, "regions"), frame(t, "continents")
+        _landed(t), persons, places, workplaces, countries, frame(t, "cities"), frame(t, "regions"), frame(t, "continents")
     ).select(*_DATASET_COLUMNS)

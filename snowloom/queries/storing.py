@@ -58,11 +58,34 @@ def pending_batches(t: Tables):
     database = _database(t)
     table, marks = f"{database}.orders", f"{database}.marks"
     sinks.land(_orders(t, _EARLY), table, date(2024, 1, 7))
-    sinks.mark_consumed(t.spark, table, marks)
+    sinks.mark_consumed(sinks.pin(t.spark, table, marks), table, marks)
     sinks.land(_orders(t, f"NOT {_EARLY}"), table, date(2024, 1, 14))
     return sinks.pending(t.spark, table, marks)
 
 
+@query("""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CASE o_orderstatus WHEN 'O' THEN DATE '2024-01-03' WHEN 'F' THEN DATE '2024-01-14' ELSE DATE '2024-01-21' END AS upd_date,
+       o_orderstatus = 'F' AS repeated FROM orders
+""")
+def pending_late_batch(t: Tables):
+    """A batch older than those consumed, a consumed date landed again, and one that lands during a run."""
+    database = _database(t)
+    table, marks = f"{database}.orders", f"{database}.marks"
+    sinks.land(_orders(t, "o_orderstatus = 'P'"), table, date(2024, 1, 14))
+    first = sinks.pin(t.spark, table, marks)
+    # These land while the first run works, so they are not its.
+    sinks.land(_orders(t, "o_orderstatus NOT IN ('O', 'F')"), table, date(2024, 1, 21))
+    sinks.land(_orders(t, "o_orderstatus = 'O'"), table, date(2024, 1, 3))
+    sinks.mark_consumed(first, table, marks)
+    sinks.land(_orders(t, "o_orderstatus = 'F'"), table, date(2024, 1, 14))
+    second = sinks.pin(t.spark, table, marks)
+    rows = sinks.batches(t.spark, table, second)
+    again = first.select("upd_date", F.lit(True).alias("again"))
+    marked = rows.join(again, "upd_date", "left")
+    return marked.select(*rows.columns, F.coalesce("again", F.lit(False)).alias("repeated"))
+
+
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, DATE '2024-01-07' AS upd_date FROM orders")
 def land_files_once(t: Tables):
     """A file stream that takes what is new and stops; the second run finds nothing new."""
@@ -189,6 +212,28 @@ def table_copy(t: Tables):
     return sources.read_table(t.spark, f"{database}.b")
 
 
+@query("""
+SELECT 'customer' AS source, c_custkey AS key, CAST(c_nationkey AS VARCHAR) AS place FROM customer
+UNION ALL SELECT 'orders', o_orderkey, o_orderstatus FROM orders UNION ALL SELECT 'nation', n_nationkey, n_name FROM nation
+""")
+def copy_warehouse(t: Tables):
+    """A set of tables copied into another database, each in partitions and buckets of its own."""
+    source, target = _database(t), _database(t)
+    tables = {"customer": "c_custkey, c_nationkey", "orders": "o_orderkey, o_orderstatus", "nation": "n_nationkey, n_name"}
+    for name, columns in tables.items():
+        sinks.create_table(getattr(t, name).select(*columns.split(", ")), f"{source}.{name}")
+    layouts = {
+        f"{target}.customer": Layout(("c_nationkey",), 4, ("c_custkey",)), f"{target}.orders": Layout(("o_orderstatus",)),
+    }
+    sinks.copy_tables(t.spark, {f"{source}.{name}": f"{target}.{name}" for name in tables}, layouts)
+    rows = []
+    for name, columns in tables.items():
+        key, place = columns.split(", ")
+        copied = sources.read_table(t.spark, f"{target}.{name}")
+        rows.append(copied.select(F.lit(name).alias("source"), F.col(key).cast("long").alias("key"), F.col(place).cast("string").alias("place")))
+    return versioning.union_all(rows)
+
+
 @query("""
 WITH d AS (SELECT DISTINCT c_mktsegment AS seg, c_nationkey % 5 AS grp FROM customer),
      a AS (SELECT row_number() OVER (ORDER BY seg, grp) - 1 AS id, seg, grp FROM d WHERE grp < 3),

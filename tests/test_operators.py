@@ -248,6 +248,41 @@ def test_sinks(spark):
     assert not spark.catalog.tableExists("sink_test.v")
 
 
+def test_an_unfinished_publish_changes_nothing(spark):
+    sinks.ensure_database(spark, "unfinished", reset=True)
+    df = spark.createDataFrame([("x", 1), ("y", 2)], "c string, i int")
+    first = sinks.publish(df.limit(1), "unfinished.v")
+    second = sinks.publish(df, "unfinished.v")
+    # A run that ended after its version was written, before the view was switched.
+    sinks.create_table(df.where("i > 9"), "unfinished.v__v99999999999999999999_orphan")
+    sinks.extend(spark.createDataFrame([("z", 3)], "c string, i int"), "unfinished.v")
+    assert rows(spark.table("unfinished.v")) == [("x", 1), ("y", 2), ("z", 3)] and sinks.shown(spark, "unfinished.v") == second
+    sinks.retire(spark, "unfinished.v", keep=2)
+    assert sinks.versions(spark, "unfinished.v") == [first, second]
+    sinks.retire(spark, "unfinished.v", keep=1)
+    assert sinks.versions(spark, "unfinished.v") == [second] and spark.table("unfinished.v").count() == 3
+    sinks.ensure_database(spark, "unfinished", reset=True)
+
+
+def test_a_rule_without_conditions_is_refused():
+    with pytest.raises(ValueError):
+        enrich.ParentRule({}, {"name": "A"})
+    with pytest.raises(ValueError):
+        enrich.ParentRule({"name": ["A"]}, {})
+
+
+def test_rules_name_parents_by_columns_of_their_own(spark):
+    dim = spark.createDataFrame([(1, "A", "X"), (2, "B", "Y"), (3, "C", "Z")], "id long, name string, city string")
+    rules = [enrich.ParentRule({"name": ["A"]}, {"name": "B"}), enrich.ParentRule({"name": ["B"]}, {"city": "Z"})]
+    assert rows(enrich.resolve_parent(dim, rules, dim, "id", "parent"), "id", "parent") == [(1, 2), (2, 3), (3, None)]
+    assert rows(enrich.resolve_parent(dim, [], dim, "id", "parent"), "parent") == [(None,)] * 3
+
+
+def test_more_first_rows_than_the_limit_are_refused(spark):
+    with pytest.raises(ValueError):
+        reshape.first_rows(spark.range(3), ["id"], ["id"], 5000, "n")
+
+
 def test_stamp_defaults_to_today(spark):
     today = spark.sql("select current_date()").first()[0]
     assert rows(sinks.stamp(spark.range(1)), "upd_date")[0][0] >= today

@@ -2,6 +2,7 @@
 
 import contextlib
 import os
+import threading
 
 import pytest
 from compare import plan
@@ -105,6 +106,32 @@ def test_dense_id_cuts_one_order_value_into_ranges(spark, hot):
     assert numbered.agg(F.count_distinct("n"), F.min("n"), F.max("n")).first() == (ROWS, 0, ROWS - 1)
 
 
+@pytest.fixture(scope="module")
+def copies(spark):
+    """A third of the rows are exact copies of one, the others of fifty."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50 + 100)
+    return spark.range(ROWS).select(key.alias("k"))
+
+
+def test_dense_id_of_exact_copies(spark, copies):
+    numbered = keys.dense_id(copies, ["k"], "n", partitions=16)
+    assert numbered.agg(F.count_distinct("n"), F.min("n"), F.max("n")).first() == (ROWS, 0, ROWS - 1)
+    ends = numbered.groupBy("k").agg(F.min("n").alias("a"), F.max("n").alias("b"), F.count("n").alias("c")).orderBy("k").collect()
+    assert all(r.b - r.a + 1 == r.c for r in ends) and all(x.b + 1 == y.a for x, y in zip(ends, ends[1:]))
+    folder = next(f for f in numbered.inputFiles() if "dense-id" in f).rsplit("/", 1)[0]
+    # Copies go through the ranges once.
+    assert spark.read.parquet(folder).count() == 51
+
+
+def test_salted_join_of_exact_copies(spark, copies):
+    dim = spark.range(200).select(F.col("id").alias("d"), (F.col("id") * 2).alias("v"))
+    got = skew.salted_join(copies, dim, [("k", "d")], "left", salts=16)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, copies.join(dim, F.col("k") == F.col("d"), "left").collect()))
+    merged = skew.collapsed(copies)
+    assert merged.count() == 51 and merged.agg(F.sum("__copies")).first()[0] == ROWS
+    assert skew.collapsed(spark.range(5000)) is None
+
+
 def test_first_match_resolves_each_reference_once(spark, hot):
     dim = spark.range(0, 1000).select(F.col("id").alias("key"), F.col("id").alias("found"))
     got = enrich.first_match(hot, [enrich.Candidate(dim, {"k": "key"}, "found")], "f")
@@ -139,6 +166,35 @@ def test_scratch_follows_the_session_and_is_removed(spark):
     assert scratch_folder(shared, "x").startswith("hdfs://shared/dir/x-")
 
 
+def test_scopes_inside_and_beside_each_other(spark):
+    def folder(df):
+        return df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+
+    with scratch_scope(spark):
+        outer = folder(materialize(spark.range(3), "outer"))
+        with scratch_scope(spark):
+            inner = folder(materialize(spark.range(3), "inner"))
+        assert os.path.isdir(outer) and not os.path.exists(inner)
+    assert not os.path.exists(outer)
+
+    opened, ended, seen = threading.Event(), threading.Event(), []
+
+    def beside():
+        with scratch_scope(spark):
+            df = materialize(spark.range(5), "beside")
+            opened.set()
+            ended.wait(60)
+            seen.append(df.count())
+
+    thread = threading.Thread(target=beside)
+    with scratch_scope(spark):
+        thread.start()
+        opened.wait(60)
+    ended.set()
+    thread.join(60)
+    assert seen == [5]
+
+
 def test_bucketed_tables_join_where_they_are(spark):
     sinks.ensure_database(spark, "bucket_test", reset=True)
     orders = spark.read.parquet(f"{DATA}/sf0.001/orders.parquet")
