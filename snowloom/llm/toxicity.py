@@ -179,19 +179,22 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     repeated rows are scored each; an empty table gives none. Without toxic or without ordinary labels
     nothing can be told apart, and scores are near 0 or 1 as the labels there are.
     """
-    spark = docs.sparkSession
-    known = materialize(labelled(docs, labels, "toxic", fold(F.col("doc_id"), FOLDS) != HELD_OUT), "toxicity-labelled")
+    spark, ids = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    known = materialize(labelled(docs, labels, "toxic", fold(F.col("doc_id"), FOLDS) != HELD_OUT, "merge"), "toxicity-labelled")
     calibrating = fold(F.col("doc_id"), FOLDS) == CALIBRATION
     part = known.where(~calibrating).select("text", "y").mapInArrow(_count, "word binary, o long, t long")
     counts = materialize(part.groupBy("word").agg(F.sum("o").alias("o"), F.sum("t").alias("t")), "toxicity-counts")
     tables = spark.sparkContext.broadcast(fit(counts))
     featured = _featured(tables)
-    sample = known.where(calibrating).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATED).select("y", "text")
-    rows = sample.mapInArrow(featured, "y int, x array<double>").toArrow()
+    # Chosen by hash where there are more than may come to the driver.
+    share = CALIBRATED / max(1, known.where(calibrating).count())
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(900_000 * share) if share < 1 else F.lit(True)
+    sample = known.where(calibrating & drawn).select("doc_id", "y", "text")
+    rows = sample.mapInArrow(featured, f"doc_id {ids}, y int, x array<double>").limit(CALIBRATED).toArrow().sort_by("doc_id")
     x = np.array(rows["x"].to_pylist(), np.float64).reshape(-1, FEATURES)
     weights = fit_logistic(x, rows["y"].to_numpy().astype(float))
     all_docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = all_docs.mapInArrow(featured, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, x array<double>")
+    scored = all_docs.mapInArrow(featured, f"doc_id {ids}, x array<double>")
     z = F.lit(float(weights[-1]))
     for i in range(FEATURES):
         z = z + F.col("x")[i] * float(weights[i])
