@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,7 +92,32 @@ def plain_fallback_chain(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("c_custkey", F.col("found").alias("supplier_id"))
 
 
+def plain_bridge(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct pairs numbered by one window over all of them."""
+    lines, orders = spark.read.parquet(f"{d}/lineitem.parquet"), spark.read.parquet(f"{d}/orders.parquet")
+    pairs = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey").distinct()
+    return pairs.withColumn("pair_id", F.row_number().over(W.orderBy("o_custkey", "l_partkey")) - 1)
+
+
+def plain_collapse_slots(spark: SparkSession, d: str) -> DataFrame:
+    """All rows of an order numbered, then every column reduced on its own."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    rows = lines.withColumn("i", F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_suppkey", "l_linenumber", "l_partkey")))
+    slots = [F.min(F.when(F.col("i") == i, F.col("l_suppkey"))).alias(f"l_suppkey{i}") for i in (1, 2)]
+    return rows.groupBy("l_orderkey").agg(F.min("l_returnflag").alias("l_returnflag"), F.max("l_shipdate").alias("l_shipdate"), *slots)
+
+
+def plain_lookup_salted(spark: SparkSession, d: str) -> DataFrame:
+    """The join as Spark plans it."""
+    lines, suppliers = spark.read.parquet(f"{d}/lineitem.parquet"), spark.read.parquet(f"{d}/supplier.parquet")
+    joined = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    return joined.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.min("s_name").alias("s_name"), F.max("s_nationkey").alias("s_nationkey"))
+
+
 PLAIN = {
+    "bridge": plain_bridge,
+    "collapse_slots": plain_collapse_slots,
+    "lookup_salted": plain_lookup_salted,
     "dense_id": plain_dense_id,
     "rule_parent_simple": plain_rule_parent_simple,
     "slot_pivot": plain_slot_pivot,
@@ -123,6 +149,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,4 +1,8 @@
-"""Columns of the sources, their canonical names, and the layouts of the warehouse tables."""
+"""Columns of the sources, their canonical names, and the layouts of the warehouse tables.
+
+Fixed values: names, types, lengths, partition columns and numbers of buckets are those of the sources and of
+the warehouse, and must stay as they are.
+"""
 
 from __future__ import annotations
 
