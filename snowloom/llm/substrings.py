@@ -23,7 +23,9 @@ from snowloom.session import materialize, scratch_folder
 WINDOW = 35
 # The first level is not shorter than this, so that it tells texts apart.
 SHORTEST = 8
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+# Odd multipliers of the running sums: two over words, one over bytes.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x2545F4914F6CDD1D)
+_IN_WORD = np.array([b not in b" \t\n\v\f\r" for b in range(256)], np.int8)
 _CODEC = "zstd"
 
 
@@ -57,18 +59,32 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def word_codes(text: bytes) -> np.ndarray:
+    """One hash per word of a UTF-8 text, from running sums over its bytes."""
+    octets = np.frombuffer(text, np.uint8)
+    inside = np.zeros(len(octets) + 2, np.int8)
+    inside[1:-1] = _IN_WORD[octets]
+    edges = np.flatnonzero(np.diff(inside))
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _POWERS[2].upto(len(octets) + 1)
+    sums = np.zeros(len(octets) + 1, np.uint64)
+    np.cumsum(octets * up[: len(octets)], out=sums[1:])
+    return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 class Windows:
     """Hashes of all windows of one text, of any length, from running sums over its words."""
 
-    def __init__(self, words: list[bytes]):
-        self.n = len(words)
-        codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, self.n)
+    def __init__(self, text: bytes):
+        codes = word_codes(text)
+        self.n = len(codes)
         self.sums = []
-        for i, powers in enumerate(_POWERS):
+        for powers in _POWERS[:2]:
             up, _ = powers.upto(self.n + 1)
             sums = np.zeros(self.n + 1, np.uint64)
-            np.cumsum((_mixed(codes) if i else codes) * up[: self.n], out=sums[1:])
+            np.cumsum(codes * up[: self.n], out=sums[1:])
             self.sums.append(sums)
+            codes = _mixed(codes)
 
     def hashes(self, at: np.ndarray, length: int, which: int = 0) -> np.ndarray:
         """The hash of the window of ``length`` words at every place in ``at``."""
@@ -88,14 +104,16 @@ class Windows:
         return best
 
 
-def _candidates(words: list[bytes], window: int, lone: list[np.ndarray]) -> tuple[Windows, np.ndarray, np.ndarray, int]:
+def _candidates(text: bytes, window: int, lone: list[np.ndarray]) -> tuple[Windows, np.ndarray, np.ndarray, int]:
     """The windows that the judged levels leave, and where the next level's window of each begins.
 
     ``lone[k]`` has the places of level ``k`` whose window occurs once. Returns also the next level's length,
     or ``window`` when all levels are judged.
     """
     lengths = levels(window)
-    all_ = Windows(words)
+    all_ = Windows(text)
+    if all_.n < window:
+        return all_, np.zeros(0, np.int64), np.zeros(0, np.int64), window
     starts, place = np.arange(all_.n - window + 1), all_.least(lengths[0], window)
     for k, length in enumerate(lengths):
         if k:
@@ -137,10 +155,9 @@ def _counted(window: int, depth: int):
             lone = [_places(batch.column(f"lone{k}").to_pylist()) for k in range(depth)]
             rows = zip(batch.column("row_id").to_pylist(), batch.column("blob").to_pylist(), batch.column("size").to_pylist(), batch.column("first").to_pylist())
             for i, (row_id, blob, size, first) in enumerate(rows):
-                words = _text(blob, size).split() if first is not False else []
-                if len(words) < window:
+                if first is False:
                     continue
-                found, _, place, length = _candidates(words, window, [x[i] for x in lone])
+                found, _, place, length = _candidates(_text(blob, size), window, [x[i] for x in lone])
                 at = np.unique(place)
                 if len(at):
                     check = (found.hashes(at, length, 1) >> np.uint64(33)).astype(np.int32)
@@ -162,11 +179,12 @@ def _judged(window: int, depth: int):
             totals, removed, cuts, texts = [], [], [], []
             rows = zip(batch.column("blob").to_pylist(), batch.column("size").to_pylist(), batch.column("first").to_pylist())
             for i, (blob, size, first) in enumerate(rows):
-                words = _text(blob, size).split()
+                text = _text(blob, size)
+                words = text.split()
                 n = len(words)
                 covered = np.zeros(n + 1, np.int64)
                 if n >= window:
-                    starts = np.arange(n - window + 1) if first is not None else _candidates(words, window, [x[i] for x in lone])[1]
+                    starts = np.arange(n - window + 1) if first is not None else _candidates(text, window, [x[i] for x in lone])[1]
                     np.add.at(covered, starts, 1)
                     np.add.at(covered, starts + window, -1)
                 gone = np.cumsum(covered)[:n] > 0
