@@ -49,13 +49,15 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         prints = np.array([fingerprint(t or b"") for t in texts], np.uint64).view(np.int64)
-        yield pa.record_batch([batch.column("doc_id"), pa.array(prints)], ["doc_id", "fp"])
+        yield pa.record_batch([batch.column("doc_id"), batch.column("tie"), pa.array(prints)], ["doc_id", "tie", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)`` for every row of ``docs``; ``fp`` holds the 64 bits as a signed long."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _fingerprints, "doc_id long, fp long"
+    """``(doc_id, tie, fp)`` for every row of ``docs``; ``fp`` holds the 64 bits as a signed long, ``tie`` a hash
+    of the text that tells rows of one id apart."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("tie"), text.alias("text")).mapInArrow(
+        _fingerprints, "doc_id long, tie long, fp long"
     )
 
 
@@ -112,6 +114,18 @@ def links(prints: DataFrame, paired: int = PAIRED) -> DataFrame:
     return pairs.unionByName(stars.select(F.col("least").alias("a"), F.col("fp").alias("b")).where("a <> b").distinct())
 
 
+def _grouped(docs: DataFrame) -> DataFrame:
+    """The fingerprinted rows with the ``root`` of their group and its ``component_id``."""
+    marked = materialize(fingerprints(docs), "simhash")
+    prints = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-prints")
+    roots = components(links(prints))
+    rooted = prints.join(roots, prints.fp == roots.node, "left").select(
+        prints.fp, "first", F.coalesce("root", prints.fp).alias("root")
+    )
+    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marked.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs`` (needs ``doc_id`` and ``text``).
 
@@ -120,26 +134,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``doc_id`` stay and take part, but give no component its id; a component of such rows alone has null.
     Repeated rows stay repeated. An empty table gives no rows.
     """
-    marked = materialize(fingerprints(docs), "simhash")
-    prints = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-prints")
-    roots = components(links(prints))
-    rooted = prints.join(roots, prints.fp == roots.node, "left").select(
-        prints.fp, "first", F.coalesce("root", prints.fp).alias("root")
-    )
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    label = rooted.join(ids, "root").select("fp", "component_id")
-    return marked.join(label, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return _grouped(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` per group: the one with the smallest ``doc_id``, the columns unchanged.
+    """One row of ``docs`` per group, the one with the smallest ``doc_id``, with its columns unchanged.
 
-    Repeated ids are reduced by their rows' hash, so reruns agree.
+    Of several rows with that id the text of the least hash stays, and of equal texts the row of the least
+    hash, so reruns agree. A group of null ids alone keeps one row too.
     """
-    found = near_duplicates(docs).select(F.col("doc_id").alias("__id"), F.col("component_id").alias("__group"))
-    firsts = found.where("__id <=> __group").select("__id").distinct()
-    kept = docs.join(firsts, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    one = W.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    firsts = _grouped(docs).where("doc_id <=> component_id").groupBy("root").agg(
+        F.min("component_id").alias("__id"), F.min("tie").alias("__tie")
+    )
+    tie = F.xxhash64(F.col("text").cast("string"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (tie == F.col("__tie"))
+    kept = docs.join(firsts.select("__id", "__tie"), same, "left_semi")
+    one = W.partitionBy("doc_id", tie).orderBy(F.xxhash64(*docs.columns))
     return kept.withColumn("__row", F.row_number().over(one)).where("__row = 1").drop("__row")
