@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 16
-DIMENSIONS, OVERSAMPLED = 160, 16
+DIMENSIONS, OVERSAMPLED = 144, 8
 # Least cosine of a candidate. Words outside the space count in a passage's length, so passages that share
 # only common words with an item stay far below.
-CANDIDATE = 0.25
+CANDIDATE = 0.2
 # Share of an item's words that must stand in order: alone, or with the answer.
 COPIED, PARAPHRASED = 0.8, 0.5
 ANSWERED = 0.9
@@ -31,6 +32,8 @@ ANSWERED = 0.9
 ITEMS = 256
 # Energy of the benchmark's own passages in the decomposition, in times that of the documents'.
 BENCHMARK_SHARE = 20.0
+# Words that are counted densely, as they are most of what stands in a text.
+FREQUENT = 256
 _SPACED = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256))
 _ANSWER = re.compile(r"(?i)\banswer\s*[:=]|\?")
 
@@ -92,31 +95,60 @@ class Blocks:
     texts: list[list[bytes]]
     ids: np.ndarray
     block: np.ndarray
+    # False where the word stands in the block before. A word counts once in a block; its repeats only add to
+    # the length of a passage, so text that repeats a common word is near nothing.
+    new: np.ndarray
     unknown: np.ndarray
     first: np.ndarray
     n: int
+    parts: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     @classmethod
     def of(cls, texts: list[str | None], known: dict[bytes, int]) -> Blocks:
         cut = [words(t or "") for t in texts]
-        ids = np.fromiter((known.get(w, -1) for t in cut for w in t), np.int64)
         sizes = np.array([len(t) for t in cut], np.int64)
+        ids = np.fromiter(map(known.get, chain.from_iterable(cut), repeat(-1)), np.int64, int(sizes.sum()))
         counts = -(-sizes // BLOCK)
         first = np.concatenate([[0], np.cumsum(counts)])
         place = np.arange(len(ids)) - np.repeat(np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes)
         block = np.repeat(first[:-1], sizes) + place // BLOCK
         n = int(first[-1])
         unknown = np.bincount(block[ids < 0], minlength=n)
-        return cls(cut, ids[ids >= 0], block[ids >= 0], unknown, first, n)
+        ids, block = ids[ids >= 0], block[ids >= 0]
+        new = np.ones(len(ids), bool)
+        for back in range(1, BLOCK):
+            new[back:] &= (ids[back:] != ids[:-back]) | (block[back:] != block[:-back])
+        return cls(cut, ids, block, new, unknown, first, n)
+
+    def split(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the most frequent words stand in each block, and the other words with their blocks.
+
+        Numbers go by frequency, so the first ``FREQUENT`` have most of the words and are multiplied densely.
+        """
+        if self.parts is None:
+            size = min(FREQUENT, size)
+            ids, block = self.ids[self.new], self.block[self.new]
+            often = ids < size
+            held = np.zeros(self.n * size, np.float32)
+            held[block[often] * size + ids[often]] = 1
+            self.parts = held.reshape(self.n, size), ids[~often], block[~often]
+        return self.parts
 
     def sums(self, rows: np.ndarray) -> np.ndarray:
         """``rows`` of the known words, summed by block."""
-        out = np.zeros((self.n, rows.shape[1]), np.float32)
-        if len(self.ids):
-            starts = np.flatnonzero(np.concatenate([[True], self.block[1:] != self.block[:-1]]))
-            out[self.block[starts]] = np.add.reduceat(rows[self.ids], starts, axis=0)
+        counts, ids, block = self.split(len(rows))
+        out = counts @ rows[: counts.shape[1]]
+        if len(ids):
+            starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            out[block[starts]] += np.add.reduceat(rows[ids], starts, axis=0)
         return out
 
+    def whole(self) -> np.ndarray:
+        """The passages that are not the end of the one before: all but a longer text's last block alone."""
+        used = np.ones(self.n, bool)
+        used[self.first[1:][np.diff(self.first) > 1] - 1] = False
+        return used
+
     def paired(self, by_block: np.ndarray) -> np.ndarray:
         """Blocks summed to passages: each with the next block of its text, the last one alone."""
         following = np.zeros_like(by_block)
@@ -133,7 +165,7 @@ def _document_counts(known):
         held, n, size = np.zeros(len(known.value), np.int64), 0, len(known.value)
         for batch in batches:
             b = Blocks.of(batch.column("text").to_pylist(), known.value)
-            held += np.bincount(np.unique(b.block * size + b.ids) % size, minlength=size)
+            held += np.bincount(b.ids[b.new], minlength=size)
             n += b.n
         at = np.flatnonzero(held)
         yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(held[at], n))], ["f", "n"])
@@ -152,13 +184,15 @@ def _gram_times(b: Blocks, idf: np.ndarray, basis: np.ndarray, weights: np.ndarr
     back[1:] = image[:-1]
     back[b.first[:-1][np.diff(b.first) > 0]] = 0
     image += back
-    order = np.argsort(b.ids, kind="stable")
+    counts, ids, block = b.split(len(basis))
     out = np.zeros(basis.shape, np.float64)
+    out[: counts.shape[1]] = counts.T @ image
+    order = np.argsort(ids, kind="stable")
     if len(order):
-        ids = b.ids[order]
+        ids = ids[order]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        out[ids[starts]] = np.add.reduceat(image[b.block[order]], starts, axis=0)
-    return out * idf[:, None], 2.0 * float((idf[b.ids] ** 2).sum())
+        out[ids[starts]] = np.add.reduceat(image[block[order]], starts, axis=0)
+    return out * idf[:, None], 2.0 * float((idf[b.ids[b.new]] ** 2).sum())
 
 
 def _sketch(known, space):
@@ -206,8 +240,9 @@ class Space:
         vectors = b.paired(b.sums(self.projection))
         weights = np.bincount(b.block, weights=self.squares[b.ids], minlength=b.n) + b.unknown * self.unknown
         length = np.maximum(np.sqrt(b.paired(weights)), np.linalg.norm(vectors, axis=1))
-        near = (vectors @ self.pieces.T) / np.maximum(length, 1e-9)[:, None]
-        rows, columns = np.nonzero(near >= CANDIDATE)
+        vectors[~b.whole()] = 0
+        near = (vectors / np.maximum(length, 1e-9).astype(np.float32)[:, None]) @ self.pieces.T
+        rows, columns = np.divmod(np.flatnonzero(near >= CANDIDATE), max(1, near.shape[1]))
         text_of = np.searchsorted(b.first, rows, side="right") - 1
         best: dict[tuple[int, int], tuple[float, float]] = {}
         for row, text, column in zip(rows.tolist(), text_of.tolist(), columns.tolist()):
@@ -228,14 +263,18 @@ def fit(docs: DataFrame, items: list[Item], texts: list[str], seed: int = 42) ->
     """The latent space of one set of items: two passes over all documents, for weights and for the sketch."""
     spark = docs.sparkSession
     context = spark.sparkContext
-    known = {w: i for i, w in enumerate(sorted({w for item in items for w in item.words}))}
-    size = len(known)
-    shared = context.broadcast(known)
+    vocabulary = sorted({w for item in items for w in item.words})
+    size = len(vocabulary)
+    shared = context.broadcast({w: i for i, w in enumerate(vocabulary)})
     rows = docs.select(F.col("text").cast("string").alias("text"))
     counts = rows.mapInArrow(_document_counts(shared), "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()
     held = np.zeros(size + 1)
     held[counts["f"].to_numpy()] = counts["n"].to_numpy()
-    idf = np.log((held[-1] + 2) / (held[:-1] + 1)) + 0.05
+    # Numbered anew by frequency.
+    order = np.argsort(-held[:-1], kind="stable")
+    known = {vocabulary[i]: place for place, i in enumerate(order)}
+    shared = context.broadcast(known)
+    idf = np.log((held[-1] + 2) / (held[:-1][order] + 1)) + 0.05
     width = min(DIMENSIONS + OVERSAMPLED, size)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))[0]
     space = context.broadcast((idf, basis))
@@ -247,10 +286,8 @@ def fit(docs: DataFrame, items: list[Item], texts: list[str], seed: int = 42) ->
     image = np.zeros((size, width))
     image[at[at >= 0]] = matrix[at >= 0]
     energy = float(matrix[at < 0].max()) if (at < 0).any() else 0.0
-    # An item's last block alone says little, and is part of the passage before it.
     own = Blocks.of(texts, known)
-    used = np.ones(own.n, bool)
-    used[own.first[1:][np.diff(own.first) > 1] - 1] = False
+    used = own.whole()
     lengths = own.paired(np.bincount(own.block, weights=idf[own.ids] ** 2, minlength=own.n))
     # Every passage of the benchmark counts alike, whatever its length.
     part, _ = _gram_times(own, idf, basis, np.where(used, 1 / np.maximum(lengths, 1e-9), 0.0))
