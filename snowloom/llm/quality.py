@@ -45,16 +45,21 @@ def _number(name: bytes) -> int:
     return xxhash.xxh64_intdigest(name) % FEATURES
 
 
+_EMPTY = _number(b"empty")
+_MARKS = np.array([_number(b"m " + m) for m in (b"again", b"few", b"lines", b"caps")])
+
+
 class Numbers(dict):
-    """Feature numbers of a word: of itself in lower case, and of its shape."""
+    """The feature numbers of a word, of itself in lower case and of its shape, and whether it is in capitals,
+    as one whole number."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= _HELD_WORDS:
             self.clear()
         shape = _RUNS.sub(rb"\1", word.translate(_CLASSES))
-        pair = _number(b"w " + word.lower()), _number(b"s " + shape[:12])
-        self[word] = pair
-        return pair
+        code = (_number(b"w " + word.lower()) * FEATURES + _number(b"s " + shape[:12])) * 2 + word.isupper()
+        self[word] = code
+        return code
 
 
 def counted(text: str, numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
@@ -62,21 +67,22 @@ def counted(text: str, numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
     words = text.encode("utf-8", "replace").split()
     n = len(words)
     if not n:
-        return np.array([_number(b"empty")]), np.ones(1)
-    pairs = np.array([numbers[w] for w in words], np.int64)
-    own, times = np.unique(pairs[:, 0], return_counts=True)
-    shapes, shown = np.unique(pairs[:, 1], return_counts=True)
-    ids, weights = [own, shapes], [1 + np.log(times), SHAPE_WEIGHT * np.sqrt(n) * shown / n]
-    lines = text.count("\n") + 1
-    marks = {
-        b"again": float((pairs[1:, 0] == pairs[:-1, 0]).mean()) if n > 1 else 0.0,
-        b"few": 1 - len(own) / n if n >= 20 else 0.0,
-        b"lines": min(1.0, lines / n * 5),
-        b"caps": float(sum(w.isupper() for w in words)) / n,
-    }
-    ids.append(np.array([_number(b"m " + m) for m in marks]))
-    weights.append(SHAPE_WEIGHT * np.sqrt(n) * np.array(list(marks.values())))
-    return np.concatenate(ids), np.concatenate(weights)
+        return np.array([_EMPTY]), np.ones(1)
+    codes = np.fromiter(map(numbers.__getitem__, words), np.int64, n)
+    of_words = codes // (2 * FEATURES)
+    times = np.bincount(of_words, minlength=1)
+    shown = np.bincount(codes // 2 % FEATURES, minlength=1)
+    own, shapes = np.flatnonzero(times), np.flatnonzero(shown)
+    # Repetition of the word before, little variety, short lines, capitals: each as a share of the words.
+    marks = [
+        float((of_words[1:] == of_words[:-1]).mean()) if n > 1 else 0.0,
+        1 - len(own) / n if n >= 20 else 0.0,
+        min(1.0, (text.count("\n") + 1) / n * 5),
+        float((codes % 2).mean()),
+    ]
+    level = SHAPE_WEIGHT * np.sqrt(n)
+    weights = [1 + np.log(times[own]), level / n * shown[shapes], level * np.array(marks)]
+    return np.concatenate([own, shapes, _MARKS]), np.concatenate(weights)
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
