@@ -106,6 +106,14 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as views of its values, without an object per number."""
+    return [
+        part for chunk in column.chunks for part in np.split(chunk.flatten().to_numpy(), np.cumsum(chunk.value_lengths().to_numpy())[:-1])
+        if len(chunk)
+    ]
+
+
 @dataclass
 class Space:
     """What scoring needs: feature weights times projection, the voters' unit vectors and their labels."""
@@ -160,14 +168,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Space:
     kinds = f"doc_id {few.schema['doc_id'].dataType.simpleString()}, y int, ids array<long>, weights array<double>"
     got = few.mapInArrow(_sampled, kinds).limit(VOTERS).toArrow().sort_by("doc_id")
     y = got["y"].to_numpy().astype(float)
-    rows = [(np.array(i), np.array(w) * idf[i]) for i, w in zip(got["ids"].to_pylist(), got["weights"].to_pylist())]
+    plain = list(zip(_arrays(got["ids"]), _arrays(got["weights"])))
+    rows = [(i, w * idf[i]) for i, w in plain]
     rows = [(i, w / max(np.linalg.norm(w), 1e-12)) for i, w in rows]
     prior = float(y.mean()) if len(y) else 0.0
     if not rows:
         return Space(np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), y, prior)
     axes = _singular_vectors(rows, min(DIMENSIONS, len(rows)))
     space = Space((idf[:, None] * axes).astype(np.float32), np.zeros((0, 1), np.float32), y, prior)
-    plain = [(np.array(i), np.array(w)) for i, w in zip(got["ids"].to_pylist(), got["weights"].to_pylist())]
     space.voters = space.vectors(plain)
     return space
 
