@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 16
-DIMENSIONS, OVERSAMPLED = 144, 8
+DIMENSIONS, OVERSAMPLED = 128, 8
 # Least cosine of a candidate. Words outside the space count in a passage's length, so passages that share
 # only common words with an item stay far below.
 CANDIDATE = 0.2
