@@ -4,7 +4,8 @@ Texts are lower-cased words without ASCII punctuation. Documents are cut into pa
 ``BLOCK`` words, each passage beginning one block after the last. The features are the words of the
 benchmark, weighted by TF-IDF over all blocks of all documents. A randomised SVD of the passages, of documents
 and of the benchmark, gives the latent space; passages near an item in it are candidates, and a candidate
-counts if enough of the item's words stand there in order.
+counts if enough of the item's words stand there in order. Cosines fall with the corpus and with words outside
+the benchmark, so passages that hold the words without which nothing can count are candidates at any cosine.
 """
 
 from __future__ import annotations
@@ -21,12 +22,14 @@ from pyspark.sql import functions as F
 
 BLOCK = 16
 DIMENSIONS, OVERSAMPLED = 128, 8
-# Least cosine of a candidate. Words outside the space count in a passage's length, so passages that share
-# only common words with an item stay far below.
+# Cosine from which on a passage is a candidate whatever words it holds.
 CANDIDATE = 0.2
 # Share of an item's words that must stand in order: alone, or with the answer.
 COPIED, PARAPHRASED = 0.8, 0.5
 ANSWERED = 0.9
+# Share of an item's TF-IDF energy that a paraphrase holds where no passage is near. Below stand common words
+# alone, as any text has them; neither the corpus nor the words around a paraphrase change it.
+TELLING = 0.15
 # Items handled at once: few enough for the axes to tell them apart. Bounds what is sent to every task; more
 # items are searched set by set.
 ITEMS = 256
@@ -34,6 +37,8 @@ ITEMS = 256
 BENCHMARK_SHARE = 20.0
 # Words that are counted densely, as they are most of what stands in a text.
 FREQUENT = 256
+# Words looked at at once when candidates are told by their words.
+_LOOKED = 1 << 20
 _SPACED = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256))
 _ANSWER = re.compile(r"(?i)\banswer\s*[:=]|\?")
 
@@ -60,6 +65,8 @@ class Item:
     words: list[bytes]
     answer: list[bytes]
     masks: list[dict[bytes, int]] = field(default_factory=list)
+    # What each word has of the item's TF-IDF energy.
+    energy: dict[bytes, float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         for pattern in (self.words, self.answer):
@@ -75,6 +82,10 @@ class Item:
             for mask, pattern in zip(self.masks, (self.words, self.answer))
         )
 
+    def telling(self, region: list[bytes]) -> float:
+        """The share of the item's TF-IDF energy that stands in the region."""
+        return sum(self.energy[w] for w in self.energy.keys() & set(region))
+
 
 def common_subsequence(masks: dict[bytes, int], n: int, region: list[bytes]) -> int:
     """Length of the longest common subsequence with a pattern of ``n`` words, a machine word of the pattern at once."""
@@ -222,9 +233,100 @@ def _leading(image: np.ndarray, basis: np.ndarray, d: int) -> np.ndarray:
     return np.linalg.svd(half, full_matrices=False)[0][:, :d]
 
 
+def _least(share: float, n: int) -> int:
+    """The fewest of ``n`` words that are the share."""
+    return next(m for m in range(n + 1) if m / n >= share)
+
+
+@dataclass
+class Needed:
+    """The words without which a passage holds no item: what is found by them is all that can count.
+
+    Of an item of ``n`` words ``m`` can only stand in order where, for every ``k``, ``k`` of its ``n - m + k`` rarest
+    ones stand. With ``k = 1`` for a copy, a paraphrase or the answer that gives the anchors, looked up by word;
+    with the most telling ``k`` for half of the item the words that must stand around an anchor.
+    """
+
+    # Items by anchor: those of word w are items[starts[w]:starts[w + 1]].
+    starts: np.ndarray
+    items: np.ndarray
+    # Blocks that an item's region adds on each side, words that it needs and which ones they are, energy that it
+    # needs and what each word has of it.
+    reach: np.ndarray
+    least: np.ndarray
+    rare: np.ndarray
+    floor: np.ndarray
+    energy: np.ndarray
+
+    @classmethod
+    def of(cls, items: list[Item], known: dict[bytes, int], counts: np.ndarray, blocks: float) -> Needed:
+        pairs: set[tuple[int, int]] = set()
+        reach, least = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
+        rare, floor = np.zeros((len(items), len(known)), np.uint8), np.zeros(len(items))
+        energy = np.zeros(rare.shape, np.float32)
+        for at, item in enumerate(items):
+
+            def rarest(pattern: list[bytes]) -> np.ndarray:
+                ids = np.array([known.get(w, -1) for w in pattern])
+                return ids[np.argsort(counts[ids], kind="stable")]
+
+            n, by_words, by_answer = len(item.words), rarest(item.words), rarest(item.answer)
+            half = _least(PARAPHRASED, n)
+            ways = [set(by_words[: n - half + 1].tolist())]
+            # Cut out of its text, a word may have been lowered to one that the text does not have.
+            if len(by_answer) and by_answer.min() >= 0:
+                ways.append(set(by_answer[: len(by_answer) - _least(ANSWERED, len(by_answer)) + 1].tolist()))
+            copied = set(by_words[: n - _least(COPIED, n) + 1].tolist())
+            paraphrased = min(ways, key=lambda found: counts[list(found)].sum()) if len(by_answer) else set()
+            pairs.update((w, at) for w in copied | paraphrased)
+            reach[at] = -(-n // BLOCK)
+            # Chernoff's bound tells which number of words is least likely to stand in a window by chance.
+            k = np.arange(1, half + 1)
+            held = np.array([counts[np.unique(by_words[: n - half + j])].sum() for j in k])
+            chance = np.maximum(held / max(blocks, 1.0) * (4 * reach[at] + 3), 1e-9)
+            least[at] = k[np.argmax(np.where(k > chance, k * np.log(k / chance) - k + chance, -1.0 / k))]
+            rare[at, by_words[: n - half + least[at]]] = 1
+            energy[at, [known[w] for w in item.energy]] = list(item.energy.values())
+            # A copy has at least the energy of the words that have least of it; a little less for rounding.
+            each = np.sort(energy[at, by_words] / np.bincount(by_words)[by_words])
+            floor[at] = 0.999 * min(TELLING, each[: _least(COPIED, n)].sum())
+        listed = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        starts = np.searchsorted(listed[:, 0], np.arange(len(known) + 1))
+        return cls(starts, listed[:, 1], reach, least, rare, floor, energy)
+
+    def around(self, b: Blocks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Blocks with an anchor and the words that must stand around it: text, block, and the item it may be of."""
+        often = np.diff(self.starts)[b.ids]
+        used = np.flatnonzero(often)
+        often = often[used]
+        place = np.arange(often.sum()) - np.repeat(np.cumsum(often) - often, often)
+        item = self.items[np.repeat(self.starts[b.ids[used]], often) + place]
+        block, item = np.divmod(np.unique(np.repeat(b.block[used], often) * len(self.least) + item), len(self.least))
+        text = np.searchsorted(b.first, block, side="right") - 1
+        # Energy counts once a word, so its repeats in a block are left out.
+        for table, least, ids, blocks in (
+            (self.rare, self.least, b.ids, b.block), (self.energy, self.floor, b.ids[b.new], b.block[b.new])
+        ):
+            kept = self._sums(table, ids, blocks, b.first, text, block, item) >= least[item]
+            text, block, item = text[kept], block[kept], item[kept]
+        return text, block, item
+
+    def _sums(self, table: np.ndarray, ids: np.ndarray, blocks: np.ndarray, first: np.ndarray, text, block, item) -> np.ndarray:
+        """What the words that any region with the block has add up to in the item's row of the table."""
+        begins = np.searchsorted(blocks, np.maximum(first[text], block - 1 - 2 * self.reach[item]))
+        sizes = np.searchsorted(blocks, np.minimum(first[text + 1], block + 2 + 2 * self.reach[item])) - begins
+        out, ends = np.zeros(len(block)), np.cumsum(sizes)
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, _LOOKED)))
+        for low, high in zip(cuts, [*cuts[1:], len(block)]):
+            part, start = sizes[low:high], np.cumsum(sizes[low:high]) - sizes[low:high]
+            at = np.arange(part.sum()) + np.repeat(begins[low:high] - start, part)
+            out[low:high] = np.add.reduceat(table[np.repeat(item[low:high], part), ids[at]], start, dtype=np.float32)
+        return out
+
+
 @dataclass
 class Space:
-    """What the search needs: TF-IDF weights times the latent axes, squared weights, and the items' vectors."""
+    """What the search needs: TF-IDF weights times the latent axes, squared weights, and the items' vectors and words."""
 
     known: dict[bytes, int]
     projection: np.ndarray
@@ -233,6 +335,22 @@ class Space:
     items: list[Item]
     pieces: np.ndarray
     owner: np.ndarray
+    needed: Needed
+
+    def candidates(self, b: Blocks, near: np.ndarray) -> dict[tuple[int, int], bool]:
+        """Passages and items to verify, and whether they are near: all that are, and all that can count by their words."""
+        whole, out = b.whole(), {}
+        texts, blocks, found = self.needed.around(b)
+        for text, block, at, first, end in zip(*(x.tolist() for x in (texts, blocks, found, b.first[texts], b.first[texts + 1]))):
+            item, reach = self.items[at], int(self.needed.reach[at])
+            n, low, high = len(item.words), block - 1 - reach, block + reach
+            around = b.texts[text][max(0, (low - first) * BLOCK - n) : (high + 2 - first) * BLOCK + n]
+            least = PARAPHRASED if item.telling(around) >= TELLING else COPIED
+            if common_subsequence(item.masks[0], n, around) / n >= least:
+                out.update(((row, at), False) for row in range(max(first, low), min(end, high + 1)) if whole[row])
+        rows, columns = np.divmod(np.flatnonzero(near >= CANDIDATE), max(1, near.shape[1]))
+        out.update(((row, at), True) for row, at in zip(rows.tolist(), self.owner[columns].tolist()))
+        return out
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, float, float]]]:
         """Per text the items found in it: item, cosine and share of the item's words in order."""
@@ -242,17 +360,16 @@ class Space:
         length = np.maximum(np.sqrt(b.paired(weights)), np.linalg.norm(vectors, axis=1))
         vectors[~b.whole()] = 0
         near = (vectors / np.maximum(length, 1e-9).astype(np.float32)[:, None]) @ self.pieces.T
-        rows, columns = np.divmod(np.flatnonzero(near >= CANDIDATE), max(1, near.shape[1]))
-        text_of = np.searchsorted(b.first, rows, side="right") - 1
         best: dict[tuple[int, int], tuple[float, float]] = {}
-        for row, text, column in zip(rows.tolist(), text_of.tolist(), columns.tolist()):
-            at = int(self.owner[column])
+        for (row, at), close in self.candidates(b, near).items():
+            text = int(np.searchsorted(b.first, row, side="right")) - 1
             item, start = self.items[at], (row - int(b.first[text])) * BLOCK
             margin = len(item.words)
-            share, answered = item.shares(b.texts[text][max(0, start - margin) : start + 2 * BLOCK + margin])
-            if share >= COPIED or share >= PARAPHRASED and answered >= ANSWERED:
+            region = b.texts[text][max(0, start - margin) : start + 2 * BLOCK + margin]
+            share, answered = item.shares(region)
+            if share >= COPIED or share >= PARAPHRASED and answered >= ANSWERED and (close or item.telling(region) >= TELLING):
                 cosine, most = best.get((text, at), (0.0, 0.0))
-                best[text, at] = max(cosine, float(near[row, column])), max(most, share)
+                best[text, at] = max(cosine, float(near[row, self.owner == at].max())), max(most, share)
         out: list[list[tuple[int, float, float]]] = [[] for _ in texts]
         for (text, at), (cosine, share) in best.items():
             out[text].append((self.items[at].item_id, min(1.0, cosine), share))
@@ -297,7 +414,11 @@ def fit(docs: DataFrame, items: list[Item], texts: list[str], seed: int = 42) ->
     pieces = own.paired(own.sums(projection))[used]
     owner = np.repeat(np.arange(len(items)), np.diff(own.first))[used]
     pieces /= np.maximum(np.linalg.norm(pieces, axis=1, keepdims=True), 1e-9)
-    return Space(known, projection, idf**2, float(np.log(held[-1] + 2) + 0.05) ** 2, items, pieces, owner)
+    for item in items:
+        held_by = {w: float(idf[known[w]]) ** 2 for w in item.words}
+        item.energy = {w: e / sum(held_by.values()) for w, e in held_by.items()}
+    needed = Needed.of(items, known, held[:-1][order], held[-1])
+    return Space(known, projection, idf**2, float(np.log(held[-1] + 2) + 0.05) ** 2, items, pieces, owner, needed)
 
 
 FOUND = "array<struct<item_id:bigint,cosine:double,share:double>>"

@@ -221,6 +221,55 @@ def test_paraphrases_need_the_answer(spark):
     assert [r.row.doc_id for r in decontaminate.find(docs, items).where(F.size("found") > 0).collect()] == [1]
 
 
+def reworded(item, rng):
+    """Half of an item's words with its answer, the rest and all around it unknown to the benchmark."""
+    n, reply = len(item.words), item.answer
+    begin = next(i for i in range(n, -1, -1) if item.words[i : i + len(reply)] == reply)
+    kept = set(range(begin, begin + len(reply)))
+    others = [i for i in range(n) if i not in kept]
+    kept |= set(rng.choice(others, max(0, -(-n // 2) - len(kept)), replace=False).tolist())
+    words = [w.decode() if i in kept else f"q{rng.integers(1000)}" for i, w in enumerate(item.words)]
+    return " ".join([filler(n, 50), *words, filler(n + 1, 50)])
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_every_paraphrase_is_found_in_small_and_large_corpora(spark, copies):
+    """Words around an item and words that a corpus adds lower every cosine, but lose no paraphrase or copy."""
+    prepare(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    docs = docs.crossJoin(spark.range(copies)).select("text")
+    rows = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").orderBy("item_id").collect()
+    items = [decontaminate.Item(r.item_id, decontaminate.words(r.text), decontaminate.answer(r.text)) for r in rows]
+    space, rng = decontaminate.fit(docs, items, [r.text for r in rows]), np.random.default_rng(3)
+    texts = [reworded(i, rng) for i in items] + [f"{filler(1, 9)} {' '.join(w.decode() for w in i.words)} {filler(2, 9)}" for i in items]
+    found = space.search(texts)
+    missed = [(k // len(items), i.item_id) for k, i in enumerate(items * 2) if i.item_id not in [f[0] for f in found[k]]]
+    assert len(items) >= 20 and missed == []
+
+
+def test_words_needed_are_necessary():
+    """Whatever the verification accepts by words is a candidate, at every place in a text."""
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        word = lambda n: [b"w%d" % x for x in np.minimum(rng.zipf(1.3, n), 40)]
+        item = decontaminate.Item(0, (a := word(rng.integers(1, 50))), a[rng.integers(0, len(a)) :])
+        item.energy = {w: 1 / len(set(a)) for w in a}
+        known = {w: i for i, w in enumerate(sorted(set(a)))}
+        text = [*word(rng.integers(0, 90)), *(w for w in a if rng.random() < 0.9), *word(rng.integers(0, 90))]
+        b = decontaminate.Blocks.of([b" ".join(text).decode(), "w1", b" ".join(text).decode()], known)
+        counts = np.bincount(b.ids, minlength=len(known)).astype(float)
+        needed = decontaminate.Needed.of([item], known, counts, float(b.n))
+        space = decontaminate.Space(known, None, None, 0.0, [item], np.zeros((1, 1)), np.zeros(1, int), needed)
+        got, n = space.candidates(b, np.zeros((b.n, 1))), len(a)
+        for row in np.flatnonzero(b.whole()).tolist():
+            at = int(np.searchsorted(b.first, row, side="right")) - 1
+            start = (row - int(b.first[at])) * decontaminate.BLOCK
+            region = b.texts[at][max(0, start - n) : start + 2 * decontaminate.BLOCK + n]
+            share, answered = item.shares(region)
+            if share >= 0.8 or share >= 0.5 and answered >= 0.9 and item.telling(region) >= decontaminate.TELLING:
+                assert (row, 0) in got
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(200):
