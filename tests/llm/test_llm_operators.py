@@ -247,6 +247,20 @@ def test_every_paraphrase_is_found_in_small_and_large_corpora(spark, copies):
     assert len(items) >= 20 and missed == []
 
 
+def test_axes_keep_the_items_energy(spark):
+    """Of 200 items, more passages than axes, the space keeps what 144 axes keep."""
+    prepare(spark)
+    rows = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").orderBy("item_id").collect()
+    items = [decontaminate.Item(r.item_id, decontaminate.words(r.text), decontaminate.answer(r.text)) for r in rows]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    space = decontaminate.fit(docs, items, [r.text for r in rows])
+    b = decontaminate.Blocks.of([r.text for r in rows], space.known)
+    length = b.paired(np.bincount(b.block[b.new], weights=space.squares[b.ids[b.new]], minlength=b.n))
+    kept = ((b.paired(b.sums(space.projection)) ** 2).sum(axis=1) / length)[b.whole()]
+    assert len(items) == 200 and space.projection.shape[1] >= 144
+    assert kept.mean() > 0.52 and kept.min() > 0.32
+
+
 def test_words_needed_are_necessary():
     """Whatever the verification accepts by words is a candidate, at every place in a text."""
     rng = np.random.default_rng(5)
