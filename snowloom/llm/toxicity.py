@@ -28,9 +28,6 @@ PREFIXES = (5, 4)
 BACKOFF = 0.25
 # A word stands in the model on its own from so many documents on, else by its beginning.
 LEAST_DOCUMENTS = 3
-# Slots of the tables sent to every task: 12 bytes each. Of words that share a slot the more frequent
-# stays; the other is scored by its beginning.
-WORD_SLOTS, PREFIX_SLOTS = 1 << 20, 1 << 18
 # Labelled documents at most that the calibration is fitted on.
 CALIBRATED = 20_000
 _HELD_WORDS = 200_000
@@ -64,17 +61,12 @@ def _interpolated(count: Column, total: Column, spread: Column, lower: Column, d
     return (1 - BACKOFF) * F.greatest(count - discount, F.lit(0.0)) / F.greatest(total, F.lit(1e-9)) * spread + BACKOFF * lower
 
 
-def _slots(rows: DataFrame, key: str, weight: str, slots: int) -> dict[str, np.ndarray]:
-    """The table of one order as arrays over its slots; at most ``slots`` rows come to the driver."""
-    hashed = rows.select(F.xxhash64(key).alias("h"), F.log(F.col("pt") / F.col("po")).alias("r"), F.col(weight).alias("n"))
-    best = hashed.groupBy(F.col("h").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")).agg(
-        F.max_by(F.struct("h", "r"), F.struct("n", "h")).alias("b")
-    )
-    table = best.select("slot", "b.h", F.col("b.r").cast("float").alias("r")).toArrow()
-    at = table["slot"].to_numpy()
-    names, values = np.zeros(slots, np.uint64), np.zeros(slots, np.float32)
-    names[at], values[at] = table["h"].to_numpy().view(np.uint64), table["r"].to_numpy()
-    return {"names": names, "values": values}
+def _table(rows: DataFrame, key: str) -> dict[str, np.ndarray]:
+    """The table of one order, by the hash of the key: 12 bytes a row, all rows of it, sent to every task."""
+    table = rows.select(F.xxhash64(key).alias("h"), F.log(F.col("pt") / F.col("po")).cast("float").alias("r")).toArrow()
+    names, values = table["h"].to_numpy().view(np.uint64), table["r"].to_numpy()
+    order = np.argsort(names)
+    return {"names": names[order], "values": values[order]}
 
 
 def fit(counts: DataFrame) -> list[dict[str, np.ndarray]]:
@@ -109,10 +101,10 @@ def fit(counts: DataFrame) -> list[dict[str, np.ndarray]]:
     # What the word order holds is counted over all words, also those that back off.
     sums = counts.agg(*[F.sum(F.greatest(F.col(c) - discount, F.lit(0.0))).alias(c) for c in ("o", "t")]).first()
     one = own.join(low5, own.p5 == low5.k5).select(
-        "word", (F.col("o") + F.col("t")).alias("n"),
+        "word",
         *[_interpolated(F.col(c), F.lit(sums[c] or 0.0), F.lit(1.0), lower[c], discount).alias(f"p{c}") for c in ("o", "t")],
     )
-    return [_slots(one, "word", "n", WORD_SLOTS), _slots(five, "p5", "n", PREFIX_SLOTS), _slots(four, "p4", "n", PREFIX_SLOTS)]
+    return [_table(one, "word"), _table(five, "p5"), _table(four, "p4")]
 
 
 def _types() -> list[Column]:
@@ -125,18 +117,17 @@ class LogRatios(dict):
     """Log ratio of the two models by word: looked up once, remembered for a bounded number of words."""
 
     def __init__(self, tables: list[dict[str, np.ndarray]]):
-        self.orders = [
-            (None if i == 0 else PREFIXES[i - 1], t["names"], t["values"], len(t["names"]) - 1) for i, t in enumerate(tables)
-        ]
+        self.orders = [(None if i == 0 else PREFIXES[i - 1], t["names"], t["values"]) for i, t in enumerate(tables)]
 
     def __missing__(self, word: bytes) -> float:
         if len(self) >= _HELD_WORDS:
             self.clear()
         found = 0.0
-        for length, names, values, mask in self.orders:
-            name = xxhash.xxh64_intdigest(word[:length], _SEED)
-            if names[name & mask] == name:
-                found = float(values[name & mask])
+        for length, names, values in self.orders:
+            name = np.uint64(xxhash.xxh64_intdigest(word[:length], _SEED))
+            at = names.searchsorted(name)
+            if at < len(names) and names[at] == name:
+                found = float(values[at])
                 break
         self[word] = found
         return found

@@ -201,6 +201,18 @@ def test_water_filling(spark):
     assert got["b"] == pytest.approx(2 * level) and got[None] == pytest.approx(2 * level)
 
 
+def test_rare_toxic_words_keep_their_ratio_among_many_words(spark):
+    prepare(spark)
+    many = spark.range(400_000).select(F.concat(F.lit("zorb"), "id").cast("binary").alias("word"), F.lit(9).cast("long").alias("o"), F.lit(0).cast("long").alias("t"))
+    rare = spark.range(100).select(F.concat(F.lit("zorbx"), "id").cast("binary").alias("word"), F.lit(0).cast("long").alias("o"), F.lit(3).cast("long").alias("t"))
+    tables = toxicity.fit(many.union(rare))
+    ratios = toxicity.LogRatios(tables)
+    # A word that was not counted has the ratio of its beginning.
+    beginning = ratios[b"zorbxunseen"]
+    assert sum(ratios[b"zorbx%d" % i] == beginning for i in range(100)) == 0
+    assert len(tables[0]["names"]) == 400_100
+
+
 def test_decontamination(odd, none, spark):
     items = spark.createDataFrame([(1, ITEM), (2, None), (3, "..."), (4, "words that stand nowhere in any text at all")], "item_id long, text string")
     got = decontaminate.find(odd, items)
