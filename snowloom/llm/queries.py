@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
-from snowloom.llm import chat, decontaminate, licenses, minhash, mixing, native, quality, simhash, substrings, token_files, toxicity
+from snowloom.llm import chat, decontaminate, licenses, minhash, mixing, native, periodic, quality, simhash, substrings, token_files, toxicity
 from snowloom.llm.registry import ORACLES, QUERIES, query
 from snowloom.queries.registry import Tables
 from snowloom.session import materialize
@@ -85,3 +85,16 @@ def op2_benchmark_decontamination(t: Tables) -> DataFrame:
         "row.doc_id", (F.size("found") > 0).alias("contaminated"), F.transform("found", lambda x: x["item_id"]).alias("item_ids"),
         (-best["at"]).alias("item_id"), best["share"].alias("share"),
     )
+
+
+@query()
+def op12_periodic_runs(t: Tables) -> DataFrame:
+    """Runs of all documents, with periods planted in one of ten."""
+    docs = t.documents.select("doc_id", "text")
+    found = periodic.find_runs(docs.withColumn("text", periodic.with_planted_runs(F.col("text"), F.col("doc_id"))))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -82,3 +82,34 @@ def token_rows(docs: list[tuple[int | None, str | None]], tokenizer) -> list[tup
         out.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     return out
+
+
+def runs(w: list[str]) -> list[tuple[int, int, int]]:
+    """Maximal stretches of smallest period q, 24 words and three periods long at least, as (start, length, q)."""
+    out, n = [], len(w)
+    for q in range(1, n // 3 + 1):
+        start = 0
+        for i in range(n - q + 1):
+            if i + q == n or w[i] != w[i + q]:
+                length = i - start + q
+                if length >= max(24, 3 * q):
+                    least = next(p for p in range(1, q + 1) if all(w[x] == w[x + p] for x in range(start, start + length - p)))
+                    if least == q:
+                        out.append((start, length, q))
+                start = i + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def without_runs(w: list[str], found: list[tuple[int, int, int]]) -> str:
+    gone = {i for start, length, q in found for i in range(start + q, start + length)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def planted(w: list[str], doc_id: int | None) -> list[str]:
+    """The words with a period planted if the id asks for one."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(w)
+    if doc_id is None or h % 10 or not n:
+        return w
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
