@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
-from snowloom.llm import chat, decontaminate, licenses, minhash, mixing, native, periodic, quality, simhash, substrings, token_files, toxicity
+from snowloom.llm import chat, collocations, decontaminate, licenses, minhash, mixing, native, periodic, quality, simhash, substrings, token_files, toxicity
 from snowloom.llm.registry import ORACLES, QUERIES, query
 from snowloom.queries.registry import Tables
 from snowloom.session import materialize
@@ -98,3 +98,10 @@ def op12_periodic_runs(t: Tables) -> DataFrame:
         F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query()
+def op13_collocations(t: Tables) -> DataFrame:
+    """The first 2000 phrases of every language."""
+    found = collocations.strongest(collocations.mine(t.documents), 2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

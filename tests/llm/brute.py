@@ -113,3 +113,28 @@ def planted(w: list[str], doc_id: int | None) -> list[str]:
     a = h // 10 % n
     p = 1 + (n - a) // (3 + h // 10 % 8)
     return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def collocations(docs: list[tuple[str | None, str | None]], longest: int, least: int, contained: int) -> list[tuple]:
+    """Every kept phrase as (lang, phrase, a, l, r, n, score), ranked."""
+    f: dict[str, Counter] = {}
+    n = Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower):
+            w = [x for x in re.split("[ \t]+", piece) if x]
+            n[lang] += len(w)
+            for k in range(1, longest + 1):
+                f.setdefault(lang, Counter()).update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, count in f.items():
+        candidates = {p: a for p, a in count.items() if len(p) > 1 and a >= least}
+        covered = {
+            p[i : i + k] for p, a in candidates.items() for k in range(2, len(p)) for i in range(len(p) - k + 1) if 100 * a >= contained * count[p[i : i + k]]
+        }
+        for p, a in candidates.items():
+            if p not in covered:
+                score, k = min((2_000_000 * a // (count[p[:k]] + count[p[k:]]), k) for k in range(1, len(p)))
+                out.append((lang, " ".join(p), a, count[p[:k]], count[p[k:]], n[lang], score))
+    return sorted(out, key=lambda r: (r[0], -r[6], -r[2], r[1].encode()))
