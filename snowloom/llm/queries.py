@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from pyspark.sql import functions as F
 
-from snowloom.llm import chat, collocations, decontaminate, licenses, minhash, mixing, native, periodic, quality, simhash, substrings, token_files, toxicity
+from snowloom.llm import chat, collocations, decontaminate, html_text, licenses, minhash, mixing, native, periodic, quality, simhash, substrings, token_files, toxicity
 from snowloom.llm.registry import ORACLES, QUERIES, query
 from snowloom.queries.registry import Tables
 from snowloom.session import materialize
@@ -105,3 +105,10 @@ def op13_collocations(t: Tables) -> DataFrame:
     """The first 2000 phrases of every language."""
     found = collocations.strongest(collocations.mine(t.documents), 2000)
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query()
+def op11_html_extraction(t: Tables) -> DataFrame:
+    """The main text of all pages."""
+    found = html_text.extract(t.pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
