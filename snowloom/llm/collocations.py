@@ -9,9 +9,10 @@ an end mark correct it for the places where a piece ends. Counts of two words an
 A node that one edge alone leaves lies on a path without branches: phrase and edge are counted alike, so the
 edge is kept as a compacted path that stands for both.
 
-Tasks sum edges over some million words before they send them on, by the node they leave, as words of a dictionary
+Tasks sum edges over some million words before they send them on, by the node they leave, as a dictionary of words
 and places in it. A pair of words, or a single one, meets as one partial sum per sender, however frequent.
-Words are told apart by 64 bits that depend on the language too, phrases by their words.
+Words stand in the dictionaries as they are spelt, so no count rests on a hash but for those of the words within the
+two million that a task holds at once, which are told apart by 64 bits.
 """
 
 from __future__ import annotations
@@ -33,11 +34,9 @@ LEAST = 30
 # A phrase is dropped if a longer one that holds it has this share of its occurrences, in hundredths.
 CONTAINED = 80
 # Words whose edges a task sums before it sends them on.
-HELD_WORDS = 3_000_000
+HELD_WORDS = 2_000_000
 # Bytes of text that are cut into words at once.
 CUT_BYTES = 1 << 22
-# Hash buckets a shuffle partition; they are dealt by hash.
-_BUCKETS = 4
 _NO_LANGUAGE = "und"
 _CUT = re.compile(rb"[.,;:!?\n\v\f\r]")
 _CUT_BYTES = [bytes([b]) for b in b".,;:!?\n\v\f\r"]
@@ -47,7 +46,7 @@ _BYTES = np.random.Generator(np.random.PCG64(20)).integers(1, 1 << 63, 256, np.u
 _BASE = 0x9E3779B97F4A7C15
 _MIX = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 _CODEC = "zstd"
-_SCHEMA = "kind string, bucket int, blob binary, codes array<long>, n long, unary boolean, lang string, word string"
+_SCHEMA = "kind string, bucket int, blob binary, lang string, words array<string>, n long, unary boolean"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -114,40 +113,53 @@ class _Words:
         return np.maximum(codes, np.uint64(1))
 
 
-def _packed(columns: list[np.ndarray], counts: np.ndarray, names: np.ndarray) -> bytes:
-    """Rows of places in ``names`` with their counts, as a dictionary of the names used and places in it."""
-    used = np.zeros(len(names), bool)
+def _entry_opening(lang: str) -> bytes:
+    """What stands before a word in a dictionary: its language, in one line, and a tab."""
+    return lang.replace("\\", "\\\\").replace("\n", "\\n").encode() + b"\t"
+
+
+def _language(opening: bytes) -> str:
+    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], opening.decode())
+
+
+def _hashed(entries: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, entries), np.uint64, len(entries))
+
+
+def _packed(columns: list[np.ndarray], counts: np.ndarray, entries: list[bytes]) -> bytes:
+    """Rows of places in ``entries`` with their counts, as a dictionary of those used and places in it."""
+    used = np.zeros(len(entries), bool)
     for column in columns:
         used[column] = True
     held = np.flatnonzero(used)
-    place = np.zeros(len(names), np.uint32)
+    place = np.zeros(len(entries), np.uint32)
     place[held] = np.arange(len(held), dtype=np.uint32)
     kind = np.uint16 if len(held) < 1 << 16 else np.uint32
-    parts = [np.array([len(held), len(counts)], np.int64), names[held], counts.astype(np.int64)]
-    raw = b"".join([p.tobytes() for p in parts] + [place[c].astype(kind).tobytes() for c in columns])
+    size = np.uint16 if counts.max() < 1 << 16 else np.int64
+    words = b"\n".join([entries[i] for i in held.tolist()])
+    parts = [np.array([len(held), len(counts), len(words), np.dtype(size).itemsize], np.int64).tobytes(), words]
+    raw = b"".join([*parts, counts.astype(size).tobytes(), *[place[c].astype(kind).tobytes() for c in columns]])
     return np.int64(len(raw)).tobytes() + pa.Codec(_CODEC).compress(raw, asbytes=True)
 
 
-def _opened(blob: bytes) -> bytes:
-    return pa.Codec(_CODEC).decompress(blob[8:], int(np.frombuffer(blob, np.int64, 1)[0]), asbytes=True)
-
+def _unpacked(blobs: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray, list[bytes]]:
+    """The rows of all blobs: ``width`` columns of places in one list of entries, the counts and that list.
 
-def _unpacked(blobs: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The rows of all blobs: ``width`` columns of words, and the counts."""
-    columns, counts = [[] for _ in range(width)], []
+    The first entry is the empty one, which stands for the end of a piece.
+    """
+    columns, counts, places = [[] for _ in range(width)], [], {b"": 0}
     for blob in blobs:
-        raw = _opened(blob)
-        held, rows = np.frombuffer(raw, np.int64, 2)
-        at = 16 + 8 * held
-        names = np.frombuffer(raw, np.uint64, held, 16)
-        counts.append(np.frombuffer(raw, np.int64, rows, at))
-        at += 8 * rows
+        raw = pa.Codec(_CODEC).decompress(blob[8:], int(np.frombuffer(blob, np.int64, 1)[0]), asbytes=True)
+        held, rows, size, width_of_count = np.frombuffer(raw, np.int64, 4).tolist()
+        at = 32 + size
+        place = np.array([places.setdefault(e, len(places)) for e in raw[32:at].split(b"\n")], np.uint32)
+        counts.append(np.frombuffer(raw, np.uint16 if width_of_count == 2 else np.int64, rows, at).astype(np.int64))
+        at += width_of_count * rows
         kind = np.dtype(np.uint16 if held < 1 << 16 else np.uint32)
         for column in columns:
-            column.append(names[np.frombuffer(raw, kind, rows, at)])
+            column.append(place[np.frombuffer(raw, kind, rows, at)])
             at += kind.itemsize * rows
-    empty = np.zeros(0, np.uint64)
-    return [np.concatenate([empty, *c]) for c in columns], np.concatenate([empty.astype(np.int64), *counts])
+    return [np.concatenate(c) for c in columns], np.concatenate(counts), list(places)
 
 
 def _groups(columns: list[np.ndarray], key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,45 +191,40 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndar
 
 def _rows(size: int, **columns) -> pa.RecordBatch:
     """A batch of ``size`` rows of the common schema; what is not given is null."""
-    kinds = {"kind": pa.string(), "bucket": pa.int32(), "blob": pa.binary(), "codes": pa.list_(pa.int64()), "n": pa.int64(), "unary": pa.bool_(), "lang": pa.string(), "word": pa.string()}
-    arrays = [c if isinstance(c := columns.get(name), pa.Array) else pa.array([None] * size if c is None else c, kind) for name, kind in kinds.items()]
-    return pa.record_batch(arrays, list(kinds))
+    kinds = {"kind": pa.string(), "bucket": pa.int32(), "blob": pa.binary(), "lang": pa.string(), "words": pa.list_(pa.string()), "n": pa.int64(), "unary": pa.bool_()}
+    return pa.record_batch([pa.array(columns.get(name, [None] * size), kind) for name, kind in kinds.items()], list(kinds))
 
 
-def _dealt(kind: str, columns: list[np.ndarray], counts: np.ndarray, names: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of places in ``names``, one blob a bucket."""
-    order = np.argsort(bucket, kind="stable")
+def _dealt(kind: str, columns: list[np.ndarray], counts: np.ndarray, entries: list[bytes], hashes: np.ndarray, node: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of places in ``entries``, one blob for each bucket of their first ``node`` words.
+
+    They are in order of their words, which compresses best.
+    """
+    alphabetical = sorted(range(len(entries)), key=entries.__getitem__)
+    rank = np.empty(len(entries), np.uint32)
+    rank[alphabetical] = np.arange(len(entries), dtype=np.uint32)
+    bucket = (_key([hashes[c] for c in columns[:node]]) % np.uint64(buckets)).astype(np.int64)
+    columns, entries = [rank[c] for c in columns], [entries[i] for i in alphabetical]
+    order = np.argsort(bucket * len(entries) + columns[0], kind="stable")
     which, begins = np.unique(bucket[order], return_index=True)
     for b, at in zip(which.tolist(), np.split(order, begins[1:])):
-        yield _rows(1, kind=[kind], bucket=[b], blob=[_packed([c[at] for c in columns], counts[at], names)])
-
-
-def _placed(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Columns of words as places in the list of them."""
-    names, places = np.unique(np.concatenate(columns), return_inverse=True)
-    return np.split(places, len(columns)), names
-
-
-def _of_bucket(columns: list[np.ndarray], buckets: int) -> np.ndarray:
-    return (_key(columns) % np.uint64(buckets)).astype(np.int32)
+        yield _rows(1, kind=[kind], bucket=[b], blob=[_packed([c[at] for c in columns], counts[at], entries)])
 
 
 def _counted(longest: int, held_words: int, buckets: int):
-    """Edges of the texts, summed over ``held_words`` words, and the spelling of every word met."""
+    """Edges of the texts, summed over ``held_words`` words."""
 
-    def sent(codes: list[np.ndarray], pieces: list[np.ndarray], spelt: dict[int, tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
-        all_, piece = np.concatenate(codes), np.concatenate(pieces)
-        n = len(all_)
-        names, place = np.unique(all_, return_inverse=True)
+    def sent(codes: list[np.ndarray], pieces: list[np.ndarray], spelt: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+        names, place = np.unique(np.concatenate(codes), return_inverse=True)
+        n, piece = len(place), np.concatenate([*pieces, np.full(longest, -1)])
+        entries = [b"", *[spelt[c] for c in names.tolist()]]
         names = np.concatenate([[np.uint64(0)], names])
-        place = np.concatenate([place + 1, np.zeros(longest, np.int64)]).astype(np.uint32)
-        after = np.concatenate([piece, np.full(longest, -1)])
-        columns = [np.where(after[k : n + k] == piece, place[k : n + k], np.uint32(0)) for k in range(longest)]
+        place = np.concatenate([place.astype(np.uint32) + np.uint32(1), np.zeros(longest, np.uint32)])
+        columns = [np.where(piece[k : n + k] == piece[:n], place[k : n + k], np.uint32(0)) for k in range(longest)]
         order, begins = _groups(columns, _key([names[c] for c in columns]))
         counts = np.diff(np.concatenate([begins, [n]]))
         columns = [c[order[begins]] for c in columns]
-        yield from _dealt("edges", columns, counts, names, _of_bucket([names[c] for c in columns[:-1]], buckets))
-        yield from _spelling(spelt, buckets)
+        yield from _dealt("edges", columns, counts, entries, _hashed(entries), longest - 1, buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, pieces, spelt, held, last = [], [], {}, 0, 0
@@ -228,10 +235,11 @@ def _counted(longest: int, held_words: int, buckets: int):
                 found = words.codes(np.array([xxhash.xxh64_intdigest(x.encode(), 3) for x in langs], np.uint64))
                 if not len(found):
                     continue
+                opening = [_entry_opening(x) for x in langs]
                 distinct, first = np.unique(found, return_index=True)
                 for code, at in zip(distinct.tolist(), first.tolist()):
                     if code not in spelt:
-                        spelt[code] = (langs[words.text[at]], words.octets[words.starts[at] : words.ends[at]])
+                        spelt[code] = opening[words.text[at]] + words.octets[words.starts[at] : words.ends[at]]
                 codes.append(found)
                 pieces.append(words.piece + last)
                 held, last = held + len(found), int(pieces[-1][-1]) + 1
@@ -244,61 +252,40 @@ def _counted(longest: int, held_words: int, buckets: int):
     return run
 
 
-def _spelling(spelt: dict[int, tuple[str, bytes]], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Blobs of codes and words, one per language and bucket."""
-    parts: dict[tuple[str, int], list[int]] = {}
-    codes = np.fromiter(spelt, np.uint64, len(spelt))
-    for code, b in zip(spelt, _of_bucket([codes], buckets).tolist()):
-        parts.setdefault((spelt[code][0], b), []).append(code)
-    for (lang, b), held in parts.items():
-        raw = np.array([len(held), *held], np.uint64).tobytes() + b"\n".join([spelt[c][1] for c in held])
-        blob = np.int64(len(raw)).tobytes() + pa.Codec(_CODEC).compress(raw, asbytes=True)
-        yield _rows(1, kind=["spelling"], bucket=[b], blob=[blob], lang=[lang])
-
-
-def _spelt(rows: list[tuple[str, bytes]]) -> dict[int, tuple[str, bytes]]:
-    out: dict[int, tuple[str, bytes]] = {}
-    for lang, blob in rows:
-        raw = _opened(blob)
-        n = int(np.frombuffer(raw, np.uint64, 1)[0])
-        out.update(zip(np.frombuffer(raw, np.uint64, n, 8).tolist(), [(lang, w) for w in raw[8 + 8 * n :].split(b"\n")]))
-    return out
+def _phrases(kind: str, columns: list[np.ndarray], counts: np.ndarray, entries: list[bytes], unary: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    if len(counts):
+        parts = [[entries[i].rpartition(b"\t") for i in c.tolist()] for c in columns]
+        yield _rows(
+            len(counts), kind=[kind] * len(counts), bucket=(np.arange(len(counts)) % 1024).tolist(), lang=[_language(p[0]) for p in parts[0]],
+            words=[[p[2].decode() for p in row] for row in zip(*parts)], n=counts.tolist(), unary=(np.zeros(len(counts), bool) if unary is None else unary).tolist(),
+        )
 
 
-def _phrases(columns: list[np.ndarray], counts: np.ndarray, keep: np.ndarray, unary: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    at = np.flatnonzero(keep)
-    if len(at):
-        flat = np.stack([c[at] for c in columns], 1).ravel().view(np.int64)
-        offsets = np.arange(0, len(flat) + 1, len(columns), dtype=np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-        yield _rows(len(at), kind=["phrase"] * len(at), bucket=(at % 1024).tolist(), codes=lists, n=pa.array(counts[at]), unary=pa.array(unary[at] if unary is not None else np.zeros(len(at), bool)))
+def _sorted_out(batches: Iterator[pa.RecordBatch], taken: str, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """Collect the blobs of one kind and let the phrases through."""
+    for batch in batches:
+        kinds = batch.column("kind").to_pylist()
+        blobs += [b for k, b in zip(kinds, batch.column("blob").to_pylist()) if k == taken]
+        yield batch.filter(pa.array([k == "phrase" for k in kinds]))
 
 
 def _level(width: int, longest: int, least: int, buckets: int):
     """Sum the counts of phrases of ``width`` words in one partition, and pass on the next shorter ones' partial sums.
 
-    Phrases kept so far and spellings go through; the longest phrases also settle the nodes they leave.
+    The longest phrases also settle the nodes they leave.
     """
-    taken = "edges" if width == longest else f"sums{width}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs, spellings = [], []
-        for batch in batches:
-            kinds = batch.column("kind").to_pylist()
-            for kind, blob, lang in zip(kinds, batch.column("blob").to_pylist(), batch.column("lang").to_pylist()):
-                if kind == taken:
-                    blobs.append(blob)
-                elif kind == "spelling":
-                    spellings.append((lang, blob))
-            through = pa.array([k == "phrase" for k in kinds])
-            yield batch.filter(through)
-        yield from _spelling(_spelt(spellings), buckets)
+        blobs: list[bytes] = []
+        yield from _sorted_out(batches, "edges" if width == longest else f"sums{width}", blobs)
         if not blobs:
             return
-        columns, counts = _summed(*_unpacked(blobs, width))
-        keep = (counts >= least) & (columns[-1] > 0)
+        columns, counts, entries = _unpacked(blobs, width)
+        blobs.clear()
+        columns, counts = _summed(columns, counts)
+        at = np.flatnonzero((counts >= least) & (columns[-1] > 0))
         if width < longest:
-            yield from _phrases(columns, counts, keep)
+            yield from _phrases("phrase", [c[at] for c in columns], counts[at], entries)
         else:
             edges, flows = columns, counts
             order, begins = _groups(edges[:-1], _key(edges[:-1]))
@@ -308,11 +295,14 @@ def _level(width: int, longest: int, least: int, buckets: int):
             path = (np.maximum.reduceat(ordered, begins) == counts) & (edges[-1][order[begins]] > 0)
             unary = np.zeros(len(flows), bool)
             unary[order] = np.repeat(path, np.diff(np.concatenate([begins, [len(order)]])))
-            yield from _phrases(edges, flows, keep, unary)
-            yield from _phrases(columns, counts, (counts >= least) & (columns[-1] > 0) & ~path)
+            yield from _phrases("phrase", [c[at] for c in edges], flows[at], entries, unary[at])
+            at = np.flatnonzero((counts >= least) & (columns[-1] > 0) & ~path)
+            yield from _phrases("phrase", [c[at] for c in columns], counts[at], entries)
         shorter, sums = _summed(columns[:-1], counts)
-        places, names = _placed(shorter)
-        yield from _dealt(f"sums{len(shorter)}", places, sums, names, _of_bucket(shorter, buckets))
+        # Entries that no shorter phrase holds are left behind.
+        used, places = np.unique(np.concatenate(shorter), return_inverse=True)
+        entries = [entries[i] for i in used.tolist()]
+        yield from _dealt(f"sums{len(shorter)}", np.split(places, len(shorter)), sums, entries, _hashed(entries), len(shorter), buckets)
 
     return run
 
@@ -321,29 +311,19 @@ def _single(least: int):
     """Words with their counts, as often as phrases at least, and the number of all words by language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs, spellings = [], []
-        for batch in batches:
-            kinds = batch.column("kind").to_pylist()
-            for kind, blob, lang in zip(kinds, batch.column("blob").to_pylist(), batch.column("lang").to_pylist()):
-                if kind == "sums1":
-                    blobs.append(blob)
-                elif kind == "spelling":
-                    spellings.append((lang, blob))
-            yield batch.filter(pa.array([k == "phrase" for k in kinds]))
-        (codes,), counts = _summed(*_unpacked(blobs, 1))
-        spelt, totals = _spelt(spellings), {}
-        frequent = []
-        for code, n in zip(codes.tolist(), counts.tolist()):
-            lang, word = spelt[code]
-            totals[lang] = totals.get(lang, 0) + n
-            if n >= least:
-                frequent.append((code, n, lang, word.decode()))
-        if frequent:
-            found, n, langs, words = zip(*frequent)
-            lists = [[x - (1 << 64) if x >> 63 else x] for x in found]
-            yield _rows(len(found), kind=["word"] * len(found), codes=lists, n=list(n), lang=list(langs), word=list(words))
-        if totals:
-            yield _rows(len(totals), kind=["total"] * len(totals), n=list(totals.values()), lang=list(totals))
+        blobs: list[bytes] = []
+        yield from _sorted_out(batches, "sums1", blobs)
+        if not blobs:
+            return
+        columns, counts, entries = _unpacked(blobs, 1)
+        (column,), counts = _summed(columns, counts)
+        at = np.flatnonzero(counts >= least)
+        yield from _phrases("word", [column[at]], counts[at], entries)
+        totals: dict[bytes, int] = {}
+        for i, n in zip(column.tolist(), counts.tolist()):
+            opening = entries[i].rpartition(b"\t")[0]
+            totals[opening] = totals.get(opening, 0) + n
+        yield _rows(len(totals), kind=["total"] * len(totals), n=list(totals.values()), lang=[_language(x) for x in totals])
 
     return run
 
@@ -351,28 +331,27 @@ def _single(least: int):
 def count_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """Counts of all phrases of up to ``longest`` words that occur ``least`` times, written to the shared folder.
 
-    Rows have a ``kind``: ``phrase`` (``codes`` of two words or more, ``n``, and ``unary`` where the phrase without its last word
-    is counted alike and has no row), ``word`` (one code, ``n``, ``lang``, ``word``) and ``total`` (``lang``, ``n`` words; may be
-    several rows a language). A code is a word in a language.
+    Rows have a ``kind``: ``phrase`` (``lang``, two ``words`` or more, ``n``, and ``unary`` where the phrase without its last word
+    is counted alike and has no row), ``word`` (``lang``, one of ``words``, ``n``) and ``total`` (``lang``, ``n`` words; may be several
+    rows a language).
     """
     if longest < 3:
         raise ValueError("phrases of three words at least make a graph")
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = _BUCKETS * partitions
     rows = docs.select(
         F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(_NO_LANGUAGE)).alias("lang")
-    ).mapInArrow(_counted(longest, HELD_WORDS, buckets), _SCHEMA)
+    ).mapInArrow(_counted(longest, HELD_WORDS, partitions), _SCHEMA)
     for width in [longest, *range(longest - 2, 1, -1)]:
-        rows = rows.repartition(partitions, "bucket").mapInArrow(_level(width, longest, least, buckets), _SCHEMA)
-    rows = rows.repartition(partitions, "bucket").mapInArrow(_single(least), _SCHEMA)
-    return materialize(rows.select("kind", "codes", "n", "unary", "lang", "word"), "collocation-counts")
+        rows = rows.repartitionById(partitions, F.col("bucket")).mapInArrow(_level(width, longest, least, partitions), _SCHEMA)
+    rows = rows.repartitionById(partitions, F.col("bucket")).mapInArrow(_single(least), _SCHEMA)
+    return materialize(rows.select("kind", "lang", "words", "n", "unary"), "collocation-counts")
 
 
-def _parts(codes: Column, shortest: int) -> Column:
+def _parts(words: Column, shortest: int) -> Column:
     """All phrases of ``shortest`` words or more inside a phrase, itself left out."""
-    sizes = F.sequence(F.lit(shortest), F.size(codes) - 1)
-    return F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(1), F.size(codes) - k + 1), lambda i: F.slice(codes, i, k))))
+    sizes = F.sequence(F.lit(shortest), F.size(words) - 1)
+    return F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.slice(words, i, k))))
 
 
 def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, contained: int = CONTAINED) -> DataFrame:
@@ -387,29 +366,24 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, contained:
     if contained > 100:
         raise ValueError("contained is at most 100")
     counts = count_phrases(docs, longest, least)
-    words = counts.where("kind = 'word'").select(F.col("codes")[0].alias("code"), "lang", "word")
     totals = counts.where("kind = 'total'").groupBy("lang").agg(F.sum("n").alias("n"))
     phrases = counts.where("kind = 'phrase'")
-    nodes = phrases.where("unary").select(F.slice("codes", 1, F.size("codes") - 1).alias("codes"), "n")
-    known = counts.where("kind in ('phrase', 'word')").select("codes", "n").unionByName(nodes)
-    candidates = phrases.select("codes", F.col("n").alias("a"))
+    nodes = phrases.where("unary").select("lang", F.slice("words", 1, F.size("words") - 1).alias("words"), "n")
+    known = counts.where("kind in ('phrase', 'word')").select("lang", "words", "n").unionByName(nodes)
+    candidates = phrases.select("lang", "words", F.col("n").alias("a"))
 
     # A node that its edge stands for is inside that edge, so it is no candidate that could stay.
-    held = candidates.where(F.size("codes") > 2).select("a", F.explode(_parts(F.col("codes"), 2)).alias("codes"))
-    over = held.groupBy("codes").agg(F.max("a").alias("longer"))
-    kept = candidates.join(over, "codes", "left").where(F.expr(f"longer is null or 100 * longer < {int(contained)} * a")).drop("longer")
-
-    cuts = kept.select("codes", "a", F.explode(F.sequence(F.lit(1), F.size("codes") - 1)).alias("k"))
-    cuts = cuts.withColumn("left", F.slice("codes", 1, F.col("k"))).withColumn("right", F.expr("slice(codes, k + 1, size(codes) - k)"))
-    cuts = cuts.join(known.select(F.col("codes").alias("left"), F.col("n").alias("l")), "left")
-    cuts = cuts.join(known.select(F.col("codes").alias("right"), F.col("n").alias("r")), "right")
+    held = candidates.where(F.size("words") > 2).select("lang", "a", F.explode(_parts(F.col("words"), 2)).alias("words"))
+    over = held.groupBy("lang", "words").agg(F.max("a").alias("longer"))
+    kept = candidates.join(over, ["lang", "words"], "left").where(F.expr(f"longer is null or 100 * longer < {int(contained)} * a")).drop("longer")
+
+    cuts = kept.select("lang", "words", "a", F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k"))
+    cuts = cuts.withColumn("left", F.slice("words", 1, F.col("k"))).withColumn("right", F.expr("slice(words, k + 1, size(words) - k)"))
+    cuts = cuts.join(known.select("lang", F.col("words").alias("left"), F.col("n").alias("l")), ["lang", "left"])
+    cuts = cuts.join(known.select("lang", F.col("words").alias("right"), F.col("n").alias("r")), ["lang", "right"])
     score = F.expr("(cast(a as decimal(19, 0)) * 2000000) div (cast(l as decimal(19, 0)) + r)")
-    weakest = cuts.groupBy("codes", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
-
-    spelt = weakest.select("codes", "a", "cut", F.posexplode("codes").alias("at", "code")).join(words, "code")
-    named = spelt.groupBy("codes", "a", "cut", "lang").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"))
-    phrase = F.array_join(F.transform("words", lambda w: w["word"]), " ")
-    return named.withColumn("phrase", phrase).join(totals, "lang").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+    weakest = cuts.groupBy("lang", "words", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
+    return weakest.join(totals, "lang").select("lang", F.array_join("words", " ").alias("phrase"), "a", "cut.l", "cut.r", "n", "cut.score")
 
 
 def strongest(found: DataFrame, most: int) -> DataFrame:
