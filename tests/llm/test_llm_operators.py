@@ -381,7 +381,11 @@ def test_token_files(odd, none, tmp_path):
     assert len(flat) == first.n_tokens and len(held) == -(-first.n_tokens // 64)
     for i in (0, len(held) // 2, len(held) - 1):
         ids, mask = held[i]
-        assert len(ids) == len(mask) == 64 and np.array_equal(ids[mask], flat[i * 64 : i * 64 + 64])
+        assert len(ids) == len(mask) == 64 and np.array_equal(ids[np.array(mask)], flat[i * 64 : i * 64 + 64])
+        batch = held.file.get_batch(i // token_files.ROWS)
+        held_ids, held_masks = (batch.column(c).values.buffers()[1] for c in ("ids", "mask"))
+        assert held_ids.address <= ids.__array_interface__["data"][0] < held_ids.address + held_ids.size
+        assert mask.buffers()[1].address == held_masks.address and mask.offset % 64 == 0
     assert token_files.encode(none, path).count() == 0
 
 
@@ -390,6 +394,27 @@ def test_chunks_encode_as_whole_texts():
     whole, encode = Tokenizer.from_file(path), token_files.Encoder(path)
     odd = ["a  b", "a \n b", " x", "x ", "", "  ", "\n a", "a  b", "<|endoftext|> x<|endoftext|>y", "don't  'll we'd", "a   b\t c",
            "x" * 3000 + " y " + "z " * 50, "\x1c a \x85 b", "é  è \U0001f600 ‍", "1 22 333", "a b\n", "a b\nc d"]
-    for texts_ in (odd, odd[::-1], [" ".join(odd)]):
-        got = [np.frombuffer(x, encode.kind).tolist() for x in encode(texts_)]
+    assert encode.chunked
+    for texts_ in (odd, odd[::-1], [" ".join(odd)], [], ["a"] * 3, ["  "]):
+        ids, sizes = encode(texts_)
+        got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] if len(texts_) else []
         assert got == [[*whole.encode(t, add_special_tokens=False).ids, 0] for t in texts_]
+
+
+def test_chunks_outlive_a_generation(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, encode = Tokenizer.from_file(path), token_files.Encoder(path)
+    monkeypatch.setattr(token_files, "_HELD_CHUNKS", 50)
+    for k in range(12):
+        text = " ".join(["often", *(f"w{k}x{i}" for i in range(30)), "seen"])
+        assert encode([text])[0].tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0]
+    assert "seen" in encode.held and len(encode.held) < 120 and "w0x1" not in encode.older
+
+
+def test_other_tokenizers_encode_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, encode = Tokenizer.from_file(path), token_files.Encoder(path)
+    assert not encode.chunked
+    texts_ = ["One two  three", "", "Don't we\n\nknow", "x " * 300]
+    ids, sizes = encode(texts_)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [[*whole.encode(t, add_special_tokens=False).ids, 0] for t in texts_]
