@@ -40,7 +40,7 @@ def countries(
 ) -> DataFrame:
     """One snapshot of all countries: listed, missing from the list, and historical with their parent.
 
-    ``prev`` is the history so far; a name known there keeps its id.
+    ``prev`` has the names known so far; they keep their ids.
     """
     today = union_all([conformed, stamp(missing.select("country_name"), batch_date)])
     held = None if prev is None else prev.select("country_id", "country_name").distinct()

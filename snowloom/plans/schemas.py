@@ -89,8 +89,6 @@ LAYOUTS = {
     "persons_in_orgs": Layout(("upd_date",), 16, ("laureate_id",)),
     "prize_types": Layout(("upd_date",)),
     "societies": Layout(("upd_date",), 8, ("laureate_id",)),
-    "countries_uptodate": Layout(("upd_date",)),
-    "cities_uptodate": Layout(("country_id",)),
     "cities_labelled": Layout(("upd_date",)),
     "organization_places": Layout(),
 }

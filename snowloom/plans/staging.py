@@ -24,9 +24,9 @@ def land_countries(spark: SparkSession, path: str, target: str, batch_date: date
 
 
 def land_laureates(spark: SparkSession, path: str, target: str, batch_date: date | str | None = None) -> None:
-    """Land the new laureates from their files."""
+    """Land the new laureates from their files, and note whose rows they are."""
     rows = sources.read_csv(spark, path, schemas.LAUREATE_FILE)
-    sinks.land(rows, target, batch_date, schemas.STAGING_LAYOUTS["laureates"])
+    sinks.land(rows, target, batch_date, schemas.STAGING_LAYOUTS["laureates"], index=["laureate_id"])
 
 
 def land_code_list(spark: SparkSession, name: str, path: str, target: str) -> None:

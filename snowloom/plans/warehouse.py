@@ -5,7 +5,7 @@ The first load and every later one take the same path; the first merely finds no
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +27,7 @@ class Run:
         self.spark, self.staging, self.target, self.batch_date = spark, staging, target, batch_date
         self.marks = f"{target}.consumed_batches"
         self.published: set[str] = set()
+        self.merged: set[str] = set()
         # The batches of each source that this run reads, fixed before it reads any.
         self.pinned: dict[str, DataFrame] = {}
 
@@ -45,15 +46,21 @@ class Run:
         self.published.add(table)
         return self[table]
 
-    def append(self, table: str, df: DataFrame) -> DataFrame:
-        """Add the batch to a history; running the batch again replaces its partitions."""
-        layout = schemas.LAYOUTS[table]
-        if self.stored(table) is None:
-            sinks.create_table(df, self.name(table), layout)
-        else:
-            sinks.insert(df, self.name(table), layout, overwrite=bool(layout.partitions))
+    def append(self, table: str, df: DataFrame, day: date) -> DataFrame:
+        """Add the batch of a day to a history, in place of what that day had there; returns the day's rows."""
+        sinks.replace_slice(df, self.name(table), schemas.LAYOUTS[table], {"upd_date": day})
+        return self[table].where(F.col("upd_date") == day)
+
+    def merge(self, table: str, batch: DataFrame, keys: Sequence[str], **options) -> DataFrame:
+        """Bring a current table up to date with a batch; see ``sinks.merge``."""
+        sinks.merge(batch, self.name(table), keys, "upd_date", layout=schemas.LAYOUTS.get(table, Layout()), **options)
+        self.merged.add(table)
         return self[table]
 
+    def view(self, name: str, columns: Sequence[str], table: str) -> None:
+        """Some columns of a table under a name of their own."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(name)} AS SELECT {', '.join(columns)} FROM {self.name(table)}")
+
     def listed(self, table: str) -> DataFrame:
         return self.spark.table(f"{self.staging}.{table}")
 
@@ -63,13 +70,14 @@ class Run:
 
     def pending_dates(self, table: str) -> list[date]:
         """The load dates of those batches: one per landing since the last run."""
-        return sorted(row[0] for row in self.pinned[table].select("upd_date").collect())
+        return sorted({row[0] for row in self.pinned[table].select("upd_date").collect()})
 
-    def history(self, table: str) -> DataFrame:
-        """The rows of all batches consumed so far and of those of this run, but of none that landed meanwhile."""
+    def history(self, table: str, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The rows of those batches that hold any of the wanted keys, consumed ones and those of this run, but none
+        that landed meanwhile. Other batches are not read."""
         name = f"{self.staging}.{table}"
         dates = sinks.consumed(self.spark, name, self.marks).union(self.pinned[table].select("upd_date")).distinct()
-        return sinks.batches(self.spark, name, dates)
+        return sinks.batches(self.spark, name, sinks.holding(self.spark, name, wanted, keys, dates))
 
     def seed(self, rows, schema: str) -> DataFrame:
         return sources.seed(self.spark, rows, schema)
@@ -88,6 +96,8 @@ def run(spark: SparkSession, staging: str, target: str, batch_date: date | str)
     # The versions before this run stay for readers that began with them; older ones go.
     for table in w.published:
         sinks.retire(spark, w.name(table))
+    for table in w.merged:
+        sinks.tidy(spark, w.name(table))
     return w
 
 
@@ -105,10 +115,11 @@ def load_countries(w: Run) -> None:
         today = conformed.where(F.col("upd_date") == day)
         snapshot = geography.countries(
             today, conforming.missing_countries(names, today), historical, regions, continents, names, continent_list,
-            w.listed("country_capital"), day, w.stored("countries"),
+            w.listed("country_capital"), day, w.stored("country_ids"),
         )
-        history = w.append("countries", snapshot)
-    newest = w.publish("countries_uptodate", versioning.latest(history, ["country_name"], "upd_date"))
+        stored = w.append("countries", snapshot, day)
+        w.merge("country_ids", stored.select("country_name", "country_id", "upd_date"), ["country_name"])
+        newest = w.merge("countries_uptodate", stored, ["country_name"], history=w["countries"])
     codes = geography.country_codes(
         names, w.listed("country_iso3"), currency_list, w.listed("country_phones"), currencies, w.stored("country_codes")
     )
@@ -121,11 +132,12 @@ def load_cities(w: Run) -> None:
     conformed = conforming.conform_cities(w.pending("cities"))
     for day in w.pending_dates("cities"):
         today = conformed.where(F.col("upd_date") == day)
-        labelled = w.append("cities_labelled", geography.cities(today, w["code_country_names"], w.stored("cities_labelled")))
-        w.append("cities", labelled.where(F.col("upd_date") == day).drop("city_label", "country_code"))
-    newest = versioning.latest(labelled, geography.CITY_KEY, "upd_date", ties="all")
-    newest = w.publish("cities_labelled_uptodate", newest)
-    w.publish("cities_uptodate", newest.drop("city_label", "country_code"))
+        labelled = geography.cities(today, w["code_country_names"], w.stored("city_ids"))
+        labelled = w.append("cities_labelled", labelled, day)
+        w.append("cities", labelled.drop("city_label", "country_code"), day)
+        w.merge("city_ids", labelled.select("city_id", *geography.CITY_ROW, "upd_date"), ["city_id"])
+        newest = w.merge("cities_labelled_uptodate", labelled, geography.CITY_KEY, ties="all", history=w["cities_labelled"])
+    w.view("cities_uptodate", newest.drop("city_label", "country_code").columns, "cities_labelled_uptodate")
     seeds = w.seed(
         fixed.CITY_OVERRIDES, "mis_city_name string, orig_city_name string, orig_region string, orig_country string"
     )
@@ -140,9 +152,9 @@ def load_laureates(w: Run) -> None:
     genders = w.publish("genders", reference.genders(rows, w.stored("genders")))
     countries, cities, overrides = w["countries_uptodate"], w["cities_labelled_uptodate"], w["city_overrides"]
 
-    w.publish("societies", laureates.societies(rows, w.stored("societies")))
-    persons = laureates.persons(rows, genders, countries, cities, overrides, w.stored("laureate_persons"))
-    persons = w.publish("laureate_persons", persons)
+    w.merge("societies", laureates.societies(rows, None), ["society_name"], tiebreak=["laureate_id"])
+    persons = laureates.persons(rows, genders, countries, cities, overrides, None)
+    persons = w.merge("laureate_persons", persons, laureates.PERSON_KEY, tiebreak=["laureate_id"])
 
     seeds = w.seed(
         fixed.PARENT_ORGANIZATIONS, "organization_name string, organization_country string, organization_city string"
@@ -156,9 +168,9 @@ def load_laureates(w: Run) -> None:
     # Only rows that are new by their key; what is stored already is not written again.
     sinks.append(prizes, w.name("nobel_prizes"), schemas.LAYOUTS["nobel_prizes"])
 
-    # Rows of a laureate may arrive in several batches, so the touched keys are built from all batches. Other
+    # Rows of a laureate may arrive in several batches, so the touched keys are built from all that have any. Other
     # laureates are left out by their id alone, before anything else is done with the rows.
-    theirs = versioning.only_keys(w.history("laureates"), rows, ["laureate_id"])
+    theirs = versioning.only_keys(w.history("laureates", rows, ["laureate_id"]), rows, ["laureate_id"])
     touched = versioning.only_keys(conforming.conform_laureates(theirs), rows, wide.DATASET_KEY)
     touched = materialize(touched, "touched-rows")
     built = wide.dataset(

@@ -1,4 +1,4 @@
-from snowloom.queries import auditing, conforming, joining, keying, loading, storing, wide  # noqa: F401
+from snowloom.queries import auditing, conforming, joining, keeping, keying, loading, storing, wide  # noqa: F401
 from snowloom.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -1,3 +1,4 @@
+from snowloom.sinks.current import live, merge, tidy
 from snowloom.sinks.tables import (
     Layout,
     append,
@@ -5,8 +6,11 @@ from snowloom.sinks.tables import (
     consumed,
     copy_tables,
     create_table,
+    drop_partitions,
     ensure_database,
     extend,
+    filled,
+    holding,
     insert,
     land,
     mark_consumed,
@@ -14,6 +18,7 @@ from snowloom.sinks.tables import (
     pending,
     pin,
     publish,
+    replace_slice,
     retire,
     shown,
     stamp,
@@ -21,6 +26,7 @@ from snowloom.sinks.tables import (
 )
 
 __all__ = [
-    "Layout", "append", "batches", "consumed", "copy_tables", "create_table", "ensure_database", "extend", "insert", "land",
-    "mark_consumed", "partitions_last", "pending", "pin", "publish", "retire", "shown", "stamp", "versions",
+    "Layout", "append", "batches", "consumed", "copy_tables", "create_table", "drop_partitions", "ensure_database", "extend",
+    "filled", "holding", "insert", "land", "live", "mark_consumed", "merge", "partitions_last", "pending", "pin", "publish",
+    "replace_slice", "retire", "shown", "stamp", "tidy", "versions",
 ]

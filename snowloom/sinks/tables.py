@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,23 +84,90 @@ def insert(
         rows.write.insertInto(table, overwrite=overwrite)
 
 
+def filled(spark: SparkSession, table: str, where: Mapping[str, object]) -> list[str]:
+    """The partitions of a table with these values, as the catalog lists them; no file is read."""
+    return [row[0] for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_spec(where)})").collect()]
+
+
+def _spec(values: Mapping[str, object]) -> str:
+    return ", ".join(f"`{c}` = " + ("NULL" if v is None else "'" + str(v).replace("'", "\\'") + "'") for c, v in values.items())
+
+
+def drop_partitions(spark: SparkSession, table: str, partitions: Sequence[str]) -> None:
+    """Drop partitions, named as the catalog lists them."""
+    for i in range(0, len(partitions), 100):
+        parts = [[level.partition("=")[::2] for level in p.split("/")] for p in partitions[i : i + 100]]
+        specs = [_spec({c: None if v == _NULL_PARTITION else unquote(v) for c, v in levels}) for levels in parts]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({x})" for x in specs))
+
+
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def replace_slice(df: DataFrame, table: str, layout: Layout, where: Mapping[str, object]) -> None:
+    """Store rows that all have the values of ``where`` in place of those stored with them.
+
+    ``where`` names some of the table's partition columns, say a batch's date. An insert replaces the partitions
+    that the new rows fall in; the catalog knows which others the values had before, and those are dropped
+    after it. So a batch that comes again leaves nothing behind where it no longer has rows, also if it is
+    empty, and a run that ended in between is put right by the next one. Only values met before cost
+    anything more than an insert: one look at the partition columns of the new rows.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        create_table(df, table, layout, constant=list(where))
+        return
+    before = filled(spark, table, where)
+    insert(df, table, layout, overwrite=True, constant=list(where))
+    rest = [c for c in layout.partitions if c not in where]
+    if not before:
+        return
+    if rest:
+        # As many rows as one batch fills partitions.
+        now = {tuple(row) for row in df.select(*[F.col(c).cast("string") for c in rest]).distinct().collect()}
+    else:
+        now = set() if df.isEmpty() else {()}
+
+    def values(partition: str) -> tuple:
+        held = {c: None if v == _NULL_PARTITION else unquote(v) for c, v in (x.partition("=")[::2] for x in partition.split("/"))}
+        return tuple(held[c] for c in rest)
+
+    drop_partitions(spark, table, [p for p in before if values(p) not in now])
+
+
 def land(
-    df: DataFrame, table: str, batch_date: date | str | None = None, layout: Layout = Layout(("upd_date",))
+    df: DataFrame,
+    table: str,
+    batch_date: date | str | None = None,
+    layout: Layout = Layout(("upd_date",)),
+    landing: int | None = None,
+    index: Sequence[str] = (),
 ) -> None:
     """Store a batch as the partition of its date. Landing the same batch again replaces it.
 
-    The date must be the only partition column: only then does the insert replace all of the batch. Every
-    landing is noted with a number of its own, so a date that is landed again is a new batch to its readers.
+    Partitions are the date alone, or the date and ``landing``: then several landings of one date stay side by
+    side, and one is replaced only under its own number. Every landing is noted under a number, which is drawn
+    unless the caller has one that a repeat will have too. Numbers have no order and no clock gives them, so
+    a date landed again is a new batch to its readers, whichever machine lands it.
+    With ``index``, the batch's different keys in these columns are noted too, see ``holding``.
     """
-    if list(layout.partitions) != ["upd_date"]:
-        raise ValueError("a landing table is partitioned by its load date alone")
-    spark, rows = df.sparkSession, stamp(df, batch_date)
+    if list(layout.partitions) not in (["upd_date"], ["upd_date", "landing"]):
+        raise ValueError("a landing table is partitioned by its load date, or by that and the landing")
+    spark, number = df.sparkSession, uuid.uuid4().int >> 65 if landing is None else landing
+    rows = stamp(df, batch_date)
+    if "landing" in layout.partitions:
+        rows = rows.withColumn("landing", F.lit(number).cast("long"))
     if spark.catalog.tableExists(table):
-        insert(rows, table, layout, overwrite=True, constant=["upd_date"])
+        if landing is not None and "landing" in layout.partitions:
+            # A repeat on another day leaves no second copy.
+            drop_partitions(spark, table, filled(spark, table, {"landing": number}))
+        insert(rows, table, layout, overwrite=True, constant=layout.partitions)
     else:
-        create_table(rows, table, layout, constant=["upd_date"])
+        create_table(rows, table, layout, constant=layout.partitions)
+    if index:
+        _note_keys(spark, table, batch_date, number if "landing" in layout.partitions else None, index)
     # Noted after the rows are there: a reader of the note finds them.
-    noted = spark.range(1).select(F.lit(time.time_ns()).alias("landing"))
+    noted = spark.range(1).select(F.lit(number).cast("long").alias("landing"))
     append(stamp(noted, batch_date), _landings(table))
 
 
@@ -107,23 +175,81 @@ def _landings(table: str) -> str:
     return f"{table}__landings"
 
 
+def _keys_of(table: str) -> str:
+    return f"{table}__keys"
+
+
+def _note_keys(spark: SparkSession, table: str, batch_date: date | str | None, landing: int | None, index: Sequence[str]) -> None:
+    """Write the different keys of the partition just landed. Its rows are read from the table, these columns alone."""
+    day = F.current_date() if batch_date is None else F.lit(str(batch_date)).cast("date")
+    rows = spark.table(table).where(F.col("upd_date") == day)
+    if landing is not None:
+        rows = rows.where(F.col("landing") == landing)
+    parts = ["upd_date"] + (["landing"] if landing is not None else [])
+    layout = Layout(tuple(parts), 16, tuple(index))
+    keys = materialize(rows.select(*index, *parts).distinct(), "landed-keys")
+    if spark.catalog.tableExists(_keys_of(table)):
+        where = {} if landing is None else {"landing": landing}
+        if batch_date is not None:
+            where["upd_date"] = batch_date
+        if where:
+            drop_partitions(spark, _keys_of(table), filled(spark, _keys_of(table), where))
+        insert(keys, _keys_of(table), layout, overwrite=True, constant=parts)
+    else:
+        create_table(keys, _keys_of(table), layout, constant=parts)
+
+
+def holding(spark: SparkSession, table: str, wanted: DataFrame, keys: Sequence[str], within: DataFrame) -> DataFrame:
+    """Those batches of ``within`` (``upd_date``, maybe ``landing``) that hold any of the wanted keys.
+
+    Answered from the keys noted at landing, one narrow row for each key of a batch, so no batch is read for it. A
+    table landed without an index, or with another, gives all of ``within``.
+    """
+    name = _keys_of(table)
+    if not spark.catalog.tableExists(name) or not set(keys) <= set(spark.table(name).columns):
+        return within
+    spark.catalog.refreshTable(name)
+    noted = spark.table(name)
+    parts = [c for c in ("upd_date", "landing") if c in noted.columns and c in within.columns]
+    some = noted.join(wanted.select(*keys).distinct(), list(keys), "left_semi").select(*parts).distinct()
+    # Batches that landed before there was an index are not told apart.
+    unknown = within.join(noted.select(*parts).distinct(), parts, "left_anti")
+    return within.join(some, parts, "left_semi").unionByName(unknown)
+
+
 def pin(spark: SparkSession, table: str, marks: str) -> DataFrame:
-    """``(upd_date, landing)``: the batches of a landing table that no run has consumed, as they are now.
+    """``(upd_date, landing)``: the landings of a table that no run has consumed, as they are now.
 
     Whatever its date, a batch is pending until it is marked itself: one that is older than the newest
     consumed, and one whose date was consumed and has been landed again since. The answer is written, so
-    all reads of a run see the same batches; one that lands meanwhile waits for the next run.
+    all reads of a run see the same batches; one that lands meanwhile waits for the next run. A table that
+    nothing has landed in has none.
     """
-    log = spark.table(_landings(table)).groupBy("upd_date").agg(F.max("landing").alias("landing"))
+    if not spark.catalog.tableExists(_landings(table)):
+        return spark.createDataFrame([], "upd_date date, landing long")
+    # Other sessions land too, and this one may remember which files a table had.
+    spark.catalog.refreshTable(_landings(table))
+    log = spark.table(_landings(table)).distinct()
     if spark.catalog.tableExists(marks):
-        seen = spark.table(marks).where(F.col("source") == table).select("upd_date", "landing")
-        log = log.join(seen, ["upd_date", "landing"], "left_anti")
+        # A landing repeated on another day keeps its number, and is the same one.
+        seen = spark.table(marks).where(F.col("source") == table).select("landing")
+        log = log.join(seen, "landing", "left_anti").select("upd_date", "landing")
     return materialize(log, "pinned-batches")
 
 
 def batches(spark: SparkSession, table: str, pinned: DataFrame) -> DataFrame:
-    """The rows of the pinned batches; other partitions are not read."""
-    return spark.table(table).join(pinned.select("upd_date"), "upd_date", "left_semi").select(*spark.table(table).columns)
+    """The rows of the given batches. Their partitions are named in the plan, so others are not even listed as files.
+
+    The batches are brought to the driver: a row for each landing, as many as the table has partitions.
+    """
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table)
+    parts = [c for c in ("upd_date", "landing") if c in rows.columns and c in pinned.columns]
+    if not {"upd_date"} <= set(parts):
+        raise ValueError("batches have a load date")
+    found = sorted({tuple(r) for r in pinned.select(*parts).collect()}, key=str)
+    days = rows.where(F.col("upd_date").isin([r[0] for r in found]))
+    return days.where(F.col("landing").isin([r[1] for r in found])) if len(parts) > 1 else days
 
 
 def pending(spark: SparkSession, table: str, marks: str) -> DataFrame:

@@ -252,7 +252,11 @@ def test_wide_table_by_laureate_alone(spark, loaded):
 
 def test_old_versions_are_dropped(spark, loaded):
     assert len(sinks.versions(spark, "dwh.dataset")) == 2
-    assert len(sinks.versions(spark, "dwh.countries_uptodate")) == 2
+    assert len(sinks.versions(spark, "dwh.organizations")) == 2
+    # Of a merged table the partitions of the last two states.
+    for table in ("countries_uptodate", "cities_labelled_uptodate", "societies"):
+        assert len(sinks.filled(spark, f"dwh.{table}__rows", {"upd_date": DAY2})) == 1
+        assert sinks.tidy(spark, f"dwh.{table}") == 0
 
 
 def test_runs_without_news_change_nothing(loaded):
