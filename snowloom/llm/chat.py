@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from snowloom.llm.native import let
+
 # The template's own control strings. Texts and roles are escaped so that none of them, and no bracketed
 # or angled control string of other templates, can stand in them.
 TURN, END = "<|turn|>", "<|end|>"
@@ -109,7 +111,8 @@ def format_chats(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) ->
 
     Returns ``conv_id, n_turns, formatted, loss, attachments, attachment_tokens``. ``loss`` lists the code
     point spans ``[start, end)`` of ``formatted`` that are trained on: the contents of trained roles without
-    markers, in order, one per turn even if empty. Turns go by ``turn`` (null first), ties by role and
+    markers, in order, one per turn even if empty; each span also says which turn it lies in and ``at`` what code point
+    behind that turn's marker it begins, so that it can be cut without counting from the start. Turns go by ``turn`` (null first), ties by role and
     content, repeated rows follow each other; a null role is the empty one; rows with a null ``conv_id``
     are one conversation. An empty table gives no rows. Offsets come from a running sum, so a conversation
     of very many turns costs no more per turn than a short one; its text is one value by its nature.
@@ -125,7 +128,9 @@ def format_chats(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) ->
     so_far = F.sum(F.length("piece").cast("long")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
     placed = placed.select("*", F.row_number().over(order).alias("place"), so_far.alias("stop"))
     start = F.col("stop") - F.length("piece") + F.length("head")
-    span = F.when(F.col("role").isin(*trained), F.struct(start.alias("start"), (start + F.length("body")).alias("end")))
+    inside = (F.length("head") - len(TURN)).alias("at")
+    span = F.struct(start.alias("start"), (start + F.length("body")).alias("end"), (F.col("place") - 1).alias("turn"), inside)
+    span = F.when(F.col("role").isin(*trained), span)
     rows = F.sort_array(F.collect_list(F.struct("place", "piece", span.alias("span"), "found")))
     whole = placed.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"), rows.alias("rows"))
     found = F.flatten(F.transform("rows", lambda r: r["found"]))
@@ -137,8 +142,10 @@ def format_chats(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) ->
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Conversations from ``formatted`` and ``loss`` alone: ``turns`` of role and text, and ``loss_text``."""
-    pieces = F.slice(F.split("formatted", r"<\|turn\|>"), 2, F.greatest(F.size(F.split("formatted", r"<\|turn\|>")) - 1, F.lit(1)))
+    """Conversations from ``formatted`` and ``loss`` alone: ``turns`` of role and text, and ``loss_text``.
+
+    The text is cut at its turn markers once, and every span from its own turn, so the work is in proportion to the text.
+    """
 
     def turn(piece: Column) -> Column:
         role = F.substring_index(piece, "\n", 1)
@@ -147,12 +154,17 @@ def read_back(formatted: DataFrame) -> DataFrame:
             unescape(F.replace(role, F.lit(_NEWLINE[1]), F.lit(_NEWLINE[0]))).alias("role"), unescape(body).alias("text")
         )
 
-    def covered(span: Column) -> Column:
-        return unescape(F.substring("formatted", (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int")))
+    def read(pieces: Column) -> Column:
+        # The first piece is what stands before the first marker: nothing.
+        def covered(span: Column) -> Column:
+            piece = F.get(pieces, (span["turn"] + 1).cast("int"))
+            return unescape(F.substring(piece, (span["at"] + 1).cast("int"), (span["end"] - span["start"]).cast("int")))
 
-    return formatted.select(
-        "*", F.transform(pieces, turn).alias("turns"), F.array_join(F.transform("loss", covered), "").alias("loss_text")
-    )
+        turns = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(1))), turn)
+        return F.struct(turns.alias("turns"), F.array_join(F.transform("loss", covered), "").alias("loss_text"))
+
+    back = formatted.withColumn("__read", let(F.split("formatted", r"<\|turn\|>"), read))
+    return back.select(*formatted.columns, "__read.turns", "__read.loss_text")
 
 
 def _length_sql(column: str) -> str:

@@ -1,5 +1,8 @@
 """Odd inputs of the training-data operators: nulls, empty and very long texts, ties, repeats, no rows."""
 
+import html
+import time
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -9,6 +12,7 @@ from tokenizers import Tokenizer
 
 from snowloom.llm import chat, components, decontaminate, licenses, minhash, mixing, quality, simhash as sim, substrings, token_files, toxicity
 from snowloom.llm.registry import prepare
+from snowloom.session import materialize
 
 LONG = " ".join(f"w{i % 4001}x{i % 37}" for i in range(60_000))
 PASSAGE = " ".join(f"p{i}" for i in range(50))
@@ -326,6 +330,29 @@ def test_chat_parts(spark):
     assert chat.format_chats(turns.where("conv_id > 9")).count() == 0
 
 
+def test_loss_spans_are_places_in_the_text(spark):
+    rows = [(c, t, ("user", "assistant")[t % 2], f"{'é\U0001f600' * (t % 3)} <{t}> & [x]") for c in range(3) for t in range(9)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("parts", chat.text_parts(F.col("text")))
+    for r in chat.read_back(chat.format_chats(turns)).collect():
+        pieces = r.formatted.split(chat.TURN)[1:]
+        assert [p.turn for p in r.loss] == [1, 3, 5, 7]
+        assert all(r.formatted[p.start : p.end] == pieces[p.turn][p.at : p.at + p.end - p.start] for p in r.loss)
+        assert "".join(html.unescape(r.formatted[p.start : p.end]) for p in r.loss) == r.loss_text
+
+
+def test_many_turns_are_read_in_proportion(spark):
+    """Four times the turns take about four times as long, not sixteen times."""
+    took = {}
+    for n in (5_000, 5_000, 20_000):
+        turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 1, "assistant").otherwise("user").alias("role"), chat.text_parts(F.repeat(F.lit("word "), 40)).alias("parts"))
+        done = materialize(chat.format_chats(turns), "chat-test")
+        start = time.perf_counter()
+        r = chat.read_back(done).select(F.size("turns").alias("n"), F.length("loss_text").alias("chars")).first()
+        took[n] = time.perf_counter() - start
+        assert (r.n, r.chars) == (n, n // 2 * 200)
+    assert took[20_000] < 5 * took[5_000] + 1
+
+
 def test_chat_texts_come_back(spark, odd):
     turns = odd.select(F.col("doc_id").alias("conv_id"), F.lit(0).alias("turn"), F.lit("assistant").alias("role"), chat.text_parts(F.col("text")).alias("parts"))
     got = chat.read_back(chat.format_chats(turns.where("conv_id <> 10"))).collect()
