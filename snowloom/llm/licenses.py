@@ -41,8 +41,7 @@ PHRASES: Sequence[tuple[str, str]] = (
     ("general public license", "gpl"),
 )
 THRESHOLD = 0.9
-# Blocks are windows of this many words, each beginning half a window after the last one; every passage of
-# up to half a window lies in one whole.
+# A block is a window of this many words, wherever it begins.
 BLOCK = 64
 
 
@@ -54,27 +53,68 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def _phrase_places(w: Column, phrase: str, label: str) -> Column:
-    """Label and start of every place where the words of a phrase stand one after the other."""
-    none = F.array().cast("array<struct<label:string,start:bigint>>")
+def _vocabulary(templates: Sequence[tuple[str, str]]) -> list[str]:
+    return sorted({w for text in [t for _, t in templates] + [p for p, _ in PHRASES] for w in tokens(text)})
+
+
+def read_words(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """``(doc_id, tie, n_words, hits)``: the words of each text that a template or phrase has, with their places.
+
+    Texts are cut into words here and nowhere else; all that follows is found from the hits.
+    """
+    known = _vocabulary(templates)
+
+    def found(w: Column) -> Column:
+        hits = F.filter(F.transform(w, lambda x, i: F.when(x.isin(known), F.struct(i.alias("at"), x.alias("token")))), lambda h: h.isNotNull())
+        return F.struct(F.size(w).cast("long").alias("n_words"), hits.alias("hits"))
+
+    read = docs.select("doc_id", F.xxhash64("text").alias("tie"), let(words(F.col("text")), found).alias("f"))
+    return materialize(read.select("doc_id", "tie", "f.n_words", "f.hits"), "license-words")
+
+
+def _phrase_places(hits: Column, phrase: str, label: str) -> Column:
+    """Label and start of every place where the words of a phrase stand one after the other, so their hits do too."""
     *before, last = phrase.split(" ")
     n = len(before)
-    ends = F.filter(F.transform(w, lambda x, i: F.when(x == last, i)), lambda i: i.isNotNull())
-    whole = F.filter(
-        ends,
-        lambda i: reduce(and_, [F.coalesce(F.get(w, i - d) == x, F.lit(False)) for d, x in enumerate(before[::-1], 1)]),
+    ends = F.filter(F.transform(hits, lambda h, i: F.when(h["token"] == last, i)), lambda i: i.isNotNull())
+
+    def stands(i: Column) -> Column:
+        def at(d: int, word: str) -> Column:
+            h = F.get(hits, i - d)
+            return F.coalesce((h["token"] == word) & (h["at"] == F.get(hits, i)["at"] - d), F.lit(False))
+
+        return reduce(and_, [at(d, x) for d, x in enumerate(before[::-1], 1)])
+
+    return F.transform(
+        F.filter(ends, stands), lambda i: F.struct(F.lit(label).alias("label"), (F.get(hits, i)["at"] - n).cast("long").alias("start"))
     )
-    found = F.transform(whole, lambda i: F.struct(F.lit(label).alias("label"), (i - n).cast("long").alias("start")))
-    return F.when(F.array_contains(w, last), found).otherwise(none)
 
 
-def _frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+def _frequencies(read: DataFrame) -> dict[str, int]:
     """In how many documents each word of the templates stands: one row per template word."""
-    known = F.array(*map(F.lit, vocabulary))
-    held = docs.select(F.explode(F.array_intersect(words(F.col("text")), known)).alias("token"))
+    held = read.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["token"]))).alias("token"))
     return {r.token: r.n for r in held.groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def _blocks(hits: Column, anchors: list[str], ordered: list[str], fewest: int) -> Column:
+    """The sets of template words of all windows that could meet a template, each in the order of ``ordered``.
+
+    A window that meets a template has one of its ``anchors``, and may as well begin at its first hit. So windows are
+    opened at the hits up to ``BLOCK`` words before each anchor; as hits, these are as many at most.
+    """
+    at = lambda i: F.get(hits, i)["at"]
+    places = F.filter(F.transform(hits, lambda h, i: F.when(h["token"].isin(anchors), i)), lambda i: i.isNotNull())
+    opened = F.transform(places, lambda m: F.filter(F.sequence(F.greatest(m - (BLOCK - 1), F.lit(0)), m), lambda i: at(i) > at(m) - BLOCK))
+    known = F.array(*map(F.lit, ordered))
+
+    def block(i: Column) -> Column:
+        inside = F.filter(F.slice(hits, i + 1, BLOCK), lambda h: h["at"] < at(i) + BLOCK)
+        return F.array_intersect(known, F.transform(inside, lambda h: h["token"]))
+
+    sets = F.transform(F.array_distinct(F.flatten(opened)), block)
+    return F.array_distinct(F.filter(sets, lambda b: F.size(b) >= fewest))
+
+
 def _template_prefixes(spark: SparkSession, sets: list[tuple[str, list[str], int]]) -> DataFrame:
     """One row per template and word of its prefix. Templates are a list in code, which bounds the frame."""
     rows = [
@@ -85,32 +125,28 @@ def _template_prefixes(spark: SparkSession, sets: list[tuple[str, list[str], int
     return inline_rows(spark, rows, "template int, label string, held array<string>, n_held int, least int, i int, token string")
 
 
-def block_matches(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def block_matches(read: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, tie, label, containment)``: every label some block of a document meets, and how well.
 
-    A block meets a template if it holds at least ``threshold`` of the template's distinct words. Words no
-    template has cannot count, so a block is reduced to its template words, in the global order of their
-    document frequency, rarest first. Two sets that share ``least`` words share one among the first
-    ``n - least + 1`` of each (prefix filter); blocks with fewer words cannot meet it (length filter); nor
-    can pairs whose words after the shared one are too few (positional filter). The rest is counted.
+    ``read`` is what ``read_words`` gives. Every window of ``BLOCK`` words is a block; it meets a template if it holds at
+    least ``threshold`` of the template's distinct words. Words no template has cannot count, so a block is reduced to its
+    template words, in the global order of their document frequency, rarest first. Two sets that share ``least`` words
+    share one among the first ``n - least + 1`` of each (prefix filter), so windows without any template's are never
+    opened; blocks with fewer words cannot meet it (length filter); nor can pairs whose words after the shared
+    one are too few (positional filter). The rest is counted.
     """
-    spark = docs.sparkSession
+    spark = read.sparkSession
     raw = [(label, set(tokens(text))) for label, text in templates]
     vocabulary = sorted(set().union(*(held for _, held in raw)))
-    seen = _frequencies(docs, vocabulary)
+    seen = _frequencies(read)
     ordered = sorted(vocabulary, key=lambda t: (seen.get(t, 0), t))
     place = {t: i for i, t in enumerate(ordered)}
     sets = [(label, sorted(held, key=place.get), math.ceil(round(threshold * len(held), 9))) for label, held in raw]
     fewest = min(least for _, _, least in sets)
-    known = F.array(*map(F.lit, ordered))
-
-    def blocks(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - BLOCK // 2 - 1, F.lit(0)), F.lit(BLOCK // 2))
-        held = F.transform(starts, lambda s: F.array_intersect(known, F.slice(w, s + 1, BLOCK)))
-        return F.array_distinct(F.filter(held, lambda b: F.size(b) >= fewest))
+    anchors = sorted({t for _, held, least in sets for t in held[: len(held) - least + 1]})
 
-    text = F.col("text")
-    held = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.explode(let(words(text), blocks)).alias("block"))
+    found = F.explode(let(F.col("hits"), lambda h: _blocks(h, anchors, ordered, fewest))).alias("block")
+    held = read.where(F.exists("hits", lambda h: h["token"].isin(anchors))).select("doc_id", "tie", found)
     parts = held.select("*", F.size("block").alias("n_block"), F.posexplode("block").alias("j", "token"))
     prefixes = _template_prefixes(spark, sets)
     left = F.col("n_block") - F.col("j")
@@ -133,13 +169,12 @@ def scan(docs: DataFrame) -> DataFrame:
     threshold, else 0. A null text is empty; repeated rows stay; an empty table gives no rows.
     """
 
-    def found(w: Column) -> Column:
-        return F.struct(F.size(w).cast("long").alias("n_words"), F.concat(*[_phrase_places(w, *p) for p in PHRASES]).alias("places"))
-
-    base = docs.select("doc_id", F.xxhash64("text").alias("tie"), let(words(F.col("text")), found).alias("f")).select(
-        "doc_id", "tie", "f.n_words", "f.places"
-    )
-    met = block_matches(docs).groupBy("doc_id", "tie").agg(
+    read = read_words(docs)
+    places = let(F.col("hits"), lambda h: F.concat(*[_phrase_places(h, *p) for p in PHRASES]))
+    none = F.array().cast("array<struct<label:string,start:bigint>>")
+    ends = [phrase.split(" ")[-1] for phrase, _ in PHRASES]
+    base = read.select("doc_id", "tie", "n_words", F.when(F.exists("hits", lambda h: h["token"].isin(ends)), places).otherwise(none).alias("places"))
+    met = block_matches(read).groupBy("doc_id", "tie").agg(
         F.collect_set("label").alias("met"), F.max("containment").alias("best")
     )
     met = materialize(met, "license-blocks").select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "met", "best")
@@ -172,7 +207,7 @@ def _sql() -> str:
 WITH t(label, held, n_held, least) AS (VALUES {", ".join(rows)}),
 d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') AS w FROM documents),
 b AS (SELECT doc_id, list_distinct(w[s + 1 : s + {BLOCK}]) AS block
-      FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {BLOCK // 2}, 1), {BLOCK // 2})) AS s FROM d)),
+      FROM (SELECT doc_id, w, unnest(list_filter(range(0, len(w)), lambda i: list_contains({quoted(_vocabulary(TEMPLATES))}, w[i + 1]))) AS s FROM d)),
 m AS (SELECT doc_id, label, max(len(list_intersect(block, held)) / n_held) AS containment
       FROM b, t WHERE len(list_intersect(block, held)) >= least GROUP BY doc_id, label),
 x AS (SELECT doc_id, list(label) AS met, max(containment) AS best FROM m GROUP BY doc_id),

@@ -379,19 +379,37 @@ def test_license_blocks_by_brute_force(spark):
         label, text = licenses.TEMPLATES[i % len(licenses.TEMPLATES)]
         held = [w for w in licenses.tokens(text) if rng.random() > 0.08]
         rows.append((i, " ".join([*rng.choice(vocabulary, 20), *held, *rng.choice(vocabulary, 30)])))
+    matched(spark, rows)
+
+
+def matched(spark, rows):
+    """All labels of all windows, counted directly, against the operator's."""
     got = {}
-    for r in licenses.block_matches(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+    for r in licenses.block_matches(licenses.read_words(spark.createDataFrame(rows, "doc_id long, text string"))).collect():
         got.setdefault(r.doc_id, {})[r.label] = r.containment
-    half = licenses.BLOCK // 2
     for i, text in rows:
         w, want = licenses.tokens(text), {}
-        for s in range(0, max(len(w) - half, 1), half):
+        for s in range(max(len(w), 1)):
             block = set(w[s : s + licenses.BLOCK])
             for label, template in licenses.TEMPLATES:
                 t = set(licenses.tokens(template))
                 if len(block & t) >= licenses.THRESHOLD * len(t) - 1e-9:
                     want[label] = max(want.get(label, 0), len(block & t) / len(t))
         assert got.get(i, {}) == pytest.approx(want)
+    return got
+
+
+def test_license_blocks_begin_anywhere(spark):
+    """Notices spread over up to a whole window, at every offset, are found, and one word more loses them."""
+    notice = licenses.tokens(dict(licenses.TEMPLATES)["bsd"])
+    spread = " ".join(f"{w} zz zz" for w in notice)
+    rows = [(i, "zz " * i + spread + " zz" * 40) for i in range(0, 70, 3)]
+    assert len(licenses.tokens(spread)) - 2 <= licenses.BLOCK
+    got = matched(spark, rows)
+    assert all("bsd" in got[i] for i, _ in rows)
+    # The words it can do without stand inside, so the first and the last are needed and lie too far apart.
+    far = [(0, " ".join(f"{w} " + "zz " * 4 for w in notice)), (1, "mit " * 500 + "license"), (2, ""), (3, None)]
+    assert "bsd" not in matched(spark, [r for r in far if r[1] is not None]).get(0, {})
 
 
 def test_token_files(odd, none, tmp_path):
