@@ -20,14 +20,19 @@ from snowloom.session import materialize, scratch_scope, tune
 from snowloom.sinks import Layout, stamp
 
 
+# The landings consumed so far.
+MARKS = "consumed_batches"
+
+
 class Run:
-    """The tables of one target database during a run."""
+    """The tables of one target database during a run: as its last commit has them, and with what the run has changed.
+
+    Nothing a run writes is seen by others before ``commit``, and then all of it is.
+    """
 
     def __init__(self, spark: SparkSession, staging: str, target: str, batch_date: date | str):
         self.spark, self.staging, self.target, self.batch_date = spark, staging, target, batch_date
-        self.marks = f"{target}.consumed_batches"
-        self.published: set[str] = set()
-        self.merged: set[str] = set()
+        self.tables = sinks.Commit(spark, target)
         # The batches of each source that this run reads, fixed before it reads any.
         self.pinned: dict[str, DataFrame] = {}
 
@@ -35,31 +40,52 @@ class Run:
         return f"{self.target}.{table}"
 
     def stored(self, table: str) -> DataFrame | None:
-        return sources.table_or_none(self.spark, self.name(table))
+        return self.tables.frame(table)
 
     def __getitem__(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table))
+        found = self.tables.frame(table)
+        if found is None:
+            raise LookupError(f"{self.name(table)} has not been loaded")
+        return found
 
     def publish(self, table: str, df: DataFrame) -> DataFrame:
         """Replace a table that the new content may have been computed from."""
-        sinks.publish(df, self.name(table), schemas.LAYOUTS.get(table, Layout()))
-        self.published.add(table)
+        self.tables.publish(table, df, schemas.LAYOUTS.get(table, Layout()))
         return self[table]
 
-    def append(self, table: str, df: DataFrame, day: date) -> DataFrame:
-        """Add the batch of a day to a history, in place of what that day had there; returns the day's rows."""
-        sinks.replace_slice(df, self.name(table), schemas.LAYOUTS[table], {"upd_date": day})
+    def put(self, table: str, df: DataFrame, day: date) -> DataFrame:
+        """The batch of a day in a history, in place of what that day had there; returns the day's rows."""
+        self.tables.put(table, df, "upd_date", day, schemas.LAYOUTS[table])
         return self[table].where(F.col("upd_date") == day)
 
     def merge(self, table: str, batch: DataFrame, keys: Sequence[str], **options) -> DataFrame:
         """Bring a current table up to date with a batch; see ``sinks.merge``."""
-        sinks.merge(batch, self.name(table), keys, "upd_date", layout=schemas.LAYOUTS.get(table, Layout()), **options)
-        self.merged.add(table)
+        self.tables.merge(table, batch, keys, "upd_date", layout=schemas.LAYOUTS.get(table, Layout()), **options)
+        return self[table]
+
+    def add(self, table: str, df: DataFrame) -> DataFrame:
+        """Further rows of a table that has none of them."""
+        self.tables.add(table, df, "upd_date", schemas.LAYOUTS[table])
         return self[table]
 
-    def view(self, name: str, columns: Sequence[str], table: str) -> None:
+    def view(self, table: str, columns: Sequence[str], of: str) -> None:
         """Some columns of a table under a name of their own."""
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(name)} AS SELECT {', '.join(columns)} FROM {self.name(table)}")
+        self.tables.view(table, columns, of)
+
+    def consumed(self, table: str) -> DataFrame | None:
+        """The landings of a source that runs have consumed."""
+        marks = self.stored(MARKS)
+        return None if marks is None else marks.where(F.col("source") == f"{self.staging}.{table}")
+
+    def pin(self, table: str) -> DataFrame:
+        """Fix the landings of a source that this run reads: those nobody has consumed."""
+        self.pinned[table] = sinks.unconsumed(self.spark, f"{self.staging}.{table}", self.consumed(table))
+        return self.pinned[table]
+
+    def mark_consumed(self, table: str) -> None:
+        """Note the pinned landings as consumed, in the same commit as what was made of them."""
+        marks = self.pinned[table].select(F.lit(f"{self.staging}.{table}").alias("source"), "upd_date", "landing")
+        self.tables.add(MARKS, marks, "upd_date")
 
     def listed(self, table: str) -> DataFrame:
         return self.spark.table(f"{self.staging}.{table}")
@@ -76,7 +102,10 @@ class Run:
         """The rows of those batches that hold any of the wanted keys, consumed ones and those of this run, but none
         that landed meanwhile. Other batches are not read."""
         name = f"{self.staging}.{table}"
-        dates = sinks.consumed(self.spark, name, self.marks).union(self.pinned[table].select("upd_date")).distinct()
+        dates = self.pinned[table].select("upd_date")
+        if (before := self.consumed(table)) is not None:
+            dates = dates.union(before.select("upd_date"))
+        dates = dates.distinct()
         return sinks.batches(self.spark, name, sinks.holding(self.spark, name, wanted, keys, dates))
 
     def seed(self, rows, schema: str) -> DataFrame:
@@ -84,20 +113,23 @@ class Run:
 
 
 def run(spark: SparkSession, staging: str, target: str, batch_date: date | str) -> Run:
+    """Bring all tables up to date with what has landed, in one commit.
+
+    Raises ``sinks.Conflict`` if another run has committed meanwhile; then this one has changed nothing and its batches
+    are still pending.
+    """
     sinks.ensure_database(tune(spark), target)
     w = Run(spark, staging, target, batch_date)
     loaders = {"countries": load_countries, "cities": load_cities, "laureates": load_laureates}
     for source, load in loaders.items():
         with scratch_scope(spark):
-            w.pinned[source] = sinks.pin(spark, f"{staging}.{source}", w.marks)
-            if not w.pinned[source].isEmpty():
+            if not w.pin(source).isEmpty():
                 load(w)
-                sinks.mark_consumed(w.pinned[source], f"{staging}.{source}", w.marks)
-    # The versions before this run stay for readers that began with them; older ones go.
-    for table in w.published:
-        sinks.retire(spark, w.name(table))
-    for table in w.merged:
-        sinks.tidy(spark, w.name(table))
+                w.mark_consumed(source)
+    before = w.tables.number
+    if w.tables.commit() > before:
+        # The state before this run stays for readers that began with it; older ones go.
+        w.tables.tidy()
     return w
 
 
@@ -117,7 +149,7 @@ def load_countries(w: Run) -> None:
             today, conforming.missing_countries(names, today), historical, regions, continents, names, continent_list,
             w.listed("country_capital"), day, w.stored("country_ids"),
         )
-        stored = w.append("countries", snapshot, day)
+        stored = w.put("countries", snapshot, day)
         w.merge("country_ids", stored.select("country_name", "country_id", "upd_date"), ["country_name"])
         newest = w.merge("countries_uptodate", stored, ["country_name"], history=w["countries"])
     codes = geography.country_codes(
@@ -133,8 +165,8 @@ def load_cities(w: Run) -> None:
     for day in w.pending_dates("cities"):
         today = conformed.where(F.col("upd_date") == day)
         labelled = geography.cities(today, w["code_country_names"], w.stored("city_ids"))
-        labelled = w.append("cities_labelled", labelled, day)
-        w.append("cities", labelled.drop("city_label", "country_code"), day)
+        labelled = w.put("cities_labelled", labelled, day)
+        w.put("cities", labelled.drop("city_label", "country_code"), day)
         w.merge("city_ids", labelled.select("city_id", *geography.CITY_ROW, "upd_date"), ["city_id"])
         newest = w.merge("cities_labelled_uptodate", labelled, geography.CITY_KEY, ties="all", history=w["cities_labelled"])
     w.view("cities_uptodate", newest.drop("city_label", "country_code").columns, "cities_labelled_uptodate")
@@ -166,7 +198,7 @@ def load_laureates(w: Run) -> None:
 
     prizes = laureates.nobel_prizes(rows, categories, prize_types, laureate_types, w.stored("nobel_prizes"))
     # Only rows that are new by their key; what is stored already is not written again.
-    sinks.append(prizes, w.name("nobel_prizes"), schemas.LAYOUTS["nobel_prizes"])
+    w.add("nobel_prizes", prizes)
 
     # Rows of a laureate may arrive in several batches, so the touched keys are built from all that have any. Other
     # laureates are left out by their id alone, before anything else is done with the rows.
@@ -176,12 +208,8 @@ def load_laureates(w: Run) -> None:
     built = wide.dataset(
         touched, persons, places, organizations, countries, cities, w["regions"], w["continents"]
     )
-    before = w.stored("dataset")
-    if before is not None and versioning.only_keys(before, touched, wide.DATASET_KEY).isEmpty():
-        # The usual batch has new prizes alone, which are added to what is stored.
-        sinks.extend(built, w.name("dataset"), schemas.LAYOUTS["dataset"])
-    else:
-        w.publish("dataset", versioning.replace_keys(before, built, wide.DATASET_KEY))
+    # The usual batch has new prizes alone, which are added; rows of known keys replace those there.
+    w.merge("dataset", built, wide.DATASET_KEY)
 
 
 def copy_out(w: Run, database: str) -> None:

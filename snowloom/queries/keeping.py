@@ -133,3 +133,32 @@ def land_stream_pending(t: Tables):
         if day == FIRST:
             sinks.mark_consumed(sinks.pin(t.spark, table, marks), table, marks)
     return sinks.pending(t.spark, table, marks).drop("landing")
+
+
+@query("""
+SELECT o_custkey, count(*) AS n_orders, count(*) AS counted, max(CASE WHEN o_orderstatus = 'F' THEN DATE '2024-01-07' ELSE DATE '2024-01-14' END) AS upd_date
+FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1
+""")
+def commit_of_racing_runs(t: Tables):
+    """Three runs begin alike: one dies, one commits, one comes second. Both tables are those of the one that committed."""
+    database = _database(t)
+
+    def begin(where: str, day: date) -> sinks.Commit:
+        run = sinks.Commit(t.spark, database)
+        run.put("orders", sinks.stamp(t.orders.where(where).select("o_orderkey", "o_custkey"), day), "upd_date", day)
+        run.publish("customers", run.frame("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders")))
+        return run
+
+    begin("o_orderstatus = 'F'", FIRST).commit()
+    begin("o_orderstatus = 'P'", THIRD)
+    second, late = begin("o_orderstatus = 'O'", SECOND), begin("o_orderstatus <> 'F'", SECOND)
+    second.commit()
+    try:
+        late.commit()
+    except sinks.Conflict:
+        pass
+    else:
+        raise RuntimeError("two runs committed from one state")
+    found = sinks.at(t.spark, database)
+    orders = found.frame("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("counted"), F.max("upd_date").alias("upd_date"))
+    return found.frame("customers").join(orders, "o_custkey", "full")

@@ -1,3 +1,4 @@
+from snowloom.sinks.commits import Commit, Conflict, at
 from snowloom.sinks.current import live, merge, tidy
 from snowloom.sinks.tables import (
     Layout,
@@ -22,11 +23,12 @@ from snowloom.sinks.tables import (
     retire,
     shown,
     stamp,
+    unconsumed,
     versions,
 )
 
 __all__ = [
-    "Layout", "append", "batches", "consumed", "copy_tables", "create_table", "drop_partitions", "ensure_database", "extend",
+    "Commit", "Conflict", "Layout", "append", "at", "batches", "consumed", "copy_tables", "create_table", "drop_partitions", "ensure_database", "extend",
     "filled", "holding", "insert", "land", "live", "mark_consumed", "merge", "partitions_last", "pending", "pin", "publish",
-    "replace_slice", "retire", "shown", "stamp", "tidy", "versions",
+    "replace_slice", "retire", "shown", "stamp", "tidy", "unconsumed", "versions",
 ]

@@ -225,15 +225,20 @@ def pin(spark: SparkSession, table: str, marks: str) -> DataFrame:
     all reads of a run see the same batches; one that lands meanwhile waits for the next run. A table that
     nothing has landed in has none.
     """
+    seen = spark.table(marks).where(F.col("source") == table) if spark.catalog.tableExists(marks) else None
+    return unconsumed(spark, table, seen)
+
+
+def unconsumed(spark: SparkSession, table: str, seen: DataFrame | None) -> DataFrame:
+    """The landings of a table that are not among those seen, which have a ``landing``; see ``pin``."""
     if not spark.catalog.tableExists(_landings(table)):
         return spark.createDataFrame([], "upd_date date, landing long")
     # Other sessions land too, and this one may remember which files a table had.
     spark.catalog.refreshTable(_landings(table))
     log = spark.table(_landings(table)).distinct()
-    if spark.catalog.tableExists(marks):
+    if seen is not None:
         # A landing repeated on another day keeps its number, and is the same one.
-        seen = spark.table(marks).where(F.col("source") == table).select("landing")
-        log = log.join(seen, "landing", "left_anti").select("upd_date", "landing")
+        log = log.join(seen.select("landing").distinct(), "landing", "left_anti").select("upd_date", "landing")
     return materialize(log, "pinned-batches")
 
 
@@ -276,14 +281,22 @@ def publish(df: DataFrame, name: str, layout: Layout = Layout()) -> str:
     Readers see the old version or the new one, never a part. The view carries the name of the version it
     shows. Old versions stay until ``retire``, as does one whose run ended before the view was switched.
     """
-    spark = df.sparkSession
-    # Version names sort in the order they were made.
+    version = new_version(df, name, layout)
+    show_version(df.sparkSession, name, version)
+    return version
+
+
+def new_version(df: DataFrame, name: str, layout: Layout = Layout()) -> str:
+    """Write a version of a table that no view shows yet. Version names sort in the order they were made."""
     version = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     create_table(df, version, layout)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_SHOWN}' = '{version}') AS SELECT * FROM {version}")
     return version
 
 
+def show_version(spark: SparkSession, name: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_SHOWN}' = '{version}') AS SELECT * FROM {version}")
+
+
 _SHOWN = "shown_version"
 
 

@@ -159,4 +159,89 @@ def test_run_before_all_sources_have_landed(spark):
     """Nothing has landed yet in two of three sources: a run does what there is to do, here nothing."""
     sinks.ensure_database(spark, "stg_empty", reset=True)
     w = warehouse.run(spark, "stg_empty", "dwh_empty", DAYS[0])
-    assert all(p.isEmpty() for p in w.pinned.values()) and not w.published
+    assert all(p.isEmpty() for p in w.pinned.values()) and w.tables.number == 0 and not w.tables.base
+
+
+def store(spark, database, day, n):
+    """One run: two tables that tell the same number."""
+    c = sinks.Commit(spark, database)
+    c.put("facts", spark.range(n).select("id", F.lit(day).alias("upd_date")), "upd_date", day)
+    c.publish("total", c.frame("facts").agg(F.count("*").alias("n")))
+    return c
+
+
+def told(spark, database):
+    return spark.table(f"{database}.facts").count(), spark.table(f"{database}.total").first()[0]
+
+
+@pytest.fixture
+def committed(spark):
+    database = "commit_test"
+    sinks.ensure_database(spark, database, reset=True)
+    assert store(spark, database, DAYS[0], 3).commit() == 1
+    return database
+
+
+def test_run_that_dies_leaves_nothing(spark, committed):
+    c = store(spark, committed, DAYS[1], 5)
+    assert c.frame("facts").count() == 8 and told(spark, committed) == (3, 3)
+    assert sinks.at(spark, committed).frame("facts").count() == 3
+    # It never commits; the next run does not see its rows and commits as if it had not been.
+    again = store(spark, committed, DAYS[1], 2)
+    assert again.commit() == 2 and told(spark, committed) == (5, 5)
+    assert len(sinks.versions(spark, f"{committed}.total")) == 3
+    again.sweep()
+    assert len(sinks.versions(spark, f"{committed}.total")) == 2 and told(spark, committed) == (5, 5)
+    assert spark.table(f"{committed}.facts__rows").count() == 5
+
+
+def test_of_two_runs_one_commits(spark, committed):
+    one, other = store(spark, committed, DAYS[1], 5), store(spark, committed, DAYS[1], 7)
+    assert other.commit() == 2
+    with pytest.raises(sinks.Conflict):
+        one.commit()
+    assert told(spark, committed) == (10, 10)
+    # The file decides, whatever was looked at before it.
+    late = store(spark, committed, DAYS[2], 1)
+    late.number -= 1
+    with pytest.raises(sinks.Conflict):
+        late.commit()
+    assert told(spark, committed) == (10, 10)
+
+
+def test_views_behind_a_commit_are_put_right(spark, committed, monkeypatch):
+    c = store(spark, committed, DAYS[1], 4)
+    monkeypatch.setattr(sinks.Commit, "show", lambda self, names=None: None)
+    assert c.commit() == 2 and told(spark, committed) == (3, 3)
+    monkeypatch.undo()
+    # Who reads by commit sees it at once; the views follow with the next look.
+    assert sinks.at(spark, committed).frame("facts").count() == 7
+    sinks.at(spark, committed).show()
+    assert told(spark, committed) == (7, 7)
+    assert sinks.at(spark, committed, 1).frame("facts").count() == 3
+
+
+def test_unfinished_commit_stops_the_next_run(spark, committed):
+    from snowloom.sinks import commits
+
+    folder, fs = commits._folder(spark, committed)
+    fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "0000000002.json"), False).close()
+    with pytest.raises(sinks.Conflict):
+        sinks.Commit(spark, committed)
+    assert sinks.at(spark, committed).number == 1
+    with pytest.raises(ValueError):
+        commits.abandon(spark, committed, 1)
+    commits.abandon(spark, committed, 2)
+    assert store(spark, committed, DAYS[1], 1).commit() == 2
+
+
+def test_old_states_are_tidied(spark, committed):
+    for i, day in enumerate(DAYS[1:5], 1):
+        c = store(spark, committed, day, i)
+        c.put("facts", c.frame("facts").where("id = 0").where(F.col("upd_date") == DAYS[0]), "upd_date", DAYS[0])
+        c.commit()
+        c.tidy()
+    assert len(sinks.versions(spark, f"{committed}.total")) == 2
+    assert len(sinks.filled(spark, f"{committed}.facts__rows", {"upd_date": DAYS[0]})) == 2
+    assert sinks.at(spark, committed).frame("facts").count() == spark.table(f"{committed}.facts").count() == 11
+    assert sinks.Commit(spark, committed).commit() == 5

@@ -250,13 +250,17 @@ def test_wide_table_by_laureate_alone(spark, loaded):
     assert got[3]["year"] == 1917 and got[3]["upd_date"] == DAY2
 
 
-def test_old_versions_are_dropped(spark, loaded):
-    assert len(sinks.versions(spark, "dwh.dataset")) == 2
+def test_old_states_are_dropped(spark, loaded):
+    """There were two commits, so nothing could go yet; a third lets the first one's go, see the last test."""
+    assert loaded["w"].tables.number == 2
     assert len(sinks.versions(spark, "dwh.organizations")) == 2
-    # Of a merged table the partitions of the last two states.
-    for table in ("countries_uptodate", "cities_labelled_uptodate", "societies"):
-        assert len(sinks.filled(spark, f"dwh.{table}__rows", {"upd_date": DAY2})) == 1
-        assert sinks.tidy(spark, f"dwh.{table}") == 0
+
+
+def test_the_state_before_a_run_stays(spark, loaded):
+    first = sinks.at(spark, "dwh", 1)
+    for table in ("dataset", "countries_uptodate", "nobel_prizes", "organizations", "cities", "cities_uptodate"):
+        assert first.frame(table).count() == len(loaded["first"][table])
+        assert spark.table(f"dwh.{table}").count() == len(loaded["second"][table])
 
 
 def test_runs_without_news_change_nothing(loaded):
@@ -283,13 +287,16 @@ def test_copy_in_declared_layouts(spark, loaded):
 def test_batch_of_new_prizes_is_only_added(spark, loaded, tmp_path):
     """Runs last: it loads a fourth batch."""
     w = loaded["w"]
-    versions = sinks.versions(spark, "dwh.dataset")
+    before = w.tables.known("dataset")["parts"]
     new = domain.person(30, 2005, "Physics", "Late Person", "1970-01-01", "Rome", "Italy", ("D Institute", "Munich", "Germany"))
     again = domain.person(8, 2006, "Peace", "Two Prizes", "1867-11-07", "Paris", "France", sex="Female")
     path = domain.write_csv(f"{tmp_path}/late", domain.LAUREATE_HEADER, [new, again])
     staging.land_laureates(spark, path, "stg.laureates", datetime.date(2023, 1, 9))
     w = warehouse.run(spark, "stg", "dwh", datetime.date(2023, 1, 9))
-    assert sinks.versions(spark, "dwh.dataset") == versions
+    after = w.tables.known("dataset")["parts"]
+    assert {d: after[d] for d in before} == before and set(after) - set(before) == {"2023-01-09"}
+    # Of the first commit's versions none is left, of the others all are.
+    assert len(sinks.versions(spark, "dwh.organizations")) == 2
     assert w["dataset"].count() == 24
     assert one(w["dataset"], "organization_name1", "birth_city_region", where="laureate_id = 30") == ("D Institute", "07")
     assert rows(w["dataset"], "year", where="laureate_id = 8") == [(1903,), (1911,), (2006,)]
