@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -197,7 +198,20 @@ def resolve_parent(
     columns each rule uses, which leaves at most one row per rule; both small sides are bounded by the list of
     rules and not by the data. If several rows fit a parent, the lowest id is taken.
     """
-    # Rules that name their parent by the same columns are looked up together, by equality of these.
+    if not rules:
+        return df.withColumn(target, F.lit(None).cast(dim.schema[id_column].dataType))
+    parents = _wanted(df, rules, dim, id_column, target)
+    chosen = F
+    for i, rule in enumerate(rules):
+        chosen = chosen.when(rule.condition(), F.lit(i))
+    kept = [c for c in df.columns if c != target]
+    numbered = df.select(*kept).withColumn("__rule", chosen)
+    joined = numbered.join(F.broadcast(parents), F.col("__rule") == F.col("__of"), "left")
+    return joined.select(*kept, target)
+
+
+def _wanted(df: DataFrame, rules: Sequence[ParentRule], dim: DataFrame, id_column: str, target: str) -> DataFrame:
+    """``(__of, target)``: the lowest id of the parent that each rule names; a row per rule at most."""
     by_columns: dict[tuple[str, ...], list[int]] = {}
     for i, rule in enumerate(rules):
         by_columns.setdefault(tuple(sorted(rule.parent)), []).append(i)
@@ -210,13 +224,93 @@ def resolve_parent(
         same = reduce(lambda a, b: a & b, [F.trim(F.col(c)) == F.col(f"__p{j}") for j, c in enumerate(columns)])
         places = dim.select(F.col(id_column).alias("__id"), *columns)
         found.append(places.join(F.broadcast(wanted), same).select("__rule", "__id"))
-    if not found:
-        return df.withColumn(target, F.lit(None).cast(dim.schema[id_column].dataType))
-    parents = reduce(DataFrame.unionByName, found).groupBy(F.col("__rule").alias("__of")).agg(F.min("__id").alias(target))
-    chosen = F
-    for i, rule in enumerate(rules):
-        chosen = chosen.when(rule.condition(), F.lit(i))
+    return reduce(DataFrame.unionByName, found).groupBy(F.col("__rule").alias("__of")).agg(F.min("__id").alias(target))
+
+
+def _literal(pattern: str) -> tuple[str, str] | None:
+    """How a pattern can be found by equality: ``whole``, or a text's beginning or end; null if it cannot."""
+    if "%" not in pattern:
+        return "whole", pattern
+    if "\\" in pattern:
+        return None
+    start, end = re.split("[%_]", pattern)[0], re.split("[%_]", pattern)[-1]
+    if not start and not end:
+        return None
+    return ("start", start) if len(start) >= len(end) else ("end", end)
+
+
+class RuleIndex:
+    """Rules by the values, beginnings and ends of texts that they ask for.
+
+    Each rule stands under the patterns of one of its columns, the one whose shortest literal is longest. A rule whose every
+    column has a pattern without a literal, or that only says what must not be, stays outside and is tried on all.
+    """
+
+    def __init__(self, rules: Sequence[ParentRule]):
+        self.columns = sorted({c for r in rules for c in (*r.when, *r.unless)})
+        self.entries: list[tuple[int, str, str, int]] = []
+        self.outside: list[int] = []
+        for i, rule in enumerate(rules):
+            ways = []
+            for column, patterns in rule.when.items():
+                literals = [_literal(p) for p in patterns]
+                if literals and all(literals):
+                    ways.append((min(len(text) for _, text in literals), column, literals))
+            if not ways:
+                self.outside.append(i)
+                continue
+            _, column, literals = max(ways, key=lambda w: (w[0], w[1]))
+            at = self.columns.index(column)
+            self.entries += [(at, kind, text, i) for kind, text in dict.fromkeys(literals)]
+        self.lengths = {(at, kind, len(text)) for at, kind, text, _ in self.entries}
+
+    def probes(self, values: Column) -> Column:
+        """What to look for in the index of a row's values: as many as there are lengths of literals, not rules."""
+        found = []
+        for at, kind, n in sorted(self.lengths, key=str):
+            value = F.get(values, F.lit(at))
+            text = F.trim(value) if kind == "whole" else F.substring(value, 1, n) if kind == "start" else F.right(value, F.lit(n))
+            found.append(F.when(F.char_length(text) == n, F.struct(F.lit(at).alias("at"), F.lit(kind).alias("kind"), text.alias("text"))))
+        return F.array_compact(F.array(*found))
+
+
+def resolve_parent_indexed(
+    df: DataFrame, rules: Sequence[ParentRule], dim: DataFrame, id_column: str, target: str
+) -> DataFrame:
+    """``resolve_parent`` for very many rules: the work does not grow with their number.
+
+    Different values of the columns that rules ask for are looked up in the index by equality, which leaves the few rules
+    that may fit; their patterns are tried on these alone, as data, and the first that fits counts. The index
+    has a row for each literal of the rules and is bounded by them.
+    """
+    if not rules:
+        return resolve_parent(df, rules, dim, id_column, target)
+    spark, index = df.sparkSession, RuleIndex(rules)
     kept = [c for c in df.columns if c != target]
-    numbered = df.select(*kept).withColumn("__rule", chosen)
-    joined = numbered.join(F.broadcast(parents), F.col("__rule") == F.col("__of"), "left")
-    return joined.select(*kept, target)
+    parents = _wanted(df, rules, dim, id_column, target)
+    texts = materialize(df.select(F.array(*[F.col(c).cast("string") for c in index.columns]).alias("__values")).distinct(), "rule-texts")
+
+    conditions = [
+        (i, [(index.columns.index(c), False, list(p)) for c, p in r.when.items()] + [(index.columns.index(c), True, list(p)) for c, p in r.unless.items()])
+        for i, r in enumerate(rules)
+    ]
+    asked = spark.createDataFrame(conditions, "__rule int, __asked array<struct<at:int,never:boolean,patterns:array<string>>>")
+    entries = spark.createDataFrame(index.entries, "at int, kind string, text string, __rule int") if index.entries else None
+    candidates = []
+    if entries is not None:
+        probes = texts.select("__values", F.explode(index.probes(F.col("__values"))).alias("p")).select("__values", "p.*")
+        candidates.append(probes.join(F.broadcast(entries), ["at", "kind", "text"]).select("__values", "__rule"))
+    if index.outside:
+        some = F.explode(F.array(*[F.lit(i) for i in index.outside]))
+        candidates.append(texts.select("__values", some.alias("__rule")))
+
+    def holds(c: Column) -> Column:
+        value = F.get(F.col("__values"), c["at"])
+        fits = F.exists(c["patterns"], lambda p: F.when(p.contains("%"), F.like(value, p)).otherwise(F.trim(value) == p))
+        return F.coalesce(fits != c["never"], F.lit(False))
+
+    tried = reduce(DataFrame.unionByName, candidates).distinct().join(F.broadcast(asked), "__rule")
+    first = tried.where(F.forall("__asked", holds)).groupBy("__values").agg(F.min("__rule").alias("__rule"))
+    chosen = first.join(F.broadcast(parents), F.col("__rule") == F.col("__of")).select(F.col("__values").alias("__chosen"), target)
+    keyed = df.select(*kept).withColumn("__values", F.array(*[F.col(c).cast("string") for c in index.columns]))
+    return keyed.join(chosen, F.col("__values") == F.col("__chosen"), "left").select(*kept, target)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,3 +68,61 @@ def unmatched(df: DataFrame, dim: DataFrame, column: str, dim_column: str) -> Da
     counted = named.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     known = dim.select(trimmed(dim, dim_column).alias("__known")).distinct()
     return counted.join(known, F.col(column) == F.col("__known"), "left_anti")
+
+
+@dataclass(frozen=True)
+class Check:
+    """What must hold of a table: ``unique`` columns, ``required`` ones, or a ``reference`` into any of the parents."""
+
+    table: str
+    kind: str
+    columns: Sequence[str]
+    parents: Sequence[tuple[str, Sequence[str]]] = ()
+
+    def __post_init__(self) -> None:
+        if self.kind not in ("unique", "required", "reference"):
+            raise ValueError("a check is 'unique', 'required' or 'reference'")
+        if (self.kind == "reference") != bool(self.parents):
+            raise ValueError("a reference, and nothing else, has parents")
+
+
+def _key(columns: Sequence[str]) -> Column:
+    """The values of some columns as one text, nulls told from texts."""
+    return F.to_json(F.array(*[F.col(c).cast("string") for c in columns]), {"ignoreNullFields": "false"})
+
+
+def audit_tables(frames: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """All findings of all checks: ``check`` (its number), ``table_name, kind, column_names, key, n``.
+
+    ``key`` is the list of values as JSON (of a required column its name), ``n`` the number of rows that have it. Every table
+    is scanned once, whatever is checked of it or against it: a row gives the keys that it has in each check, as a
+    child or as a parent, and one sum over check and key, begun in every task, tells which keys are
+    repeated or refer to nothing. A key with a null part refers to nothing and is no finding.
+    """
+    if missing := ({c.table for c in checks} | {p for c in checks for p, _ in c.parents}) - set(frames):
+        raise ValueError(f"no rows of {', '.join(sorted(missing))}")
+    sides = []
+    for table, frame in frames.items():
+        said = []
+        for i, check in enumerate(checks):
+            if check.table == table and check.kind == "required":
+                said += [F.when(F.col(c).isNull(), _said(i, F.lit(c), 1, False)) for c in check.columns]
+            elif check.table == table:
+                whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in check.columns])
+                found = _said(i, _key(check.columns), 1, False)
+                said.append(F.when(whole, found) if check.kind == "reference" else found)
+            for parent, columns in check.parents:
+                if parent == table:
+                    said.append(_said(i, _key(columns), 0, True))
+        if said:
+            sides.append(frame.select(F.explode(F.array_compact(F.array(*said))).alias("x")).select("x.*"))
+    told = reduce(DataFrame.union, sides).groupBy("check", "key").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    kinds = F.array(*[F.lit(c.kind) for c in checks])
+    kind = F.get(kinds, F.col("check"))
+    wrong = F.when(kind == "unique", F.col("n") > 1).when(kind == "required", F.col("n") > 0).otherwise((F.col("n") > 0) & ~F.col("parent"))
+    names = [F.get(F.array(*map(F.lit, xs)), F.col("check")) for xs in ([c.table for c in checks], [",".join(c.columns) for c in checks])]
+    return told.where(wrong).select("check", names[0].alias("table_name"), kind.alias("kind"), names[1].alias("column_names"), "key", "n")
+
+
+def _said(check: int, key: Column, n: int, parent: bool) -> Column:
+    return F.struct(F.lit(check).alias("check"), key.alias("key"), F.lit(n).cast("long").alias("n"), F.lit(parent).alias("parent"))

@@ -307,6 +307,29 @@ def audit(w: Run) -> dict[str, DataFrame]:
     return findings
 
 
+def checks() -> list[quality.Check]:
+    """The same checks as ``audit``, declared."""
+    unique = [*PRIMARY_KEYS.items(), *LOGICAL_KEYS.items()]
+    return [
+        *[quality.Check(table, "unique", key) for table, key in unique],
+        *[quality.Check(table, "reference", [column], [(p, [key]) for p, key in parents]) for table, column, parents in FOREIGN_KEYS],
+        *[quality.Check(table, "required", columns) for table, columns in REQUIRED.items()],
+    ]
+
+
+def audit_once(w: Run) -> DataFrame:
+    """All findings of ``audit`` as one table, for which every table is scanned once."""
+    declared = checks()
+    names = dict.fromkeys([c.table for c in declared] + [p for c in declared for p, _ in c.parents])
+    return quality.audit_tables({name: w[name] for name in names}, declared)
+
+
+def keep_findings(w: Run) -> None:
+    """Store the findings of a run under its date, in place of those that the date had, in a commit of their own."""
+    w.tables.put("findings", stamp(audit_once(w), w.batch_date), "upd_date", w.batch_date)
+    w.tables.commit()
+
+
 def audit_files(
     spark: SparkSession, paths: Mapping[str, str]
 ) -> dict[str, DataFrame]:

@@ -63,3 +63,27 @@ def audit_cast(t: Tables):
     )
     schema = T.StructType.fromDDL("price decimal(7,2), priority string, day date")
     return quality.audit_cast(text, schema, {"priority": 5})
+
+
+@query("""
+SELECT 0 AS check, 'lineitem' AS table_name, 'unique' AS kind, 'l_orderkey,l_linenumber' AS column_names,
+       '["' || l_orderkey || '","' || l_linenumber || '"]' AS key, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+UNION ALL
+SELECT 1, 'lineitem', 'reference', 'l_partkey', '["' || l_partkey || '"]', count(*) FROM lineitem
+WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40) GROUP BY l_partkey
+UNION ALL
+SELECT 2, 'events', 'reference', 'user_id', '["' || user_id || '"]', count(*) FROM events
+WHERE user_id NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40) AND user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY user_id
+UNION ALL
+SELECT 3, 'part', 'required', 'p_partkey,p_brand', 'p_brand', count(*) FROM part WHERE p_size <= 40 AND p_brand = 'Brand#1' HAVING count(*) > 0
+""")
+def audit_tables(t: Tables):
+    """Keys, references into one table and into either of two, and required columns: each table scanned once for all."""
+    small = t.part.where("p_size <= 40").select("p_partkey", F.nullif("p_brand", F.lit("Brand#1")).alias("p_brand"))
+    checks = [
+        quality.Check("lineitem", "unique", ["l_orderkey", "l_linenumber"]),
+        quality.Check("lineitem", "reference", ["l_partkey"], [("part", ["p_partkey"])]),
+        quality.Check("events", "reference", ["user_id"], [("part", ["p_partkey"]), ("supplier", ["s_suppkey"])]),
+        quality.Check("part", "required", ["p_partkey", "p_brand"]),
+    ]
+    return quality.audit_tables({"lineitem": t.lineitem, "events": t.events, "part": small, "supplier": t.supplier}, checks)

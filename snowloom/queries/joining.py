@@ -241,3 +241,25 @@ FROM part
 def rule_parent_multi(t: Tables):
     """Conditions and parents on several columns, one of them negated, each rule by columns of its own."""
     return enrich.resolve_parent(t.part, _PLACE_RULES, t.part, "p_partkey", "parent_id").select("p_partkey", "parent_id")
+
+
+@query("""
+WITH c AS (SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 3 = 0 AND c_custkey < 5000 THEN c_custkey END AS whole,
+                  CASE WHEN (c_custkey // 10) % 3 = 1 AND c_custkey // 10 < 5000 AND c_nationkey <> 7 THEN c_custkey // 10 END AS opening,
+                  CASE WHEN c_custkey % 1000 % 3 = 2 AND c_mktsegment LIKE '%E%' THEN c_custkey % 1000 END AS ending FROM customer),
+  r AS (SELECT *, least(whole, opening, ending) AS rule FROM c)
+SELECT r.c_custkey, p.c_custkey AS parent_key FROM r LEFT JOIN customer p ON p.c_custkey = r.rule
+""")
+def rule_parent_indexed(t: Tables):
+    """Five thousand rules, by whole names, beginnings and ends, some with a second column: the first that fits counts."""
+    rules = []
+    for i in range(5000):
+        if i % 3 == 0:
+            when, unless = {"c_name": [f"Customer#{i:09d}"]}, {}
+        elif i % 3 == 1:
+            when, unless = {"c_name": [f"Customer#{i:08d}%"]}, {"c_nation": ["7"]}
+        else:
+            when, unless = {"c_name": [f"%{i:03d}"] if i < 1000 else [f"%/{i}"], "c_mktsegment": ["%E%"]}, {}
+        rules.append(ParentRule(when, {"c_name": f"Customer#{i:09d}"}, unless))
+    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment", F.col("c_nationkey").cast("string").alias("c_nation"))
+    return enrich.resolve_parent_indexed(rows, rules, t.customer, "c_custkey", "parent_key").select("c_custkey", "parent_key")

@@ -4,8 +4,10 @@ import datetime
 
 import domain
 import pytest
+from pyspark.sql import functions as F
 
 from snowloom import sinks
+from snowloom.operators import quality
 from snowloom.plans import conforming, staging, warehouse
 from snowloom.plans import dataset as wide
 
@@ -84,6 +86,22 @@ def test_audits_are_clean(loaded):
     assert {name: found for name, found in findings.items() if found} == {}
 
 
+def test_audit_scans_every_table_once(spark, loaded):
+    w = loaded["w"]
+    assert warehouse.audit_once(w).collect() == []
+    # A prize of nobody, twice, and a country without a name.
+    names = {c.table for c in warehouse.checks()} | {p for c in warehouse.checks() for p, _ in c.parents}
+    frames = {name: w[name] for name in names}
+    prize = frames["nobel_prizes"].limit(1).withColumn("laureate_id", F.lit(999)).withColumn("year", F.lit(1))
+    frames["nobel_prizes"] = frames["nobel_prizes"].union(prize).union(prize)
+    frames["countries_uptodate"] = frames["countries_uptodate"].withColumn("country_name", F.nullif("country_name", F.lit("Poland")))
+    found = {(r.table_name, r.kind, r.column_names): (r.key, r.n) for r in quality.audit_tables(frames, warehouse.checks()).collect()}
+    assert found["nobel_prizes", "reference", "laureate_id"] == ('["999"]', 2)
+    assert found["nobel_prizes", "unique", "nobel_prize_id"][1] == 3
+    assert found["countries_uptodate", "required", "country_id,country_name"] == ("country_name", 1)
+    assert len(found) == 4
+
+
 def test_country_ids_and_parents(loaded):
     first = {r["country_name"]: r for r in loaded["first"]["countries_uptodate"]}
     listed = sorted(n for n in first if first[n]["country_id"] < 16)
