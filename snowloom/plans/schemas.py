@@ -15,6 +15,9 @@ LAUREATE_FILE = (
     "death_date date, death_city string, death_country string"
 )
 
+# Further names of columns in laureate files.
+LAUREATE_SPELLINGS = {"gender": ["Sex"]}
+
 COUNTRY_FILE = (
     "country string, region string, population int, area_sq_mi int, pop_density_per_sq_mi decimal(8,2), "
     "coastline decimal(7,3), net_migration decimal(6,3), infant_mortality_per_1000_births decimal(7,3), "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snowloom.operators import quality
+from snowloom.operators import quality, similar
 from snowloom.queries.registry import Tables, query
 
 
@@ -87,3 +87,19 @@ def audit_tables(t: Tables):
         quality.Check("part", "required", ["p_partkey", "p_brand"]),
     ]
     return quality.audit_tables({"lineitem": t.lineitem, "events": t.events, "part": small, "supplier": t.supplier}, checks)
+
+
+_TYPED = """CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN concat(substr(p_name, 1, 3), substr(p_name, 5)) WHEN 2 THEN concat('x', p_name)
+ WHEN 3 THEN concat(substr(p_name, 1, 4), 'q', substr(p_name, 6)) ELSE substr(p_name, 1, CAST(p_partkey % 7 AS INT)) END"""
+
+
+@query(f"""
+WITH typed AS (SELECT DISTINCT {_TYPED} AS name FROM part WHERE p_partkey % 4 < 3),
+  known AS (SELECT DISTINCT p_name AS candidate FROM part UNION SELECT DISTINCT substr(p_name, 1, CAST(p_partkey % 6 AS INT)) FROM part)
+SELECT name, candidate, CAST(levenshtein(name, candidate) AS INTEGER) AS distance FROM typed, known WHERE levenshtein(name, candidate) <= 2
+""")
+def near_names(t: Tables):
+    """Names with a letter lost, added or changed, and very short ones, against all known names."""
+    typed = t.part.where("p_partkey % 4 < 3").select(F.expr(_TYPED).alias("name"))
+    known = t.part.select("p_name").union(t.part.select(F.expr("substr(p_name, 1, CAST(p_partkey % 6 AS INT))")))
+    return similar.near_names(typed, known, 2)

@@ -13,6 +13,7 @@ from snowloom.operators import versioning
 from snowloom.plans import conforming, geography, schemas
 from snowloom.queries.registry import Tables, query
 from snowloom.session import scratch_folder
+from snowloom.sources.checked import read_csv_checked, read_json_checked
 from snowloom.sinks import Layout
 from snowloom.streaming.ingest import land_stream
 
@@ -162,3 +163,50 @@ def commit_of_racing_runs(t: Tables):
     found = sinks.at(t.spark, database)
     orders = found.frame("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("counted"), F.max("upd_date").alias("upd_date"))
     return found.frame("customers").join(orders, "o_custkey", "full")
+
+
+@query("""
+SELECT 'row' AS kind, CAST(c_custkey AS BIGINT) AS c_custkey, c_name AS text, CAST(c_nationkey AS INTEGER) AS c_nationkey FROM customer WHERE c_custkey % 10 > 1
+UNION ALL SELECT 'wrong number of fields', NULL, CASE c_custkey % 10 WHEN 0 THEN c_custkey || '|' || c_name ELSE c_custkey || '|' || c_name || '|' || c_nationkey || '|x' END, NULL
+FROM customer WHERE c_custkey % 10 <= 1
+UNION ALL SELECT 'header without c_name', NULL, 'Customer Key|Nation', NULL
+""")
+def csv_rejects(t: Tables):
+    """Files with their columns in two orders and under several names, lines of too few and too many fields, a header without a column."""
+    folder = scratch_folder(t.spark, "csv-rejects")
+
+    def write(where: str, header: str, *columns: str) -> None:
+        line = F.concat_ws("|", *[F.expr(c).cast("string") for c in columns]).alias(header)
+        t.customer.where(where).select(line).write.mode("append").option("header", True).csv(folder)
+
+    write("c_custkey % 10 = 0", "Customer Key|Name|Nation", "c_custkey", "c_name")
+    write("c_custkey % 10 = 1", "Customer Key|Name|Nation", "c_custkey", "c_name", "c_nationkey", "'x'")
+    write("c_custkey % 10 BETWEEN 2 AND 5", "Customer Key|Name|Nation", "c_custkey", "c_name", "c_nationkey")
+    write("c_custkey % 10 > 5", "C_NATIONKEY|balance|c_name|c-custkey", "c_nationkey", "c_acctbal", "c_name", "c_custkey")
+    t.nation.where("n_nationkey = 0").select(F.lit("1|2").alias("Customer Key|Nation")).write.mode("append").option("header", True).csv(folder)
+    spellings = {"c_custkey": ["Customer Key"], "c_name": ["Name"], "c_nationkey": ["Nation"]}
+    read = read_csv_checked(t.spark, folder, "c_custkey long, c_name string, c_nationkey int", spellings, separator="|")
+    rows = read.rows.select(F.lit("row").alias("kind"), "c_custkey", F.col("c_name").alias("text"), "c_nationkey")
+    nothing = F.lit(None)
+    broken = read.rejects.select(F.col("reason").alias("kind"), nothing.cast("long").alias("c_custkey"), F.col("raw").alias("text"), nothing.cast("int").alias("c_nationkey"))
+    return rows.unionByName(broken)
+
+
+@query("""
+SELECT 'row' AS kind, c_custkey, c_name AS text FROM customer WHERE c_custkey % 5 > 1
+UNION ALL SELECT 'no object of these types', NULL, CASE c_custkey % 5 WHEN 0 THEN '{"c_custkey": ' || c_custkey || ', "c_name": ' ELSE '{"c_custkey":"k' || c_custkey || '"}' END
+FROM customer WHERE c_custkey % 5 <= 1
+""")
+def json_rejects(t: Tables):
+    """Lines that break off and lines whose value has another type, beside those that parse."""
+    folder = scratch_folder(t.spark, "json-rejects")
+    key = F.col("c_custkey").cast("string")
+    line = (
+        F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit('{"c_custkey": '), key, F.lit(', "c_name": ')))
+        .when(F.col("c_custkey") % 5 == 1, F.concat(F.lit('{"c_custkey":"k'), key, F.lit('"}')))
+        .otherwise(F.to_json(F.struct("c_custkey", "c_name")))
+    )
+    t.customer.select(line).write.text(folder)
+    read = read_json_checked(t.spark, folder, "c_custkey long, c_name string")
+    rows = read.rows.select(F.lit("row").alias("kind"), "c_custkey", F.col("c_name").alias("text"))
+    return rows.unionByName(read.rejects.select(F.col("reason").alias("kind"), F.lit(None).cast("long").alias("c_custkey"), F.col("raw").alias("text")))
