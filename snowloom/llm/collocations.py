@@ -167,7 +167,7 @@ def _groups(columns: list[np.ndarray], key: np.ndarray) -> tuple[np.ndarray, np.
 
     Rows are sorted by ``key``; if two different ones share it, by their columns instead.
     """
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_key = key[order]
     new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]]) if len(key) else np.zeros(0, bool)
     for column in columns:
@@ -205,7 +205,7 @@ def _dealt(kind: str, columns: list[np.ndarray], counts: np.ndarray, entries: li
     rank[alphabetical] = np.arange(len(entries), dtype=np.uint32)
     bucket = (_key([hashes[c] for c in columns[:node]]) % np.uint64(buckets)).astype(np.int64)
     columns, entries = [rank[c] for c in columns], [entries[i] for i in alphabetical]
-    order = np.argsort(bucket * len(entries) + columns[0], kind="stable")
+    order = np.argsort(bucket * len(entries) + columns[0])
     which, begins = np.unique(bucket[order], return_index=True)
     for b, at in zip(which.tolist(), np.split(order, begins[1:])):
         yield _rows(1, kind=[kind], bucket=[b], blob=[_packed([c[at] for c in columns], counts[at], entries)])
@@ -214,10 +214,19 @@ def _dealt(kind: str, columns: list[np.ndarray], counts: np.ndarray, entries: li
 def _counted(longest: int, held_words: int, buckets: int):
     """Edges of the texts, summed over ``held_words`` words."""
 
-    def sent(codes: list[np.ndarray], pieces: list[np.ndarray], spelt: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
-        names, place = np.unique(np.concatenate(codes), return_inverse=True)
-        n, piece = len(place), np.concatenate([*pieces, np.full(longest, -1)])
-        entries = [b"", *[spelt[c] for c in names.tolist()]]
+    def sent(held: list[tuple[np.ndarray, np.ndarray, _Words, list[bytes]]]) -> Iterator[pa.RecordBatch]:
+        """The edges of some portions: codes and pieces of their words, the words, what stands before each text's."""
+        names, first, place = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
+        n, piece = len(place), np.concatenate([*[h[1] for h in held], np.full(longest, -1)])
+        # Every word is spelt as where it was met first.
+        entries: list[bytes] = [b""] * (len(names) + 1)
+        begin = 0
+        for codes, _, words, opening in held:
+            which = np.flatnonzero((first >= begin) & (first < begin + len(codes)))
+            at = first[which] - begin
+            for i, t, a, z in zip((which + 1).tolist(), words.text[at].tolist(), words.starts[at].tolist(), words.ends[at].tolist()):
+                entries[i] = opening[t] + words.octets[a:z]
+            begin += len(codes)
         names = np.concatenate([[np.uint64(0)], names])
         place = np.concatenate([place.astype(np.uint32) + np.uint32(1), np.zeros(longest, np.uint32)])
         columns = [np.where(piece[k : n + k] == piece[:n], place[k : n + k], np.uint32(0)) for k in range(longest)]
@@ -227,27 +236,22 @@ def _counted(longest: int, held_words: int, buckets: int):
         yield from _dealt("edges", columns, counts, entries, _hashed(entries), longest - 1, buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, pieces, spelt, held, last = [], [], {}, 0, 0
+        held, size, last = [], 0, 0
         for batch in batches:
             texts, languages = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()
             for portion, langs in _portions(texts, languages):
                 words = _Words(portion)
-                found = words.codes(np.array([xxhash.xxh64_intdigest(x.encode(), 3) for x in langs], np.uint64))
-                if not len(found):
+                codes = words.codes(np.array([xxhash.xxh64_intdigest(x.encode(), 3) for x in langs], np.uint64))
+                if not len(codes):
                     continue
-                opening = [_entry_opening(x) for x in langs]
-                distinct, first = np.unique(found, return_index=True)
-                for code, at in zip(distinct.tolist(), first.tolist()):
-                    if code not in spelt:
-                        spelt[code] = opening[words.text[at]] + words.octets[words.starts[at] : words.ends[at]]
-                codes.append(found)
-                pieces.append(words.piece + last)
-                held, last = held + len(found), int(pieces[-1][-1]) + 1
-                if held >= held_words:
-                    yield from sent(codes, pieces, spelt)
-                    codes, pieces, spelt, held = [], [], {}, 0
+                pieces = words.piece + last
+                held.append((codes, pieces, words, [_entry_opening(x) for x in langs]))
+                size, last = size + len(codes), int(pieces[-1]) + 1
+                if size >= held_words:
+                    yield from sent(held)
+                    held, size = [], 0
         if held:
-            yield from sent(codes, pieces, spelt)
+            yield from sent(held)
 
     return run
 
