@@ -56,8 +56,10 @@ WORLD = {
 }
 
 
-def frame(t: Tables, name: str) -> DataFrame:
-    return t.spark.sql(WORLD[name], **{table: getattr(t, table) for table in BASE if "{" + table + "}" in WORLD[name]})
+def frame(t: Tables, name: str, *more: str) -> DataFrame:
+    """The source, with more columns of the tables it is made of before its own."""
+    text = WORLD[name].replace("SELECT ", "SELECT " + "".join(f"{c}, " for c in more), 1)
+    return t.spark.sql(text, **{table: getattr(t, table) for table in BASE if "{" + table + "}" in WORLD[name]})
 
 
 def common(*names: str) -> str:

@@ -1,6 +1,7 @@
 """Plans and partition sizes that must hold when one key has a third of the rows."""
 
 import contextlib
+import glob
 import os
 import threading
 
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from snowloom import sinks
 from snowloom.operators import enrich, keys, reshape, skew, versioning
+from snowloom.queries.registry import QUERIES, Tables
+from snowloom.queries.world import frame
 from snowloom.session import RUNTIME_CONF, materialize, scratch_folder, scratch_scope, setting, tune
 from snowloom.sinks.tables import Layout, gathered
 
@@ -220,3 +223,33 @@ def test_scans_read_only_what_is_used(spark):
     assert "EqualTo(o_orderstatus,F)" in text
     line = next(x for x in text.splitlines() if "lineitem.parquet" in x or "l_orderkey" in x and "FileScan" in x)
     assert "l_shipdate" not in line
+
+
+def test_laureate_files_are_made_without_a_shuffle_of_wide_rows(spark, tmp_path):
+    """Two suppliers of one order give one row where the laureate works nowhere, and copies of a line give one."""
+    tune(spark)
+    n = 5000
+    tables = {
+        "region": "0 AS r_regionkey, 'r' AS r_name", "nation": "0 AS n_nationkey, 0 AS n_regionkey, 'n' AS n_name",
+        "customer": "id AS c_custkey, concat('c', id) AS c_name, 1 AS c_nationkey, 0D AS c_acctbal, 'HOUSEHOLD' AS c_mktsegment",
+        "supplier": "id AS s_suppkey, concat('s', id) AS s_name, 1 AS s_nationkey, 0D AS s_acctbal",
+        "part": "id AS p_partkey", "events": "id AS event_id",
+        "orders": "id AS o_orderkey, id % 100 AS o_custkey, if(id % 2 = 0, 'F', NULL) AS o_orderstatus, "
+        "TIMESTAMP_NTZ'1995-01-01 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority",
+        "lineitem": f"id % {n} AS l_orderkey, id DIV {2 * n} AS l_suppkey",
+    }
+    sizes = {"customer": n, "supplier": 2, "orders": n, "lineitem": 4 * n}
+    for name, columns in tables.items():
+        spark.range(sizes.get(name, 1)).selectExpr(*[columns] if "," not in columns else [f"struct({columns}) AS s"]).selectExpr(
+            *["s.*"] if "," in columns else ["*"]
+        ).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    t = Tables(spark, str(tmp_path))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "10k"), setting(spark, "spark.sql.adaptive.enabled", "false"):
+        joined, files = frame(t, "laureates"), frame(t, "laureates", "o_orderkey").drop("upd_date").distinct()
+        assert plan(files).count("Exchange hashpartitioning") == plan(joined).count("Exchange hashpartitioning") > 0
+    before = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/laureate-files-*/*"))
+    got = QUERIES["load_staging_laureates"](spark, str(tmp_path))
+    made = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/laureate-files-*/*.csv*")) - before
+    assert made and all(f.endswith(".csv.gz") for f in made)
+    nowhere = sum(1 for i in range(n) if i % 100 % 7 == 3)
+    assert got.count() == got.distinct().count() == 2 * (n - nowhere) + nowhere
