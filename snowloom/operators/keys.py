@@ -25,6 +25,7 @@ def dense_id(
     id_column: str,
     start: int | Column = 0,
     partitions: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Number all rows ``start, start + 1, ...`` in the given order, without a global window.
 
@@ -35,8 +36,11 @@ def dense_id(
     ranges. Exact copies that hold a large share of all rows cannot be cut by any order; they go through the
     ranges as one row with a number and are counted out afterwards, in portions of ``_PORTION``.
 
-    Jobs run when this is called: one pass looks for such copies, one writes the ranges.
+    Jobs run when this is called: one pass looks for such copies, one samples the ranges, one writes them. The rows
+    are written before the first, so that what they come from is computed once; ``stored`` ones are already.
     """
+    if not stored:
+        df = materialize(df, "unnumbered")
     tie, place, part, pos, copies = "__tie", "__place", "__part", "__pos", "__copies"
     order = [as_column(c) for c in order]
     merged = collapsed(df)
@@ -107,7 +111,7 @@ def stable_ids(
     matched = materialize(matched, "matched-ids")
     old = matched.where(F.col(id_column).isNotNull())
     new = matched.where(F.col(id_column).isNull()).drop(id_column)
-    return old.unionByName(dense_id(new, order, id_column, next_id(known, id_column)))
+    return old.unionByName(dense_id(new, order, id_column, next_id(known, id_column), stored=True))
 
 
 def attach_ids(df: DataFrame, ids: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:

@@ -19,6 +19,7 @@ WORKING_PERSON = f"{PERSON} AND organization_name IS NOT NULL"
 ORGANIZATION_KEY = ["organization_name", "organization_country", "organization_city"]
 PERSON_KEY = ["full_name", "birth_date"]
 PRIZE_KEY = ["laureate_id", "prize_type_id"]
+PRIZE_COLUMNS = ["laureate_id", "year", "motivation", "prize_share", "category", "laureate_type", "prize", "upd_date"]
 
 
 def _organization_rules() -> list[ParentRule]:
@@ -144,10 +145,7 @@ def nobel_prizes(
     prev: DataFrame | None,
 ) -> DataFrame:
     """The new prizes, numbered on from those before. A prize already stored is not stored again."""
-    cols = [
-        "laureate_id", "year", "motivation", "prize_share", "category", "laureate_type", "prize", "upd_date",
-    ]
-    rows = reshape.entity(laureates, cols)
+    rows = reshape.entity(laureates, PRIZE_COLUMNS)
     rows = enrich.lookup(rows, categories, "category", ["category_id"])
     rows = enrich.lookup(rows, prize_types, {"prize": "prize_type"}, ["prize_type_id"])
     rows = enrich.lookup(rows, laureate_types, "laureate_type", ["laureate_type_id"])

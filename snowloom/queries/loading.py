@@ -20,9 +20,9 @@ from snowloom.session import materialize, scratch_folder, setting
 FIRST, SECOND = "upd_date = DATE '2024-01-07'", "upd_date = DATE '2024-01-14'"
 
 
-def _landed(t: Tables):
-    """The laureate rows as a landed table, which every loader reads."""
-    return materialize(frame(t, "laureates"), "landed-laureates")
+def _landed(t: Tables, *columns: str):
+    """The laureate rows as a landed table, which every loader reads; of a loader of some columns, all rows of these."""
+    return materialize(frame(t, "laureates").select(*columns or "*"), "landed-laureates")
 
 
 def _staging(t: Tables) -> str:
@@ -564,7 +564,7 @@ SELECT row_number() OVER (ORDER BY year, laureate_id, prize) - 1 AS place, year,
 """)
 def load_prizes_both_batches(t: Tables):
     """Two pending batches that repeat each other, in one run: one fact per prize, the newest."""
-    rows = _landed(t)
+    rows = _landed(t, *laureates.PRIZE_COLUMNS)
     dims = [reference.categories(rows, None), reference.prize_types(rows, None).drop("upd_date"), reference.laureate_types(rows, None)]
     both = sinks.stamp(rows.drop("upd_date"), date(2024, 1, 7)).unionByName(sinks.stamp(rows.drop("upd_date"), date(2024, 1, 14)))
     new = laureates.nobel_prizes(both, *dims, None)

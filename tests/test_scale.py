@@ -225,6 +225,20 @@ def test_scans_read_only_what_is_used(spark):
     assert "l_shipdate" not in line
 
 
+def test_dense_id_computes_its_input_once(spark):
+    tune(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    numbered = keys.dense_id(spark.range(1000).mapInArrow(counted, "id long"), ["id"], "n", partitions=4)
+    assert numbered.where("n = id").count() == 1000
+    assert seen.value == 1000
+
+
 def test_laureate_files_are_made_without_a_shuffle_of_wide_rows(spark, tmp_path):
     """Two suppliers of one order give one row where the laureate works nowhere, and copies of a line give one."""
     tune(spark)
