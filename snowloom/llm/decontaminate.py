@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snowloom.session import materialize
+
 BLOCK = 16
 DIMENSIONS, OVERSAMPLED = 144, 8
 # Cosine from which on a passage is a candidate whatever words it holds.
@@ -91,14 +93,18 @@ def common_subsequence(masks: dict[bytes, int], n: int, region: list[bytes]) ->
     """Length of the longest common subsequence with a pattern of ``n`` words, a machine word of the pattern at once."""
     full = (1 << n) - 1
     rows = full
-    for w in region:
-        m = masks.get(w)
-        if m:
-            u = rows & m
-            rows = ((rows + u) | (rows - u)) & full
+    for m in filter(None, map(masks.get, region)):
+        u = rows & m
+        rows = ((rows + u) | (rows - u)) & full
     return n - rows.bit_count()
 
 
+def numbers(cut: list[list[bytes]], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The feature numbers of the words of all texts, -1 where unknown, and the number of words of each text."""
+    sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+    return np.fromiter(map(known.get, chain.from_iterable(cut), repeat(-1)), np.int64, int(sizes.sum())), sizes
+
+
 @dataclass
 class Blocks:
     """The known words of a batch of texts, as feature numbers with the block each stands in."""
@@ -117,8 +123,11 @@ class Blocks:
     @classmethod
     def of(cls, texts: list[str | None], known: dict[bytes, int]) -> Blocks:
         cut = [words(t or "") for t in texts]
-        sizes = np.array([len(t) for t in cut], np.int64)
-        ids = np.fromiter(map(known.get, chain.from_iterable(cut), repeat(-1)), np.int64, int(sizes.sum()))
+        return cls.numbered(cut, *numbers(cut, known))
+
+    @classmethod
+    def numbered(cls, texts: list[list[bytes]], ids: np.ndarray, sizes: np.ndarray) -> Blocks:
+        """From the feature numbers of all words, -1 where unknown, and the number of words of each text."""
         counts = -(-sizes // BLOCK)
         first = np.concatenate([[0], np.cumsum(counts)])
         place = np.arange(len(ids)) - np.repeat(np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes)
@@ -126,10 +135,10 @@ class Blocks:
         n = int(first[-1])
         unknown = np.bincount(block[ids < 0], minlength=n)
         ids, block = ids[ids >= 0], block[ids >= 0]
-        new = np.ones(len(ids), bool)
+        new, both = np.ones(len(ids), bool), block * (int(ids.max(initial=0)) + 1) + ids
         for back in range(1, BLOCK):
-            new[back:] &= (ids[back:] != ids[:-back]) | (block[back:] != block[:-back])
-        return cls(cut, ids, block, new, unknown, first, n)
+            new[back:] &= both[back:] != both[:-back]
+        return cls(texts, ids, block, new, unknown, first, n)
 
     def split(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which of the most frequent words stand in each block, and the other words with their blocks.
@@ -149,9 +158,12 @@ class Blocks:
         """``rows`` of the known words, summed by block."""
         counts, ids, block = self.split(len(rows))
         out = counts @ rows[: counts.shape[1]]
-        if len(ids):
-            starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-            out[block[starts]] += np.add.reduceat(rows[ids], starts, axis=0)
+        # The first of these words of every block, then the second: no block has more than its words.
+        begins = np.concatenate([[True], block[1:] != block[:-1]])[: len(ids)]
+        place = np.arange(len(ids)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]
+        order = np.argsort(place.astype(np.int8), kind="stable")
+        for part in np.split(order, np.cumsum(np.bincount(place))[:-1]) if len(ids) else ():
+            out[block[part]] += rows.take(ids[part], axis=0)
         return out
 
     def whole(self) -> np.ndarray:
@@ -162,20 +174,47 @@ class Blocks:
 
     def paired(self, by_block: np.ndarray) -> np.ndarray:
         """Blocks summed to passages: each with the next block of its text, the last one alone."""
-        following = np.zeros_like(by_block)
-        following[:-1] = by_block[1:]
+        following = by_block[1:].copy()
         last = self.first[1:][np.diff(self.first) > 0] - 1
-        following[last] = 0
-        return by_block + following
+        following[last[last < len(following)]] = 0
+        out = by_block.copy()
+        out[:-1] += following
+        return out
+
+
+# As words are kept between the passes: the vocabulary of a set of items may not fit two bytes.
+_KEPT = np.dtype("<i4")
 
 
-def _document_counts(known):
+def _numbered(known):
+    """The texts as the feature numbers of their words, so that they are cut into words once for both passes of the fit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sizes = numbers([words(t or "") for t in batch.column("text").to_pylist()], known.value)
+            held, ends = ids.astype(_KEPT), np.cumsum(sizes)
+            kept = [held[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist())]
+            yield pa.record_batch([pa.array(kept, pa.binary())], ["ids"])
+
+    return run
+
+
+def _blocks(batch: pa.RecordBatch, places: np.ndarray | None = None) -> Blocks:
+    """The blocks of kept texts, with features numbered anew by ``places`` if asked."""
+    kept = batch.column("ids").to_pylist()
+    ids = np.frombuffer(b"".join(kept), _KEPT).astype(np.int64)
+    if places is not None:
+        ids = np.append(places, -1)[ids]
+    return Blocks.numbered([], ids, np.fromiter(map(len, kept), np.int64, len(kept)) // _KEPT.itemsize)
+
+
+def _document_counts(size: int):
     """Blocks per word, and under ``-1`` the number of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, size = np.zeros(len(known.value), np.int64), 0, len(known.value)
+        held, n = np.zeros(size, np.int64), 0
         for batch in batches:
-            b = Blocks.of(batch.column("text").to_pylist(), known.value)
+            b = _blocks(batch)
             held += np.bincount(b.ids[b.new], minlength=size)
             n += b.n
         at = np.flatnonzero(held)
@@ -191,10 +230,10 @@ def _gram_times(b: Blocks, idf: np.ndarray, basis: np.ndarray, weights: np.ndarr
     if weights is not None:
         image *= weights[:, None].astype(np.float32)
     # A word's row of A' meets both passages its block is part of.
-    back = np.zeros_like(image)
-    back[1:] = image[:-1]
-    back[b.first[:-1][np.diff(b.first) > 0]] = 0
-    image += back
+    back = image[:-1].copy()
+    begins = b.first[:-1][np.diff(b.first) > 0]
+    back[begins[begins > 0] - 1] = 0
+    image[1:] += back
     counts, ids, block = b.split(len(basis))
     out = np.zeros(basis.shape, np.float64)
     out[: counts.shape[1]] = counts.T @ image
@@ -202,16 +241,16 @@ def _gram_times(b: Blocks, idf: np.ndarray, basis: np.ndarray, weights: np.ndarr
     if len(order):
         ids = ids[order]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        out[ids[starts]] = np.add.reduceat(image[block[order]], starts, axis=0)
+        out[ids[starts]] = np.add.reduceat(image.take(block[order], axis=0), starts, axis=0)
     return out * idf[:, None], 2.0 * float((idf[b.ids[b.new]] ** 2).sum())
 
 
-def _sketch(known, space):
+def _sketch(space):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, basis = space.value
+        places, idf, basis = space.value
         held, energy = np.zeros(basis.shape), 0.0
         for batch in batches:
-            part, more = _gram_times(Blocks.of(batch.column("text").to_pylist(), known.value), idf, basis)
+            part, more = _gram_times(_blocks(batch, places), idf, basis)
             held += part
             energy += more
         at = np.flatnonzero(np.abs(held).sum(axis=1))
@@ -337,19 +376,22 @@ class Space:
     owner: np.ndarray
     needed: Needed
 
-    def candidates(self, b: Blocks, near: np.ndarray) -> dict[tuple[int, int], bool]:
-        """Passages and items to verify, and whether they are near: all that are, and all that can count by their words."""
+    def candidates(self, b: Blocks, rows: np.ndarray, near: np.ndarray) -> dict[tuple[int, int], bool]:
+        """Passages and items to verify, and whether they are near: all that are, and all that can count by their words.
+
+        ``near`` has the cosines of the passages of ``rows``; no other is near anything.
+        """
         whole, out = b.whole(), {}
         texts, blocks, found = self.needed.around(b)
         for text, block, at, first, end in zip(*(x.tolist() for x in (texts, blocks, found, b.first[texts], b.first[texts + 1]))):
             item, reach = self.items[at], int(self.needed.reach[at])
             n, low, high = len(item.words), block - 1 - reach, block + reach
             around = b.texts[text][max(0, (low - first) * BLOCK - n) : (high + 2 - first) * BLOCK + n]
-            least = PARAPHRASED if item.telling(around) >= TELLING else COPIED
-            if common_subsequence(item.masks[0], n, around) / n >= least:
+            share = common_subsequence(item.masks[0], n, around) / n
+            if share >= COPIED or share >= PARAPHRASED and item.telling(around) >= TELLING:
                 out.update(((row, at), False) for row in range(max(first, low), min(end, high + 1)) if whole[row])
-        rows, columns = np.divmod(np.flatnonzero(near >= CANDIDATE), max(1, near.shape[1]))
-        out.update(((row, at), True) for row, at in zip(rows.tolist(), self.owner[columns].tolist()))
+        places, columns = np.divmod(np.flatnonzero(near >= CANDIDATE), max(1, near.shape[1]))
+        out.update(((row, at), True) for row, at in zip(rows[places].tolist(), self.owner[columns].tolist()))
         return out
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, float, float]]]:
@@ -357,11 +399,15 @@ class Space:
         b = Blocks.of(texts, self.known)
         vectors = b.paired(b.sums(self.projection))
         weights = np.bincount(b.block, weights=self.squares[b.ids], minlength=b.n) + b.unknown * self.unknown
-        length = np.maximum(np.sqrt(b.paired(weights)), np.linalg.norm(vectors, axis=1))
-        vectors[~b.whole()] = 0
-        near = (vectors / np.maximum(length, 1e-9).astype(np.float32)[:, None]) @ self.pieces.T
+        within = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+        length = np.maximum(np.maximum(np.sqrt(b.paired(weights)), within), 1e-9)
+        # No cosine is above what of the passage lies in the latent space; a little less for rounding.
+        rows = np.flatnonzero(b.whole() & (within >= 0.999 * CANDIDATE * length))
+        units = vectors[rows]
+        units /= length[rows].astype(np.float32)[:, None]
+        near = units @ self.pieces.T
         best: dict[tuple[int, int], tuple[float, float]] = {}
-        for (row, at), close in self.candidates(b, near).items():
+        for (row, at), close in self.candidates(b, rows, near).items():
             text = int(np.searchsorted(b.first, row, side="right")) - 1
             item, start = self.items[at], (row - int(b.first[text])) * BLOCK
             margin = len(item.words)
@@ -369,7 +415,8 @@ class Space:
             share, answered = item.shares(region)
             if share >= COPIED or share >= PARAPHRASED and answered >= ANSWERED and (close or item.telling(region) >= TELLING):
                 cosine, most = best.get((text, at), (0.0, 0.0))
-                best[text, at] = max(cosine, float(near[row, self.owner == at].max())), max(most, share)
+                here = vectors[row] / np.float32(length[row])
+                best[text, at] = max(cosine, float((self.pieces[self.owner == at] @ here).max())), max(most, share)
         out: list[list[tuple[int, float, float]]] = [[] for _ in texts]
         for (text, at), (cosine, share) in best.items():
             out[text].append((self.items[at].item_id, min(1.0, cosine), share))
@@ -377,26 +424,26 @@ class Space:
 
 
 def fit(docs: DataFrame, items: list[Item], texts: list[str], seed: int = 42) -> Space:
-    """The latent space of one set of items: two passes over all documents, for weights and for the sketch."""
+    """The latent space of one set of items: two passes over the words of all documents, for weights and for the sketch."""
     spark = docs.sparkSession
     context = spark.sparkContext
     vocabulary = sorted({w for item in items for w in item.words})
     size = len(vocabulary)
     shared = context.broadcast({w: i for i, w in enumerate(vocabulary)})
     rows = docs.select(F.col("text").cast("string").alias("text"))
-    counts = rows.mapInArrow(_document_counts(shared), "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()
+    kept = materialize(rows.mapInArrow(_numbered(shared), "ids binary"), "benchmark-words")
+    counts = kept.mapInArrow(_document_counts(size), "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()
     held = np.zeros(size + 1)
     held[counts["f"].to_numpy()] = counts["n"].to_numpy()
     # Numbered anew by frequency.
     order = np.argsort(-held[:-1], kind="stable")
     known = {vocabulary[i]: place for place, i in enumerate(order)}
-    shared = context.broadcast(known)
     idf = np.log((held[-1] + 2) / (held[:-1][order] + 1)) + 0.05
     width = min(DIMENSIONS + OVERSAMPLED, size)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))[0]
-    space = context.broadcast((idf, basis))
+    space = context.broadcast((np.argsort(order), idf, basis))
     names = [f"y{j}" for j in range(width)]
-    sketched = rows.mapInArrow(_sketch(shared, space), "f long, " + ", ".join(f"{n} double" for n in names))
+    sketched = kept.mapInArrow(_sketch(space), "f long, " + ", ".join(f"{n} double" for n in names))
     # One row per word of the benchmark.
     summed = sketched.groupBy("f").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     matrix, at = np.column_stack([summed[n].to_numpy() for n in names]), summed["f"].to_numpy()
